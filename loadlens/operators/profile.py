@@ -27,6 +27,7 @@ DATE_PATTERNS = {
 KEY_DATE_NAMES = ("RECORDDATE", "RECORDDATEID", "DATE", "TRADE_DATE")
 KEY_ID_NAMES = ("ASSETID", "ASSET_ID", "FUNDID", "FUND_ID", "SECURITY_ID")
 MAX_KEY_COLUMNS = 3
+LONG_VALUE = 64
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -164,6 +165,16 @@ def _histogram(df: DataFrame) -> DataFrame:
     return cells(df).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
+def _digest_histogram(df: DataFrame) -> DataFrame:
+    """Rows per distinct value; long values are told apart by length and SHA-256.
+
+    Whole documents then never enter the shuffle.
+    """
+    value, chars = F.col("value"), F.char_length("value").cast("bigint")
+    key = F.when(chars > LONG_VALUE, F.sha2(value, 256)).otherwise(value)
+    return cells(df).groupBy("column_name", chars.alias("chars"), key.alias("value")).agg(F.count("*").alias("n"))
+
+
 def column_profile(df: DataFrame, tokens=LOAD_NULLS, any_case: bool = False, exact: bool = True) -> DataFrame:
     """Rows, nulls, null share, distinct values and widest value per column.
 
@@ -172,8 +183,13 @@ def column_profile(df: DataFrame, tokens=LOAD_NULLS, any_case: bool = False, exa
     task. ``exact=False`` keeps one sketch per column instead and never
     shuffles values.
     """
-    source = _histogram(df) if exact else cells(df).withColumn("n", F.lit(1).cast("bigint"))
     value = F.col("value")
+    if exact:
+        source = _digest_histogram(df)
+    else:
+        source = cells(df).withColumns(
+            {"n": F.lit(1).cast("bigint"), "chars": F.char_length(value).cast("bigint")}
+        )
     distinct = F.count("value") if exact else F.approx_count_distinct("value")
     return (
         source.groupBy("column_name")
@@ -181,7 +197,7 @@ def column_profile(df: DataFrame, tokens=LOAD_NULLS, any_case: bool = False, exa
             F.sum("n").alias("row_count"),
             F.sum(F.when(is_null_token(value, tokens, any_case), F.col("n")).otherwise(F.lit(0))).alias("null_count"),
             distinct.alias("distinct_count"),
-            F.max(F.char_length(value)).cast("bigint").alias("max_width"),
+            F.max("chars").alias("max_width"),
         )
         .withColumn("null_pct", F.round(F.col("null_count") * 100 / F.col("row_count"), 1))
     )

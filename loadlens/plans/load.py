@@ -202,31 +202,34 @@ def load_files(
 ) -> DataFrame:
     """Check and load each file on its own; one result row per file.
 
-    Every file is a Spark job. A few are submitted at once and a file that
-    fails its checks or its load does not stop the others.
+    Checks only read, so a few run at once. Appends to one folder share its
+    commit area and run one after another; each is a Spark job over the whole
+    cluster. A file that fails does not stop the others.
     """
+    checks = not skip_qc and not validate_after
 
-    def passed(path: str) -> bool:
-        rows = file_quality(spark, contract, path).select("passed").collect()
-        return bool(rows) and all(r["passed"] for r in rows)
-
-    def one(path: str) -> LoadResult:
-        started = time.monotonic()
+    def passed(path: str) -> tuple[bool, str | None]:
         try:
-            if not skip_qc and not validate_after and not passed(path):
-                return LoadResult(contract.table_name, path, "qc_failed", seconds=time.monotonic() - started)
-            if validate_only:
-                return LoadResult(contract.table_name, path, "qc_passed", seconds=time.monotonic() - started)
-            done = load_contract(spark, contract, path, target, **options)
-            if validate_after and done.status == "success" and not passed(path):
-                done.status = "loaded_with_issues"
-            return done
+            rows = file_quality(spark, contract, path).select("passed").collect()
+            return bool(rows) and all(r["passed"] for r in rows), None
         except Exception as error:  # noqa: BLE001 - reported per file
-            text = str(error).splitlines()[0]
-            return LoadResult(contract.table_name, path, "failed", seconds=time.monotonic() - started, error=text)
+            return False, str(error).splitlines()[0]
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        results = list(pool.map(one, paths))
+        verdicts = dict(zip(paths, pool.map(passed, paths))) if checks else {}
+        results = []
+        for path in paths:
+            good, error = verdicts.get(path, (True, None))
+            if not good:
+                results.append(LoadResult(contract.table_name, path, "failed" if error else "qc_failed", error=error))
+            elif validate_only:
+                results.append(LoadResult(contract.table_name, path, "qc_passed"))
+            else:
+                results.append(load_contract(spark, contract, path, target, **options))
+        if validate_after:
+            loaded = [r for r in results if r.status == "success"]
+            for result, (good, _) in zip(loaded, pool.map(passed, [r.source for r in loaded])):
+                result.status = "success" if good else "loaded_with_issues"
     return results_frame(spark, results)
 
 

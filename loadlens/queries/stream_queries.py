@@ -1 +1,43 @@
+"""Streaming queries, each run until what is there has been processed."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loadlens.queries import query, table
+from loadlens.queries.file_queries import ORDERS, month_landing
+from loadlens.session import scratch
+from loadlens.streaming import ingest, volume
+
+
+@query(
+    "incremental_ingest",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS rows_loaded, (SELECT count(*) FROM orders) AS first_run,
+      CAST(0 AS BIGINT) AS second_run FROM orders GROUP BY 1""",
+)
+def incremental_ingest(spark, folder):
+    """Two runs over the same landing folder; the second adds nothing."""
+    landing, target, state = month_landing(spark, folder), scratch(spark, "ingest"), scratch(spark, "ingest-state")
+    first = ingest.ingest_new_files(spark, ORDERS, landing, target, state, max_files=200)
+    second = ingest.ingest_new_files(spark, ORDERS, landing, target, state, max_files=200)
+    counts = spark.read.parquet(target).groupBy(F.col("period").cast("string").alias("period")).agg(
+        F.count("*").alias("rows_loaded")
+    )
+    return counts.withColumn("first_run", F.lit(first).cast("bigint")).withColumn("second_run", F.lit(second).cast("bigint"))
+
+
+@query(
+    "daily_volume_stream",
+    """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS d, count(*) AS row_count FROM events GROUP BY 1
+    HAVING CAST(max(ts) AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+)
+def daily_volume_stream(spark, folder):
+    """Finished days of the event stream: those the watermark has passed."""
+    events = (
+        spark.readStream.schema(table(spark, folder, "events").schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(folder)
+    )
+    target = scratch(spark, "daily-volume")
+    volume.run_daily_volume(events, "ts", target, scratch(spark, "daily-volume-state"))
+    return spark.read.parquet(target).select(F.date_format("d", "yyyy-MM-dd").alias("d"), "row_count")
