@@ -82,6 +82,11 @@ def glob_match(name: Column, pattern: str | None) -> Column:
     return name.rlike("^" + fnmatch.translate(pattern).replace(r"\Z", "").replace(r"\z", "") + "$")
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """Round by decimal digits, so that binary noise at a tie does not decide."""
+    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+
+
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """Share in percent, zero where the whole is zero."""
-    return F.round(F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0)), digits)
+    return round_half_up(F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0)), digits)

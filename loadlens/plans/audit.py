@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions import dates
+from loadlens.functions.text import percent
 from loadlens.operators import duplicates
 from loadlens.operators.series import (
     LISTED,
@@ -43,12 +44,16 @@ def _count(test: Column) -> Column:
     return F.count(F.when(test, 1))
 
 
-def _listed(entry: Column, limit: int) -> Column:
+def _cut(entries: Column, limit: int | None) -> Column:
+    return entries if limit is None else F.slice(entries, 1, limit)
+
+
+def _listed(entry: Column, limit: int | None) -> Column:
     """Struct list of a table, ordered and cut for display. At most one entry per day."""
-    return F.slice(F.array_sort(F.collect_list(entry)), 1, limit)
+    return _cut(F.array_sort(F.collect_list(entry)), limit)
 
 
-def series_audit(series: DataFrame, targets: DataFrame, listed: int = LISTED) -> DataFrame:
+def series_audit(series: DataFrame, targets: DataFrame, listed: int | None = LISTED) -> DataFrame:
     """Completeness and anomalies per table from its daily series.
 
     The table is scanned once, into the series. Gaps, averages and quartiles
@@ -91,9 +96,7 @@ def series_audit(series: DataFrame, targets: DataFrame, listed: int = LISTED) ->
             F.col("n").alias("row_count"),
             F.floor("avg_count").alias("expected_count"),
             F.col("severity").alias("severity"),
-            F.round(F.when(F.col("avg_count") > 0, F.col("n") / F.col("avg_count") * 100).otherwise(0.0), 1).alias(
-                "percent_of_average"
-            ),
+            percent(F.col("n"), F.col("avg_count"), 1).alias("percent_of_average"),
         ),
     )
     missing_entry = F.when(
@@ -132,7 +135,7 @@ def series_audit(series: DataFrame, targets: DataFrame, listed: int = LISTED) ->
     )
 
 
-def _missing_list(listed: int) -> Column:
+def _missing_list(listed: int | None) -> Column:
     """First missing days: before the first present day, inside gaps, after the last."""
     nothing = F.array().cast("array<date>")
     stretch = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(nothing)
@@ -140,7 +143,7 @@ def _missing_list(listed: int) -> Column:
     tail = stretch(F.date_add("last_inside", 1), F.col("last"))
     whole = stretch(F.col("first"), F.col("last"))
     some = F.concat(lead, F.col("inner_missing"), tail)
-    return F.slice(F.coalesce(F.when(F.col("unique_dates") > 0, some).otherwise(whole), nothing), 1, listed)
+    return _cut(F.coalesce(F.when(F.col("unique_dates") > 0, some).otherwise(whole), nothing), listed)
 
 
 def _reason(count: Column, text: str) -> Column:
@@ -163,16 +166,21 @@ def duplicate_audit(targets: list[Target], policy: str = "count") -> DataFrame |
 
 
 def validate_tables(
-    spark: SparkSession, targets: list[Target], policy: str = "count", push_range: bool = False
+    spark: SparkSession,
+    targets: list[Target],
+    policy: str = "count",
+    push_range: bool = False,
+    listed: int | None = LISTED,
 ) -> DataFrame:
     """One validation row per target with a date column.
 
     Two scans per table: its daily series, and its keys. ``push_range`` reads
-    only the requested days, at the price of the whole-table extent.
+    only the requested days, at the price of the whole-table extent. Counts
+    are exact; ``listed`` cuts the lists for display, None keeps them whole.
     """
     dated = [t for t in targets if t.df is not None and t.date_column]
     frame = target_frame(spark, dated)
-    audit = series_audit(daily_series_of(dated, push_range), frame)
+    audit = series_audit(daily_series_of(dated, push_range), frame, listed)
     out = frame.select("table_name", "requested_start", "requested_end").join(audit, "table_name", "left")
     found = duplicate_audit(dated, policy)
     if found is None:

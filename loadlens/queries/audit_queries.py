@@ -113,22 +113,18 @@ def failure_reasons(spark, folder):
 
 @query(
     "issues_flat",
-    f"""WITH {AUDIT_SQL},
-    ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY
-        CASE severity WHEN 'SEVERELY_LOW' THEN 1 WHEN 'OUTLIER_LOW' THEN 2 WHEN 'LOW' THEN 3 ELSE 4 END, d) AS rn
-      FROM classified WHERE severity <> 'NORMAL')
+    f"""WITH {AUDIT_SQL}
     SELECT table_name, 'missing_date' AS kind, CAST(CAST(x AS DATE) AS VARCHAR) AS detail
     FROM (SELECT table_name, unnest(generate_series(prev + 1, d - 1, INTERVAL 1 DAY)) AS x FROM gaps)
     UNION ALL
     SELECT table_name, 'gap', prev || ' to ' || d || ' (' || missing_days || ' days missing)' FROM gaps
     UNION ALL
-    SELECT table_name, 'anomaly', d || ': ' || row_count || ' rows (' || severity || ')' FROM ranked WHERE rn <= 100
+    SELECT table_name, 'anomaly', d || ': ' || row_count || ' rows (' || severity || ')' FROM classified WHERE severity <> 'NORMAL'
     UNION ALL
     SELECT table_name, 'duplicates', duplicate_keys || ' keys, ' || excess_rows || ' excess rows' FROM audit WHERE duplicate_keys > 0""",
 )
 def issues_flat(spark, folder):
-    return report.issues_flat(audit.validate_tables(spark, audited(spark, folder)))
+    return report.issues_flat(audit.validate_tables(spark, audited(spark, folder), listed=None))
 
 
 @query(

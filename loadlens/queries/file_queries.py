@@ -198,10 +198,7 @@ def row_estimate(spark, folder):
     """Estimated rows per file from a sample of line lengths."""
     landing = month_landing(spark, folder)
     files = inventory.file_inventory(spark, landing)
-    # Paths of the two readers differ only in the number of slashes after the scheme.
-    same = files.withColumn("path", F.regexp_replace("path", "^file:/+", "file:///"))
-    raw = lines.read_lines(spark, landing).withColumn("file", F.regexp_replace("file", "^file:/+", "file:///"))
-    return structure.estimated_rows(raw, same, fraction=0.2)
+    return structure.estimated_rows(lines.read_lines(spark, landing), files, fraction=0.2)
 
 
 @query(

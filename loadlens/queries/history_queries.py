@@ -112,7 +112,7 @@ def load_throughput(spark, folder):
     f"""WITH {HISTORY_SQL}, speed AS (SELECT table_name, sum(rows_produced) / sum(elapsed_seconds) AS r FROM history
       WHERE query_type = 'COPY' AND error_code IS NULL GROUP BY table_name),
     waiting AS (SELECT props AS table_name, count(*) AS row_count FROM events WHERE event_type = 'signup' GROUP BY props)
-    SELECT table_name, row_count, round(row_count / r, 4) AS estimated_seconds FROM waiting LEFT JOIN speed USING (table_name)""",
+    SELECT table_name, row_count, round(row_count / nullif(r, 0), 4) AS estimated_seconds FROM waiting LEFT JOIN speed USING (table_name)""",
 )
 def load_estimate(spark, folder):
     waiting = (

@@ -44,7 +44,7 @@ def daily_stats(spark, folder):
     "classified_days",
     f"""WITH {SERIES_SQL}, {STATS_SQL}, {CLASSIFIED_SQL}
     SELECT table_name, CAST(d AS VARCHAR) AS d, row_count, severity,
-           round(row_count / avg_count * 100, 1) AS pct_of_avg, CAST(floor(avg_count) AS BIGINT) AS expected_count
+           CAST(round(CAST(row_count / avg_count * 100 AS DECIMAL(38, 10)), 1) AS DOUBLE) AS pct_of_avg, CAST(floor(avg_count) AS BIGINT) AS expected_count
     FROM classified""",
 )
 def classified_days(spark, folder):
@@ -59,7 +59,7 @@ def classified_days(spark, folder):
         CASE severity WHEN 'SEVERELY_LOW' THEN 1 WHEN 'OUTLIER_LOW' THEN 2 WHEN 'LOW' THEN 3 ELSE 4 END, d) AS rn
       FROM classified WHERE severity <> 'NORMAL')
     SELECT table_name, CAST(d AS VARCHAR) AS d, row_count, severity,
-           round(row_count / avg_count * 100, 1) AS pct_of_avg, CAST(floor(avg_count) AS BIGINT) AS expected_count
+           CAST(round(CAST(row_count / avg_count * 100 AS DECIMAL(38, 10)), 1) AS DOUBLE) AS pct_of_avg, CAST(floor(avg_count) AS BIGINT) AS expected_count
     FROM ranked WHERE rn <= 100""",
 )
 def volume_anomalies(spark, folder):
@@ -161,6 +161,16 @@ def completeness_month(spark, folder):
     SELECT table_name, CAST(prev AS VARCHAR) AS prev_date, CAST(d AS VARCHAR) AS next_date, missing_days FROM gaps""",
 )
 def date_gaps(spark, folder):
+    return op.date_gaps(series(spark, folder)).withColumns(day_text("prev_date", "next_date"))
+
+
+@query(
+    "date_gaps_listed",
+    f"""WITH {SERIES_SQL}, {GAPS_SQL}
+    SELECT table_name, CAST(prev AS VARCHAR) AS prev_date, CAST(d AS VARCHAR) AS next_date, missing_days FROM gaps
+    QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY prev) <= 100""",
+)
+def date_gaps_listed(spark, folder):
     return op.listed_gaps(series(spark, folder)).withColumns(day_text("prev_date", "next_date"))
 
 

@@ -17,13 +17,31 @@ _RANGE = r"(\d{8})-(\d{8})"
 _MONTH = r"(\d{4})-(\d{2})"
 
 
-def file_inventory(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """Every file under a folder; contents are never read."""
+def file_inventory(
+    spark: SparkSession, folder: str, glob: str | None = None, with_empty: bool = False
+) -> DataFrame:
+    """Every file under a folder, named as the text reader names it; contents are never read.
+
+    A scan skips files of zero bytes. ``with_empty`` adds them from the list
+    of names that Spark's own listing has already put on the driver.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(folder).select(
-        "path", "length", F.col("modificationTime").alias("modification_time")
+    found = reader.load(folder)
+    files = found.select(
+        F.col("_metadata.file_path").alias("path"),
+        "length",
+        F.col("modificationTime").alias("modification_time"),
+    )
+    if not with_empty:
+        return files
+    names = spark.createDataFrame([(n,) for n in found.inputFiles()], "path string")
+    empty = names.join(files, "path", "left_anti")
+    return files.unionByName(
+        empty.select(
+            "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modification_time")
+        )
     )
 
 
