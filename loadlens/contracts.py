@@ -9,6 +9,8 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadlens.session import literal_frame
+
 PLACEHOLDERS = {"{date_range}": r"(\d{8}-\d{8})", "{month}": r"(\d{4}-\d{2})"}
 
 
@@ -101,6 +103,4 @@ def contracts_frame(spark: SparkSession, contracts: list[Contract]) -> DataFrame
         for c in contracts
         for i, name in enumerate(c.expected_columns, 1)
     ]
-    return spark.createDataFrame(
-        rows, "table_name string, file_pattern string, position int, column_name string"
-    )
+    return literal_frame(spark, rows, "table_name string, file_pattern string, position int, column_name string")

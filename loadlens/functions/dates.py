@@ -17,84 +17,86 @@ from pyspark.sql import types as T
 
 from loadlens.functions.text import strip
 
-# English month names accepted in dates.
-MONTHS = {
-    "january": 1,
-    "february": 2,
-    "march": 3,
-    "april": 4,
-    "may": 5,
-    "june": 6,
-    "july": 7,
-    "august": 8,
-    "september": 9,
-    "october": 10,
-    "november": 11,
-    "december": 12,
-}
+# English month names accepted in dates, in full or by three letters.
+MONTHS = (
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+)
 
 _CLOCK = r"(?:[01]?\d|2[0-3]):[0-5]?\d:(?:[0-5]?\d|6[01])"
 _YEAR = r"(?!0000)\d{4}"
+_MONTH_NAME = "(?i:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS) + ")"
 
 
 def _day(year: str, month: str, day: str, value: Column, pattern: str) -> Column:
     return F.regexp_replace(value, pattern, f"{year}-{month}-{day}").try_cast("date")
 
 
-def _month_number(name: Column) -> Column:
-    names = {}
-    for full, number in MONTHS.items():
-        names[full] = number
-        names[full[:3]] = number
-    pairs = [F.lit(x) for item in names.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), F.lower(name))
-
-
 def _named_day(value: Column, pattern: str, month: int, day: int, year: int) -> Column:
-    number = _month_number(F.regexp_extract(value, pattern, month))
+    """A day whose month is a name: the place of its first letters gives the number."""
+    letters = F.lower(F.left(F.regexp_extract(value, pattern, month), F.lit(3)))
+    place = F.position(letters, F.lit(" ".join(m[:3] for m in MONTHS)))
     return F.concat_ws(
         "-",
         F.regexp_extract(value, pattern, year),
-        F.coalesce(number.cast("string"), F.lit("0")),
+        ((place + 3) / 4).cast("int").cast("string"),
         F.regexp_extract(value, pattern, day),
     ).try_cast("date")
 
 
-def parse_date(value: Column) -> Column:
-    """Text to DATE over all accepted spellings; anything else is null.
+def _plain_iso(v: Column) -> Column:
+    """Exactly ``dddd-dd-dd``: the cast itself reads it, nothing is rewritten."""
+    return v.rlike(rf"^{_YEAR}-[0-9]{{2}}-[0-9]{{2}}$")
 
-    Month-first wins over day-first where both are possible.
-    """
-    v = F.trim(F.regexp_replace(value, r"\s+", " "))
+
+def _written_date(v: Column) -> Column:
+    """The spellings people write, and those with a time of day."""
+    parts = rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2({_YEAR})$"
     iso = rf"^({_YEAR})-(\d{{1,2}})-(\d{{1,2}})(?:[ T]{_CLOCK}|T{_CLOCK}Z)?$"
     slashed = rf"^({_YEAR})/(\d{{1,2}})/(\d{{1,2}})(?: {_CLOCK})?$"
-    digits = rf"^({_YEAR})(\d{{2}})(\d{{2}})$"
-    parts = rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2({_YEAR})$"
     stamped = rf"^(\d{{1,2}})/(\d{{1,2}})/({_YEAR}) {_CLOCK}$"
-    month_first = rf"^([A-Za-z]+) (\d{{1,2}}),? ({_YEAR})$"
-    day_first = rf"^(\d{{1,2}}) ([A-Za-z]+) ({_YEAR})$"
-    return (
-        F.when(v.rlike(iso), _day("$1", "$2", "$3", v, iso))
-        .when(v.rlike(digits), _day("$1", "$2", "$3", v, digits))
-        .when(
+    month_first = rf"^({_MONTH_NAME}) (\d{{1,2}}),? ({_YEAR})$"
+    day_first = rf"^(\d{{1,2}}) ({_MONTH_NAME}) ({_YEAR})$"
+    named = F.when(v.rlike(month_first), _named_day(v, month_first, month=1, day=2, year=3))
+    return F.when(v.rlike("^[A-Za-z]"), named).otherwise(
+        F.when(
             v.rlike(parts),
             F.coalesce(_day("$4", "$1", "$3", v, parts), _day("$4", "$3", "$1", v, parts)),
         )
+        .when(v.rlike(iso), _day("$1", "$2", "$3", v, iso))
         .when(v.rlike(slashed), _day("$1", "$2", "$3", v, slashed))
-        .when(v.rlike(month_first), _named_day(v, month_first, month=1, day=2, year=3))
         .when(v.rlike(day_first), _named_day(v, day_first, month=2, day=1, year=3))
         .when(v.rlike(stamped), _day("$3", "$1", "$2", v, stamped))
     )
 
 
+def parse_date(value: Column) -> Column:
+    """Text to DATE over all accepted spellings; anything else is null.
+
+    Month-first wins over day-first where both are possible. The two spellings
+    machines write stay in generated code. The others sit in a one-element
+    ``transform``: its body is evaluated only for cells that need it, binds
+    the cleaned text once, and keeps the generated method small enough to be
+    compiled.
+    """
+    t = strip(value)
+    digits = F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2))
+    clean = F.array(F.regexp_replace(t, r"\s+", " "))
+    return (
+        F.when(_plain_iso(t), t.try_cast("date"))
+        .when(t.rlike(rf"^{_YEAR}[0-9]{{4}}$"), digits.try_cast("date"))
+        .otherwise(F.transform(clean, _written_date)[0])
+    )
+
+
 def parse_file_date(value: Column) -> Column:
     """The three spellings accepted in files: ISO, eight digits, m/d/Y."""
     v = strip(value)
-    iso = rf"^({_YEAR})-(\d{{1,2}})-(\d{{1,2}})$"
-    digits = rf"^({_YEAR})(\d{{2}})(\d{{2}})$"
+    iso = rf"^{_YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}}$"
+    digits = rf"^({_YEAR})([0-9]{{2}})([0-9]{{2}})$"
     us = rf"^(\d{{1,2}})/(\d{{1,2}})/({_YEAR})$"
     return (
-        F.when(v.rlike(iso), _day("$1", "$2", "$3", v, iso))
+        F.when(v.rlike(iso), v.try_cast("date"))
         .when(v.rlike(digits), _day("$1", "$2", "$3", v, digits))
         .when(v.rlike(us), _day("$3", "$1", "$2", v, us))
     )

@@ -38,9 +38,9 @@ def strip(value: Column) -> Column:
 
 
 def occurrences(value: Column, piece: str | Column) -> Column:
-    """How often a one-character piece occurs."""
+    """How often a one-byte piece occurs, counted in bytes: no character is decoded."""
     piece = F.lit(piece) if isinstance(piece, str) else piece
-    return F.length(value) - F.length(F.replace(value, piece, F.lit("")))
+    return F.octet_length(value) - F.octet_length(F.replace(value, piece, F.lit("")))
 
 
 def fields(value: Column, delimiter: str, quote: str | None = None) -> Column:
@@ -60,6 +60,20 @@ def fields(value: Column, delimiter: str, quote: str | None = None) -> Column:
     return F.when(F.contains(value, F.lit(quote)), unquoted).otherwise(plain)
 
 
+def field_at(value: Column, delimiter: str, index: int, quote: str | None = None) -> Column:
+    """One field of a line by position, null if the line is too short.
+
+    Lines without a quote are cut at the separators' bytes; only the others
+    are split.
+    """
+    head = F.substring_index(value, delimiter, index + 1)
+    plain = F.when(occurrences(value, delimiter) >= index, F.substring_index(head, delimiter, -1) if index else head)
+    if not quote:
+        return plain
+    whole = F.try_element_at(fields(value, delimiter, quote), F.lit(index + 1))
+    return F.when(F.contains(value, F.lit(quote)), whole).otherwise(plain)
+
+
 def is_number(value: Column) -> Column:
     """True where the trimmed text reads as a floating-point number."""
     return strip(value).rlike(NUMBER)

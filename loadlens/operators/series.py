@@ -56,21 +56,22 @@ def daily_series(df: DataFrame, date_column: str, table_name: str = "", start=No
     )
 
 
-def daily_series_of(targets: list[Target], push_range: bool = False) -> DataFrame:
-    """The daily series of several tables, one scan each."""
-    return union_all(
-        [
-            daily_series(
-                t.df,
-                t.date_column,
-                t.table_name,
-                t.start if push_range else None,
-                t.end if push_range else None,
-            )
-            for t in targets
-            if t.df is not None and t.date_column
-        ]
-    )
+def daily_series_of(targets: list[Target], push_range: bool = False, with_range: bool = False) -> DataFrame:
+    """The daily series of several tables, one scan each.
+
+    ``with_range`` adds each table's requested first and last day as columns.
+    """
+    frames = []
+    for t in targets:
+        if t.df is None or not t.date_column:
+            continue
+        bounds = (t.start, t.end) if push_range else (None, None)
+        one = daily_series(t.df, t.date_column, t.table_name, *bounds)
+        if with_range:
+            for name, value in (("requested_start", t.start), ("requested_end", t.end)):
+                one = one.withColumn(name, F.lit(None if value is None else dates.to_day(value)).cast("date"))
+        frames.append(one)
+    return union_all(frames)
 
 
 def days(series: DataFrame, start=None, end=None) -> DataFrame:

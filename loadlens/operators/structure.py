@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.functions.text import CONTROL_BYTES, NULL_BYTE, fields, occurrences, strip
+from loadlens.functions.text import CONTROL_BYTES, NULL_BYTE, field_at, fields, occurrences, strip
 from loadlens.operators.sniff import by_delimiter, mostly_text
 from loadlens.sources.lines import ORDER, first_lines, number_lines
 
@@ -180,7 +180,9 @@ def ragged_rows(lines: DataFrame, delimiter: str, expected: int | None = None) -
 
 
 def _problems(delimiter: str, long_line: int) -> Column:
-    columns, chars = F.col("columns"), F.char_length(F.col("value")).cast("bigint")
+    columns = F.col("columns")
+    # Characters are only counted where there are enough bytes for them.
+    chars = F.when(F.octet_length("value") > long_line, F.char_length("value")).cast("bigint")
 
     def case(test: Column, kind: str, detail: Column) -> Column:
         return F.when(test, F.struct(F.lit(kind).alias("kind"), detail.alias("measure")))
@@ -200,8 +202,9 @@ def all_problem_rows(
 ) -> DataFrame:
     """Every problem of every line: too few or many fields, too long, null byte."""
     marked = _with_expected(lines, delimiter, expected).withColumn("columns", width(delimiter))
+    place = [c for c in ("file", "block", "seq", "line_no") if c in lines.columns]
     return marked.withColumn("problem", F.explode(_problems(delimiter, long_line))).select(
-        "file", "block", "seq", F.col("problem.kind").alias("kind"), F.col("problem.measure").alias("measure")
+        *place, F.col("problem.kind").alias("kind"), F.col("problem.measure").alias("measure")
     )
 
 
@@ -287,7 +290,8 @@ def file_characteristics(lines: DataFrame) -> DataFrame:
     """One row per file with everything two files are compared on.
 
     Widths for the three candidate separators are aggregated side by side and
-    the first line picks among them afterwards, so one pass is enough.
+    the first line picks among them afterwards. First lines are fetched apart:
+    a text among the aggregates would make Spark sort every line.
     """
     value, sep = F.col("value"), F.col("delimiter")
     seps = ("\t", ",", "|")
@@ -305,14 +309,12 @@ def file_characteristics(lines: DataFrame) -> DataFrame:
         lines,
         *per_split,
         *[_count_if(test).alias(name) for name, test in flags.items()],
-        F.min_by(F.when(F.col("block") == 0, value), "seq").alias("first_line"),
     )
-    files = _file_totals(
-        splits,
-        *per_file,
-        *[F.sum(name).alias(name) for name in flags],
-        F.min_by("first_line", "block").alias("first_line"),
-    ).withColumn("delimiter", _first_line_delimiter(F.col("first_line")))
+    files = (
+        _file_totals(splits, *per_file, *[F.sum(name).alias(name) for name in flags])
+        .join(first_lines(lines), "file")
+        .withColumn("delimiter", _first_line_delimiter(F.col("first_line")))
+    )
 
     def pick(name: str) -> Column:
         return F.when(sep == seps[0], F.col(f"{name}0")).when(sep == seps[1], F.col(f"{name}1")).otherwise(
@@ -409,7 +411,7 @@ def modal_date_format(lines: DataFrame, delimiter: str, columns: tuple[int, ...]
     """Most frequent date spelling per file for some column positions."""
     cells = F.array(
         *[
-            F.struct(F.lit(i).alias("position"), strip(F.try_element_at(fields(F.col("value"), delimiter), F.lit(i + 1))).alias("cell"))
+            F.struct(F.lit(i).alias("position"), strip(field_at(F.col("value"), delimiter, i)).alias("cell"))
             for i in columns
         ]
     )

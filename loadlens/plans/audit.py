@@ -16,6 +16,7 @@ from loadlens.operators.series import (
     severity,
     severity_rank,
 )
+from loadlens.session import literal_frame
 
 _TARGET_SCHEMA = (
     "table_name string, date_column string, requested_start date, requested_end date, "
@@ -37,7 +38,7 @@ def target_frame(spark: SparkSession, targets: list[Target]) -> DataFrame:
         )
         for t in targets
     ]
-    return spark.createDataFrame(rows, _TARGET_SCHEMA)
+    return literal_frame(spark, rows, _TARGET_SCHEMA)
 
 
 def _count(test: Column) -> Column:
@@ -53,18 +54,17 @@ def _listed(entry: Column, limit: int | None) -> Column:
     return _cut(F.array_sort(F.collect_list(entry)), limit)
 
 
-def series_audit(series: DataFrame, targets: DataFrame, listed: int | None = LISTED) -> DataFrame:
-    """Completeness and anomalies per table from its daily series.
+def series_audit(series: DataFrame, listed: int | None = LISTED) -> DataFrame:
+    """Completeness and anomalies per table from its daily series with requested range.
 
     The table is scanned once, into the series. Gaps, averages and quartiles
     are windows over its days and everything else is one aggregation of them.
     """
-    known = series.join(F.broadcast(targets.select("table_name", "requested_start", "requested_end")), "table_name")
     ranged = F.col("requested_start").isNotNull() & F.col("requested_end").isNotNull()
     in_range = F.when(ranged, F.col("d").between(F.col("requested_start"), F.col("requested_end"))).otherwise(
         F.lit(True)
     )
-    inside = known.withColumn("inside", F.col("d").isNotNull() & in_range)
+    inside = series.withColumn("inside", F.col("d").isNotNull() & in_range)
     side = Window.partitionBy("table_name", "inside")
     marked = (
         inside.withColumn("prev", F.lag("d").over(side.orderBy("d")))
@@ -180,11 +180,12 @@ def validate_tables(
     """
     dated = [t for t in targets if t.df is not None and t.date_column]
     frame = target_frame(spark, dated)
-    audit = series_audit(daily_series_of(dated, push_range), frame, listed)
+    audit = series_audit(daily_series_of(dated, push_range, with_range=True), listed)
     out = frame.select("table_name", "requested_start", "requested_end").join(audit, "table_name", "left")
     found = duplicate_audit(dated, policy)
     if found is None:
-        found = spark.createDataFrame(
+        found = literal_frame(
+            spark,
             [],
             "table_name string, duplicate_keys bigint, excess_rows bigint, max_duplicates bigint, "
             "avg_duplicates double, duplicate_severity string",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loadlens.contracts import Contract
 from loadlens.functions import dates
-from loadlens.functions.text import fields, occurrences, strip
+from loadlens.functions.text import field_at, fields, occurrences, strip
 from loadlens.operators.history import HISTORY_SCHEMA
 from loadlens.operators.series import LISTED
 from loadlens.sources import delimited, inventory
@@ -120,8 +120,7 @@ def date_cells(spark: SparkSession, contract: Contract, paths) -> DataFrame:
     """
     index = contract.expected_columns.index(contract.date_column)
     line = F.rtrim(F.col("value"), F.lit("\r"))
-    parts = fields(line, contract.separator, contract.quote_char)
-    cell = F.when(F.length(line) > 0, strip(F.try_element_at(parts, F.lit(index + 1))))
+    cell = F.when(F.octet_length(line) > 0, strip(field_at(line, contract.separator, index, contract.quote_char)))
     return read_lines(spark, paths).withColumn("cell", cell)
 
 

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "loadlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,6 +47,17 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver-held rows as a DataFrame made of literals only."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder; nothing is overwritten."""
     return shared_folder(spark, "loadlens", f"{label}-{uuid.uuid4().hex[:12]}")

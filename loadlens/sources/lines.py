@@ -8,7 +8,8 @@ A *lines* DataFrame has
     seq        position inside the scan; orders lines within a split
     value      the line without its line feed
 
-Lines of one file are ordered by ``(block, seq)``.
+Lines of one file are ordered by ``(block, seq)``. Lines split from a text
+column also have their ``line_no``.
 """
 
 from __future__ import annotations
@@ -45,7 +46,14 @@ def split_lines(df: DataFrame, file: str, text: str) -> DataFrame:
         F.octet_length(body).cast("bigint").alias("file_size"),
         F.lit(0).cast("bigint").alias("block"),
         F.posexplode(parts).alias("seq", "value"),
-    ).select("file", "file_size", "block", F.col("seq").cast("bigint").alias("seq"), "value")
+    ).select(
+        "file",
+        "file_size",
+        "block",
+        F.col("seq").cast("bigint").alias("seq"),
+        (F.col("seq") + 1).cast("bigint").alias("line_no"),
+        "value",
+    )
 
 
 def tolerant(value: Column) -> Column:
@@ -90,8 +98,10 @@ def number_lines(selected: DataFrame, lines: DataFrame) -> DataFrame:
 
     Only counts per split travel: they are summed in split order to give each
     split its offset, and the selected rows look theirs up. No file is ever
-    gathered in one task.
+    gathered in one task. Lines of split texts know their number already.
     """
+    if "line_no" in selected.columns:
+        return selected
     offsets = _split_offsets(lines)
     return (
         selected.join(offsets, ["file", "block"])
