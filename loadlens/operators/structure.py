@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlens.functions.text import CONTROL_BYTES, NULL_BYTE, field_at, fields, occurrences, strip
 from loadlens.operators.sniff import by_delimiter, mostly_text
+from loadlens.session import shared_folder
 from loadlens.sources.lines import ORDER, first_lines, number_lines
 
 LONG_LINE = 10_000
@@ -155,25 +157,38 @@ def column_count_distribution(lines: DataFrame, delimiter: str) -> DataFrame:
 
 
 def _with_expected(lines: DataFrame, delimiter: str, expected: int | None) -> DataFrame:
-    """Add the width every line should have: declared, or that of its file's first line.
+    """Add each line's width and the one it should have: declared, or its file's first line's.
 
-    The lookup side has one short row per file. No hint is given: adaptive
-    execution broadcasts it once its real size is known to be small, and
-    otherwise splits the partitions of files that hold most lines.
+    Without a declared width, only files whose lines differ in width are
+    looked up; in all others every line has the width of the first. That
+    leaves a short list which Spark broadcasts if its measured size allows,
+    and otherwise joins by splitting the partitions of files that hold most
+    lines.
     """
+    measured = lines.withColumn("columns", width(delimiter))
     if expected is not None:
-        return lines.withColumn("expected", F.lit(expected).cast("bigint"))
-    firsts = (
-        lines.filter(F.col("block") == 0)
-        .groupBy("file")
-        .agg(F.min_by(width(delimiter), "seq").alias("expected"))
+        return measured.withColumn("expected", F.lit(expected).cast("bigint"))
+    at_start = F.when(F.col("block") == 0, F.col("seq"))
+    uneven = (
+        lines.groupBy("file")
+        .agg(
+            F.min_by(width(delimiter), at_start).alias("first_width"),
+            F.min(width(delimiter)).alias("least"),
+            F.max(width(delimiter)).alias("most"),
+        )
+        .filter(F.col("least") != F.col("most"))
+        .select("file", "first_width")
+    )
+    return (
+        measured.join(uneven, "file", "left")
+        .withColumn("expected", F.coalesce("first_width", "columns"))
+        .drop("first_width")
     )
-    return lines.join(firsts, "file")
 
 
 def ragged_rows(lines: DataFrame, delimiter: str, expected: int | None = None) -> DataFrame:
     """Rows whose width differs from the expected one, with line numbers."""
-    bad = _with_expected(lines, delimiter, expected).withColumn("columns", width(delimiter))
+    bad = _with_expected(lines, delimiter, expected)
     return number_lines(bad.filter(F.col("columns") != F.col("expected")), lines).select(
         "file", "line_no", "columns", "expected"
     )
@@ -201,7 +216,7 @@ def all_problem_rows(
     lines: DataFrame, delimiter: str, expected: int | None = None, long_line: int = LONG_LINE
 ) -> DataFrame:
     """Every problem of every line: too few or many fields, too long, null byte."""
-    marked = _with_expected(lines, delimiter, expected).withColumn("columns", width(delimiter))
+    marked = _with_expected(lines, delimiter, expected)
     place = [c for c in ("file", "block", "seq", "line_no") if c in lines.columns]
     return marked.withColumn("problem", F.explode(_problems(delimiter, long_line))).select(
         *place, F.col("problem.kind").alias("kind"), F.col("problem.measure").alias("measure")
@@ -258,8 +273,8 @@ def quote_check(lines: DataFrame) -> DataFrame:
 
 def clean_lines(lines: DataFrame, delimiter: str = "\t", expected: int | None = None) -> DataFrame:
     """Every line with a verdict: keep it only at the right width and without null bytes."""
-    ok = (width(delimiter) == F.col("expected")) & ~F.contains("value", F.lit(NULL_BYTE))
-    return _with_expected(lines, delimiter, expected).withColumn("keep", ok).drop("expected")
+    ok = (F.col("columns") == F.col("expected")) & ~F.contains("value", F.lit(NULL_BYTE))
+    return _with_expected(lines, delimiter, expected).withColumn("keep", ok).drop("columns", "expected")
 
 
 def write_clean(lines: DataFrame, target: str, delimiter: str = "\t", expected: int | None = None) -> DataFrame:
@@ -348,15 +363,49 @@ def _share(a: Column, b: Column, floor: float) -> Column:
     return F.abs(a - b) / F.greatest(a, F.lit(floor)) * 100
 
 
-def compare_consecutive(profile: DataFrame, group: list[str], order: list) -> DataFrame:
+def with_previous(df: DataFrame, group: str, order: str, chunks: int = 200) -> DataFrame:
+    """Each row with the row before it in its group as ``was``; exact for groups of any size.
+
+    ``order`` is a number, a date or a timestamp without repeats in a group.
+    Approximate quantiles cut every group into chunks. Inside a chunk the row
+    before is a window function; the first row of a chunk takes the last row of
+    the chunk before it from a table of one row per chunk. Where the cuts fall
+    does not change the result. The input is used several times, so it is
+    checkpointed first.
+    """
+    shared_folder(df.sparkSession)
+    rows = df.checkpoint()
+    names = [c for c in rows.columns if c != group]
+    position = F.col(order).cast("double") if isinstance(rows.schema[order].dataType, T.NumericType) else F.unix_micros(
+        F.col(order).cast("timestamp")
+    ).cast("double")
+    shares = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
+    cuts = rows.groupBy(group).agg(F.percentile_approx(position, shares, F.lit(10 * chunks)).alias("cuts"))
+    placed = rows.join(cuts, group).withColumn(
+        "chunk", F.size(F.filter(F.array_distinct("cuts"), lambda c: c < position))
+    ).drop("cuts")
+    inside = Window.partitionBy(group, "chunk").orderBy(order)
+    near = placed.withColumn("near", F.lag(F.struct(*names)).over(inside))
+    lasts = placed.groupBy(group, "chunk").agg(F.max_by(F.struct(*names), order).alias("last"))
+    by_chunk = Window.partitionBy(group).orderBy("chunk")
+    carried = lasts.select(group, "chunk", F.lag("last").over(by_chunk).alias("far"))
+    return (
+        near.join(carried, [group, "chunk"])
+        .withColumn("was", F.coalesce("near", "far"))
+        .drop("chunk", "near", "far")
+    )
+
+
+def compare_consecutive(profile: DataFrame, group: str, order: str) -> DataFrame:
     """Compare every file with the one before it inside a group.
 
-    ``profile`` has one row per file, so the ordering window is over files,
-    never over their lines.
+    ``profile`` has one row per file, so only files are ordered, never lines.
     """
-    step = Window.partitionBy(*group).orderBy(*order)
-    names = [c for c in profile.columns if c not in group]
-    was = profile.withColumn("was", F.lag(F.struct(*names)).over(step)).filter(F.col("was").isNotNull())
+    return _compare(with_previous(profile, group, order).filter(F.col("was").isNotNull()), [group])
+
+
+def _compare(was: DataFrame, group: list[str]) -> DataFrame:
+    """Differences and warnings between each row and its ``was``."""
     old = lambda c: F.col(f"was.{c}")
     mb = 1024.0 * 1024.0
     size_pct = _share(old("bytes") / mb, F.col("bytes") / mb, 0.1)
@@ -401,10 +450,14 @@ def compare_consecutive(profile: DataFrame, group: list[str], order: list) -> Da
 def compare_pair(lines: DataFrame, first: str, second: str) -> DataFrame:
     """Compare two named files."""
     profile = file_characteristics(lines.filter(F.col("file").isin(first, second)))
-    turn = F.when(F.col("file") == first, 0).otherwise(1)
-    return compare_consecutive(
-        profile.withColumn("pair", F.lit(1)), group=["pair"], order=[turn]
-    ).drop("pair")
+    names = profile.columns
+    pair = profile.agg(
+        *[
+            F.max(F.when(F.col("file") == f, F.struct(*names))).alias(alias)
+            for f, alias in ((first, "was"), (second, "now"))
+        ]
+    )
+    return _compare(pair.select("was", "now.*"), [])
 
 
 def modal_date_format(lines: DataFrame, delimiter: str, columns: tuple[int, ...] = (0, 1)) -> DataFrame:

@@ -68,13 +68,15 @@ def load_contract(
     on_error: str = "abort",
     partition_by: str | None = None,
     quarantine: str | None = None,
+    spread: bool = False,
 ) -> LoadResult:
     """Append files to a Parquet table.
 
     ``abort`` casts strictly, so one bad value fails the whole load and nothing
     becomes visible. ``quarantine`` loads the rows that cast and, only if there
     are others, writes those to their own folder with a second read. Rows are
-    counted while they are written.
+    counted while they are written. ``spread`` evens out the written files when
+    the input is a few large archives, each of which is one task.
     """
     started = time.monotonic()
     label = paths if isinstance(paths, str) else ",".join(paths)
@@ -98,6 +100,8 @@ def load_contract(
             out = out.withColumn(partition_by, inventory.period_of_path(F.col(SOURCE))).drop(SOURCE)
             # Even out file sizes: a month with most rows is cut up, small months share tasks.
             out = out.hint("rebalance", partition_by)
+        elif spread:
+            out = out.hint("rebalance")
         writer = out.write.mode("append")
         if partition_by:
             writer = writer.partitionBy(partition_by)

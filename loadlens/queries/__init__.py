@@ -38,6 +38,7 @@ def load_all() -> None:
         history_queries,
         line_queries,
         profile_queries,
+        scalar_queries,
         series_queries,
         stream_queries,
     )

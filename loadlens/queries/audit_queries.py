@@ -18,6 +18,8 @@ from loadlens.queries.common import (
     day_text,
     reported,
 )
+from loadlens.session import scratch
+from loadlens.sources import sinks
 
 _VALIDATION = (
     "total_rows", "unique_dates", "expected_dates", "missing_dates", "gap_count", "anomaly_count", "severely_low",
@@ -263,6 +265,35 @@ def recommended_actions(spark, folder):
     return report.recommended_actions(_report(spark, folder))
 
 
+@query(
+    "report_saved",
+    f"WITH {_REPORT} SELECT table_name, status, validation_status, row_count, missing_dates, issues FROM report",
+)
+def report_saved(spark, folder):
+    """The report written as JSON and read back."""
+    target = scratch(spark, "report")
+    sinks.write_json_report(_report(spark, folder), target)
+    schema = "table_name string, status string, validation_status string, row_count bigint, missing_dates bigint, validation_issues array<string>"
+    back = spark.read.schema(schema).json(target)
+    return back.withColumn("issues", F.concat_ws("; ", "validation_issues")).drop("validation_issues")
+
+
+@query(
+    "issues_saved",
+    f"""WITH {AUDIT_SQL}
+    SELECT table_name || ': missing_date: ' || CAST(CAST(x AS DATE) AS VARCHAR) AS line
+    FROM (SELECT table_name, unnest(generate_series(prev + 1, d - 1, INTERVAL 1 DAY)) AS x FROM gaps)
+    UNION ALL SELECT table_name || ': gap: ' || prev || ' to ' || d || ' (' || missing_days || ' days missing)' FROM gaps
+    UNION ALL SELECT table_name || ': anomaly: ' || d || ': ' || row_count || ' rows (' || severity || ')' FROM classified WHERE severity <> 'NORMAL'
+    UNION ALL SELECT table_name || ': duplicates: ' || duplicate_keys || ' keys, ' || excess_rows || ' excess rows' FROM audit WHERE duplicate_keys > 0""",
+)
+def issues_saved(spark, folder):
+    """The issue list written as text and read back."""
+    target = scratch(spark, "issues")
+    sinks.write_issue_text(report.issues_flat(audit.validate_tables(spark, audited(spark, folder), listed=None)), target)
+    return spark.read.text(target).select(F.col("value").alias("line"))
+
+
 INVENTORIED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 _COLUMNS = {

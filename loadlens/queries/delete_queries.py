@@ -123,6 +123,19 @@ def delete_applied_partition(spark, folder):
     return _applied(spark, folder, partitioned=True)
 
 
+@query(
+    "delete_restored",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1""",
+)
+def delete_restored(spark, folder):
+    """A month is deleted and brought back from the recovery point."""
+    name = f"orders_{uuid.uuid4().hex[:8]}"
+    op.external_table(spark, table(spark, folder, "orders"), name)
+    done = op.delete_period(spark, op.Deletion.of_month(name, "o_orderdate", MONTH), dry_run=False)
+    op.restore(spark, name, done[7])
+    return spark.table(name).groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
+
+
 @query(
     "delete_records",
     f"""SELECT 'dry_run' AS status, count(*) AS total_rows_before, count(*) FILTER (WHERE {_month_test("o_orderdate", MONTH)}) AS rows_affected FROM orders

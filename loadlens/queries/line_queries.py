@@ -403,7 +403,7 @@ def file_characteristics(spark, folder):
 def structure_compare(spark, folder):
     profile = structure.file_characteristics(doc_lines(spark, folder))
     sources = table(spark, folder, "documents").select(F.col("doc_id").alias("file"), "source")
-    out = structure.compare_consecutive(profile.join(sources, "file"), group=["source"], order=["file"])
+    out = structure.compare_consecutive(profile.join(sources, "file"), group="source", order="file")
     return out.select(
         "source", "first_file", "second_file", "size_diff_pct", "line_diff_pct",
         F.concat_ws(",", "differences").alias("differences"), "compatible",

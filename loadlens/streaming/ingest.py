@@ -9,6 +9,8 @@ from loadlens.contracts import Contract
 from loadlens.functions.text import null_if
 from loadlens.sources import delimited, inventory
 
+ALL_BATCHES = 1_000_000
+
 
 def file_stream(spark: SparkSession, contract: Contract, folder: str, max_files: int | None = None) -> DataFrame:
     """A contract's landing folder as a stream of typed rows with their period.
@@ -37,7 +39,20 @@ def ingest_new_files(
     The checkpoint remembers the files seen and the sink's log makes each batch
     appear once, so a second call over the same folder adds nothing.
     """
-    query = (
+    keep = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(keep)
+    # Rows are added up from the progress of every batch, so all of it must be kept.
+    spark.conf.set(keep, str(ALL_BATCHES))
+    try:
+        query = _append_stream(spark, contract, folder, target, checkpoint, max_files)
+    finally:
+        spark.conf.set(keep, before)
+    query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def _append_stream(spark, contract, folder, target, checkpoint, max_files):
+    return (
         file_stream(spark, contract, folder, max_files)
         .writeStream.format("parquet")
         .option("path", target)
@@ -47,5 +62,3 @@ def ingest_new_files(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)

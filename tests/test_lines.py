@@ -177,3 +177,21 @@ def test_inventory_does_not_read_contents(spark, write_file, tmp_path):
     assert [r[0] for r in inventory.sort_inventory(files, "name").select(name).collect()] == ["a.tsv", "b.csv", "Data_X.csv.gz"]
     assert [r[0] for r in inventory.sort_inventory(files, "size", True).select(name).collect()][1:] == ["a.tsv", "b.csv"]
     assert rows(inventory.filter_inventory(files, "data GZ").select(name)) == [("Data_X.csv.gz",)]
+
+
+def test_previous_row_across_chunks(spark):
+    data = [(g, i * 3 + (i % 2), f"{g}{i}") for g, n in (("hot", 500), ("cold", 3), ("one", 1)) for i in range(n)]
+    df = spark.createDataFrame(data, "g string, o bigint, name string").repartition(7)
+    got = structure.with_previous(df, "g", "o", chunks=20).select("g", "o", "was.name")
+    want, last = [], {}
+    for g, o, name in data:
+        want.append((g, o, last.get(g)))
+        last[g] = name
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_width_of_the_first_line_rules(spark, write_file, tmp_path, small_splits):
+    write_file("w/even.tsv", "a\tb\n" * 900)
+    write_file("w/odd.tsv", "a\tb\tc\n" + "a\tb\n" * 899)
+    got = structure.ragged_rows(read_lines(spark, str(tmp_path / "w")), "\t")
+    assert got.count() == 899 and got.agg({"line_no": "min"}).collect()[0][0] == 2
