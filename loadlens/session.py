@@ -38,12 +38,14 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="loadlens-")
-        spark.sparkContext.setCheckpointDir(base)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts])
 
 

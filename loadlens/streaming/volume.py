@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def daily_volume(events: DataFrame, time_column: str, delay: str = "1 hour") -> DataFrame:
     """Rows per day, each day final once the watermark has passed it.
 
-    State is one row per open day. Rows later than ``delay`` are dropped and
+    Days are those of UTC. State is one row per open day. Rows later than ``delay`` are dropped and
     show up in the query's ``numRowsDroppedByWatermark``.
     """
     return (
