@@ -33,15 +33,19 @@ def _day(year: str, month: str, day: str, value: Column, pattern: str) -> Column
 
 
 def _named_day(value: Column, pattern: str, month: int, day: int, year: int) -> Column:
-    """A day whose month is a name: the place of its first letters gives the number."""
-    letters = F.lower(F.left(F.regexp_extract(value, pattern, month), F.lit(3)))
-    place = F.position(letters, F.lit(" ".join(m[:3] for m in MONTHS)))
-    return F.concat_ws(
-        "-",
-        F.regexp_extract(value, pattern, year),
-        ((place + 3) / 4).cast("int").cast("string"),
-        F.regexp_extract(value, pattern, day),
-    ).try_cast("date")
+    """A day whose month is a name: the place of its first letters gives the number.
+
+    Text the pattern does not fit is left as it is and then fails the cast.
+    """
+    names = F.lit(" ".join(m[:3] for m in MONTHS))
+
+    def read(text: Column) -> Column:
+        number = ((F.position(F.lower(F.substring(text, 6, 3)), names) + 3) / 4).cast("int")
+        return F.concat_ws(
+            "-", F.left(text, F.lit(4)), number.cast("string"), F.substring_index(text, "-", -1)
+        ).try_cast("date")
+
+    return F.transform(F.array(F.regexp_replace(value, pattern, f"${year}-${month}-${day}")), read)[0]
 
 
 def _plain_iso(v: Column) -> Column:
@@ -57,8 +61,7 @@ def _written_date(v: Column) -> Column:
     stamped = rf"^(\d{{1,2}})/(\d{{1,2}})/({_YEAR}) {_CLOCK}$"
     month_first = rf"^({_MONTH_NAME}) (\d{{1,2}}),? ({_YEAR})$"
     day_first = rf"^(\d{{1,2}}) ({_MONTH_NAME}) ({_YEAR})$"
-    named = F.when(v.rlike(month_first), _named_day(v, month_first, month=1, day=2, year=3))
-    return F.when(v.rlike("^[A-Za-z]"), named).otherwise(
+    return F.when(v.rlike("^[A-Za-z]"), _named_day(v, month_first, month=1, day=2, year=3)).otherwise(
         F.when(
             v.rlike(parts),
             F.coalesce(_day("$4", "$1", "$3", v, parts), _day("$4", "$3", "$1", v, parts)),

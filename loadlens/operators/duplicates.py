@@ -112,10 +112,8 @@ def check_duplicates(
 ) -> DataFrame:
     """One-row duplicate report of a table, optionally inside a day range."""
     groups = key_groups(df, keys, date_column, start, end, digest)
-    return (
-        duplicate_stats(groups, keys)
-        .withColumn("duplicate_pct", duplicate_percentage())
-        .withColumn("severity", severity(policy))
+    return duplicate_stats(groups, keys).select(
+        "*", duplicate_percentage().alias("duplicate_pct"), severity(policy).alias("severity")
     )
 
 

@@ -11,6 +11,7 @@ however large the table is.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -45,14 +46,21 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def daily_series(df: DataFrame, date_column: str, table_name: str = "", start=None, end=None) -> DataFrame:
+def _range_columns(target: Target) -> list[Column]:
+    named = (("requested_start", target.start), ("requested_end", target.end))
+    return [F.lit(None if v is None else dates.to_day(v)).cast("date").alias(name) for name, v in named]
+
+
+def daily_series(
+    df: DataFrame, date_column: str, table_name: str = "", start=None, end=None, extra: Sequence[Column] = ()
+) -> DataFrame:
     """Rows per day of one table. A range given here is pushed to the scan."""
     if start is not None and end is not None:
         df = df.filter(dates.date_between(df, date_column, start, end))
     return (
         df.groupBy(dates.as_date(df, date_column).alias("d"))
         .agg(F.count("*").alias("n"))
-        .select(F.lit(table_name).alias("table_name"), "d", "n")
+        .select(F.lit(table_name).alias("table_name"), "d", "n", *extra)
     )
 
 
@@ -66,11 +74,7 @@ def daily_series_of(targets: list[Target], push_range: bool = False, with_range:
         if t.df is None or not t.date_column:
             continue
         bounds = (t.start, t.end) if push_range else (None, None)
-        one = daily_series(t.df, t.date_column, t.table_name, *bounds)
-        if with_range:
-            for name, value in (("requested_start", t.start), ("requested_end", t.end)):
-                one = one.withColumn(name, F.lit(None if value is None else dates.to_day(value)).cast("date"))
-        frames.append(one)
+        frames.append(daily_series(t.df, t.date_column, t.table_name, *bounds, extra=_range_columns(t) if with_range else ()))
     return union_all(frames)
 
 
@@ -238,8 +242,7 @@ def classify_days(series: DataFrame, start=None, end=None) -> DataFrame:
     quartiles = F.percentile("n", F.array(F.lit(0.25), F.lit(0.75))).over(table)
     return (
         days(series, start, end)
-        .withColumn("avg_count", F.avg("n").over(table))
-        .withColumn("q", quartiles)
+        .select("*", F.avg("n").over(table).alias("avg_count"), quartiles.alias("q"))
         .select(
             "table_name",
             "d",

@@ -23,6 +23,15 @@ _TARGET_SCHEMA = (
     "has_keys boolean, present boolean, column_count bigint"
 )
 
+_DUPLICATE_SCHEMA = (
+    "table_name string, duplicate_keys bigint, excess_rows bigint, max_duplicates bigint, "
+    "avg_duplicates double, duplicate_severity string"
+)
+_COUNTS = (
+    "row_count", "total_rows", "unique_dates", "gap_count", *[s.lower() for s in SEVERITIES],
+    "unparseable_date_rows", "duplicate_keys", "excess_rows", "max_duplicates",
+)
+
 
 def target_frame(spark: SparkSession, targets: list[Target]) -> DataFrame:
     """What is known about the targets before any data is read."""
@@ -60,90 +69,61 @@ def series_audit(series: DataFrame, listed: int | None = LISTED) -> DataFrame:
     The table is scanned once, into the series. Gaps, averages and quartiles
     are windows over its days and everything else is one aggregation of them.
     """
+    d, n = F.col("d"), F.col("n")
     ranged = F.col("requested_start").isNotNull() & F.col("requested_end").isNotNull()
-    in_range = F.when(ranged, F.col("d").between(F.col("requested_start"), F.col("requested_end"))).otherwise(
-        F.lit(True)
-    )
-    inside = series.withColumn("inside", F.col("d").isNotNull() & in_range)
+    in_range = F.when(ranged, d.between(F.col("requested_start"), F.col("requested_end"))).otherwise(F.lit(True))
     side = Window.partitionBy("table_name", "inside")
+    quartiles = F.percentile("n", F.array(F.lit(0.25), F.lit(0.75)))
+    inside, gap, kind = F.col("inside"), F.col("gap"), F.col("severity")
     marked = (
-        inside.withColumn("prev", F.lag("d").over(side.orderBy("d")))
-        .withColumn("avg_count", F.avg("n").over(side))
-        .withColumn("q", F.percentile("n", F.array(F.lit(0.25), F.lit(0.75))).over(side))
-        .withColumn(
-            "severity",
-            F.when(
-                F.col("inside"), severity(F.col("n"), F.col("avg_count"), F.col("q")[0], F.col("q")[1])
-            ),
+        series.select("*", (d.isNotNull() & in_range).alias("inside"))
+        .select(
+            "*",
+            F.lag("d").over(side.orderBy("d")).alias("prev"),
+            F.avg("n").over(side).alias("avg_count"),
+            quartiles.over(side).alias("q"),
         )
-        .withColumn(
-            "gap",
-            F.when(F.col("inside"), F.greatest(F.datediff("d", "prev") - 1, F.lit(0))),
+        .select(
+            "*",
+            F.when(inside, severity(n, F.col("avg_count"), F.col("q")[0], F.col("q")[1])).alias("severity"),
+            F.when(inside, F.greatest(F.datediff("d", "prev") - 1, F.lit(0))).alias("gap"),
         )
     )
-    odd = F.col("severity").isin(*SEVERITIES)
-    gap_entry = F.when(
-        F.col("gap") > 0,
-        F.struct(
-            F.col("prev").alias("start_date"), F.col("d").alias("end_date"), F.col("gap").alias("missing_days")
-        ),
-    )
-    anomaly_entry = F.when(
-        odd,
-        F.struct(
-            severity_rank(F.col("severity")).alias("rank"),
-            F.col("d").alias("date"),
-            F.col("n").alias("row_count"),
-            F.floor("avg_count").alias("expected_count"),
-            F.col("severity").alias("severity"),
-            percent(F.col("n"), F.col("avg_count"), 1).alias("percent_of_average"),
-        ),
+    gap_entry = F.struct(F.col("prev").alias("start_date"), d.alias("end_date"), gap.alias("missing_days"))
+    anomaly_entry = F.struct(
+        severity_rank(kind).alias("rank"),
+        d.alias("date"),
+        n.alias("row_count"),
+        F.floor("avg_count").alias("expected_count"),
+        kind.alias("severity"),
+        percent(n, F.col("avg_count"), 1).alias("percent_of_average"),
     )
-    missing_entry = F.when(
-        F.col("gap") > 0, F.sequence(F.date_add("prev", 1), F.date_sub("d", 1))
-    )
-    return (
-        marked.groupBy("table_name")
-        .agg(
-            F.sum("n").alias("row_count"),
-            F.min("d").alias("actual_start"),
-            F.max("d").alias("actual_end"),
-            F.min(F.when(F.col("inside"), F.col("d"))).alias("first_inside"),
-            F.max(F.when(F.col("inside"), F.col("d"))).alias("last_inside"),
-            F.first("requested_start").alias("lo"),
-            F.first("requested_end").alias("hi"),
-            F.coalesce(F.sum(F.when(F.col("inside"), F.col("n"))), F.lit(0)).alias("total_rows"),
-            _count(F.col("inside")).alias("unique_dates"),
-            _count(F.col("gap") > 0).alias("gap_count"),
-            F.coalesce(F.sum(F.when(F.col("d").isNull(), F.col("n"))), F.lit(0)).alias("unparseable_date_rows"),
-            *[_count(F.col("severity") == s).alias(s.lower()) for s in SEVERITIES],
-            _listed(gap_entry, listed).alias("gaps"),
-            _listed(anomaly_entry, listed).alias("anomalous_dates"),
-            F.flatten(F.array_sort(F.collect_list(missing_entry))).alias("inner_missing"),
-        )
-        .withColumn("first", F.coalesce("lo", "actual_start"))
-        .withColumn("last", F.coalesce("hi", "actual_end"))
-        .withColumn("expected_dates", dates.expected_days(F.col("first"), F.col("last")))
-        .withColumn("missing_dates", F.col("expected_dates") - F.col("unique_dates"))
-        .withColumn("anomaly_count", sum((F.col(s.lower()) for s in SEVERITIES[1:]), F.col(SEVERITIES[0].lower())))
-        .withColumn(
-            "avg_rows_per_day",
-            F.when(F.col("unique_dates") > 0, F.col("total_rows") / F.col("unique_dates")).otherwise(F.lit(0.0)),
-        )
-        .withColumn("missing_date_list", _missing_list(listed))
-        .drop("lo", "hi", "first", "last", "first_inside", "last_inside", "inner_missing")
+    between = F.sequence(F.date_add("prev", 1), F.date_sub("d", 1))
+    return marked.groupBy("table_name").agg(
+        F.sum("n").alias("row_count"),
+        F.min("d").alias("actual_start"),
+        F.max("d").alias("actual_end"),
+        F.min(F.when(inside, d)).alias("first_inside"),
+        F.max(F.when(inside, d)).alias("last_inside"),
+        F.sum(F.when(inside, n)).alias("total_rows"),
+        _count(inside).alias("unique_dates"),
+        _count(gap > 0).alias("gap_count"),
+        F.sum(F.when(d.isNull(), n)).alias("unparseable_date_rows"),
+        *[_count(kind == s).alias(s.lower()) for s in SEVERITIES],
+        _listed(F.when(gap > 0, gap_entry), listed).alias("gaps"),
+        _listed(F.when(kind.isin(*SEVERITIES), anomaly_entry), listed).alias("anomalous_dates"),
+        F.flatten(F.array_sort(F.collect_list(F.when(gap > 0, between)))).alias("inner_missing"),
     )
 
 
-def _missing_list(listed: int | None) -> Column:
+def _missing_list(first: Column, last: Column, listed: int | None) -> Column:
     """First missing days: before the first present day, inside gaps, after the last."""
     nothing = F.array().cast("array<date>")
     stretch = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(nothing)
-    lead = stretch(F.col("first"), F.date_sub("first_inside", 1))
-    tail = stretch(F.date_add("last_inside", 1), F.col("last"))
-    whole = stretch(F.col("first"), F.col("last"))
+    lead = stretch(first, F.date_sub("first_inside", 1))
+    tail = stretch(F.date_add("last_inside", 1), last)
     some = F.concat(lead, F.col("inner_missing"), tail)
-    return _cut(F.coalesce(F.when(F.col("unique_dates") > 0, some).otherwise(whole), nothing), listed)
+    return _cut(F.coalesce(F.when(F.col("unique_dates") > 0, some).otherwise(stretch(first, last)), nothing), listed)
 
 
 def _reason(count: Column, text: str) -> Column:
@@ -179,39 +159,47 @@ def validate_tables(
     are exact; ``listed`` cuts the lists for display, None keeps them whole.
     """
     dated = [t for t in targets if t.df is not None and t.date_column]
-    frame = target_frame(spark, dated)
+    frame = target_frame(spark, dated).select("table_name", "requested_start", "requested_end")
     audit = series_audit(daily_series_of(dated, push_range, with_range=True), listed)
-    out = frame.select("table_name", "requested_start", "requested_end").join(audit, "table_name", "left")
     found = duplicate_audit(dated, policy)
     if found is None:
-        found = literal_frame(
-            spark,
-            [],
-            "table_name string, duplicate_keys bigint, excess_rows bigint, max_duplicates bigint, "
-            "avg_duplicates double, duplicate_severity string",
+        found = literal_frame(spark, [], _DUPLICATE_SCHEMA)
+    # Tables without any row have no series; their counts are zero and their range is all missing.
+    number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    first, last = F.coalesce("requested_start", "actual_start"), F.coalesce("requested_end", "actual_end")
+    total, days = F.col("total_rows"), F.col("unique_dates")
+    counted = (
+        frame.join(audit, "table_name", "left")
+        .join(found, "table_name", "left")
+        .select(
+            "table_name", "requested_start", "requested_end", "actual_start", "actual_end",
+            "first_inside", "last_inside", "inner_missing", "avg_duplicates",
+            *[number(c) for c in _COUNTS],
+            dates.expected_days(first, last).alias("expected_dates"),
+            F.coalesce("gaps", F.array()).alias("gaps"),
+            F.coalesce("anomalous_dates", F.array()).alias("anomalous_dates"),
+            F.coalesce("duplicate_severity", F.lit("NONE")).alias("duplicate_severity"),
         )
-    counts = [
-        "row_count", "total_rows", "unique_dates", "expected_dates", "missing_dates", "gap_count",
-        "anomaly_count", *[s.lower() for s in SEVERITIES], "unparseable_date_rows",
-        "duplicate_keys", "excess_rows", "max_duplicates",
-    ]
-    out = out.join(found, "table_name", "left")
-    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in counts})
-    any_rows = F.col("total_rows") > 0
+    )
+    missing = F.col("expected_dates") - days
     reasons = F.array_compact(
         F.array(
-            _reason(F.col("missing_dates"), " missing dates"),
+            _reason(missing, " missing dates"),
             _reason(F.col("gap_count"), " gaps in date sequence"),
             _reason(F.col("severely_low"), " dates with critically low row counts (<10% of average)"),
             _reason(F.col("outlier_low"), " dates with outlier low row counts"),
-            F.when(any_rows, _reason(F.col("duplicate_keys"), " duplicate keys found")),
+            F.when(total > 0, _reason(F.col("duplicate_keys"), " duplicate keys found")),
         )
     )
-    return (
-        out.withColumn("duplicate_severity", F.coalesce("duplicate_severity", F.lit("NONE")))
-        .withColumn("avg_rows_per_day", F.coalesce("avg_rows_per_day", F.lit(0.0)))
-        .withColumn("failure_reasons", reasons)
-        .withColumn("valid", F.size("failure_reasons") == 0)
+    hidden = ("first_inside", "last_inside", "inner_missing")
+    return counted.select(
+        *[c for c in counted.columns if c not in hidden],
+        missing.alias("missing_dates"),
+        sum((F.col(s.lower()) for s in SEVERITIES[1:]), F.col(SEVERITIES[0].lower())).alias("anomaly_count"),
+        F.when(days > 0, total / days).otherwise(F.lit(0.0)).alias("avg_rows_per_day"),
+        _missing_list(first, last, listed).alias("missing_date_list"),
+        reasons.alias("failure_reasons"),
+        (F.size(reasons) == 0).alias("valid"),
     )
 
 

@@ -132,3 +132,10 @@ def test_one_broken_table_does_not_stop_the_report(spark):
     got = report.isolated_report(spark, [Target("g", good, "d"), Target("x", broken, "d"), Target("m", None, "d")])
     assert rows(got, "table_name", "status") == [("g", "SUCCESS"), ("m", "TABLE_NOT_FOUND"), ("x", "ERROR")]
     assert "disk gone" in got.filter("status = 'ERROR'").collect()[0]["error_message"]
+
+
+def test_empty_table_with_a_range_misses_all_of_it(spark):
+    empty = orders(spark, ["2024-01-02"]).filter("k > 5")
+    got = audit.validate_tables(spark, [Target("b", empty, "d", ["k"], "2024-01-01", "2024-01-03")]).collect()[0]
+    assert (got["expected_dates"], got["missing_dates"], len(got["missing_date_list"])) == (3, 3, 3)
+    assert not got["valid"]
