@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions import dates
 from loadlens.operators.series import Target, union_all
+from loadlens.session import literal_frame
 
 POLICIES = ("count", "ratio", "documented")
 
@@ -45,21 +46,28 @@ def null_key(keys: list[str]) -> Column:
     return test
 
 
+_STATS = (
+    "coalesce(sum(n), 0) as total_rows",
+    "count_if(n > 1) as duplicate_keys",
+    "coalesce(sum(n - 1) filter (where n > 1), 0) as excess_rows",
+    "coalesce(max(n) filter (where n > 1), 0) as max_duplicates",
+    "coalesce(round(avg(n) filter (where n > 1), 2), 0.0D) as avg_duplicates",
+    "coalesce(sum(n) filter (where has_null), 0) as null_key_rows",
+    "count_if(n > 1 and has_null) as null_duplicate_keys",
+)
+
+
+def group_sizes(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Size of each key group and whether part of its key is missing."""
+    return groups.select("n", null_key(keys).alias("has_null"))
+
+
 def duplicate_stats(groups: DataFrame, keys: list[str]) -> DataFrame:
     """Total rows, duplicate keys, excess rows, largest and mean group, null keys.
 
     Totals come from the same groups, so one shuffle serves all of them.
     """
-    dup = F.col("n") > 1
-    return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
-        F.count(F.when(dup, 1)).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(dup, F.col("n") - 1)), F.lit(0)).alias("excess_rows"),
-        F.coalesce(F.max(F.when(dup, F.col("n"))), F.lit(0)).alias("max_duplicates"),
-        F.coalesce(F.round(F.avg(F.when(dup, F.col("n"))), 2), F.lit(0.0)).alias("avg_duplicates"),
-        F.coalesce(F.sum(F.when(null_key(keys), F.col("n"))), F.lit(0)).alias("null_key_rows"),
-        F.count(F.when(dup & null_key(keys), 1)).alias("null_duplicate_keys"),
-    )
+    return group_sizes(groups, keys).agg(*[F.expr(e) for e in _STATS])
 
 
 def duplicate_samples(groups: DataFrame, keys: list[str], limit: int = 10) -> DataFrame:
@@ -118,13 +126,20 @@ def check_duplicates(
 
 
 def check_tables(targets: list[Target], policy: str = "count") -> DataFrame:
-    """Duplicate reports of several tables, one row each."""
-    return union_all(
-        [
-            check_duplicates(t.df, t.key_columns, t.date_column, t.start, t.end, policy).select(
-                F.lit(t.table_name).alias("table_name"), "*"
-            )
-            for t in targets
-            if t.df is not None and t.key_columns
-        ]
-    )
+    """Duplicate reports of several tables, one row each.
+
+    The sizes of all tables' groups go through one aggregation. A size of zero
+    is added per table, so that a table without rows still has its report.
+    """
+    sizes = []
+    for t in targets:
+        if t.df is None or not t.key_columns:
+            continue
+        name = F.lit(t.table_name).alias("table_name")
+        groups = key_groups(t.df, t.key_columns, t.date_column, t.start, t.end)
+        sizes.append(group_sizes(groups, t.key_columns).select(name, "n", "has_null"))
+    spark = sizes[0].sparkSession
+    named = [(t.table_name, 0, False) for t in targets if t.df is not None and t.key_columns]
+    sizes.append(literal_frame(spark, named, "table_name string, n bigint, has_null boolean"))
+    stats = union_all(sizes).groupBy("table_name").agg(*[F.expr(e) for e in _STATS])
+    return stats.select("*", duplicate_percentage().alias("duplicate_pct"), severity(policy).alias("severity"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,6 +63,3 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder; nothing is overwritten."""
     return shared_folder(spark, "loadlens", f"{label}-{uuid.uuid4().hex[:12]}")
 
-
-def default_parallelism() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

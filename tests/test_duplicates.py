@@ -80,3 +80,9 @@ def test_digest_keys_equal_plain_keys(spark):
     df = spark.createDataFrame([("a" * 500,), ("a" * 500,), ("b",), (None,), (None,)], "t string")
     plain = op.duplicate_stats(op.key_groups(df, ["t"]), ["t"]).collect()
     assert op.duplicate_stats(op.key_groups(df, ["t"], digest=("t",)), ["t"]).collect() == plain
+
+
+def test_table_without_rows_has_a_report(spark):
+    df = spark.range(10).select(F.lit(1).alias("k"))
+    got = op.check_tables([op.Target("full", df, None, ["k"]), op.Target("empty", df.filter("k > 1"), None, ["k"])])
+    assert rows(got, "table_name", "total_rows", "excess_rows", "severity") == [("empty", 0, 0, "NONE"), ("full", 10, 9, "LOW")]
