@@ -161,7 +161,11 @@ def date_between(df: DataFrame, name: str, start, end) -> Column:
         return (col >= F.lit(f"{lo} 00:00:00").cast(kind)) & (
             col < F.lit(f"{after} 00:00:00").cast(kind)
         )
-    return as_date(df, name).between(F.lit(lo), F.lit(hi))
+    parsed = as_date(df, name)
+    if isinstance(dtype, T.IntegralType):
+        # Only eight digits are a date, and those sort like their days: the bounds reach the files.
+        return col.between(F.lit(int(f"{lo:%Y%m%d}")), F.lit(int(f"{hi:%Y%m%d}"))) & parsed.isNotNull()
+    return parsed.between(F.lit(lo), F.lit(hi))
 
 
 def raw_between(name: str, start, end) -> Column:

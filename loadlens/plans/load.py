@@ -69,13 +69,15 @@ def load_contract(
     partition_by: str | None = None,
     quarantine: str | None = None,
     spread: bool = False,
+    reject_ragged: bool = False,
 ) -> LoadResult:
     """Append files to a Parquet table.
 
     ``abort`` casts strictly, so one bad value fails the whole load and nothing
     becomes visible. ``quarantine`` loads the rows that cast and, only if there
     are others, writes those to their own folder with a second read. Rows are
-    counted while they are written. ``spread`` evens out the written files when
+    counted while they are written. Rows of the wrong width are padded or cut,
+    or with ``reject_ragged`` quarantined too. ``spread`` evens out the written files when
     the input is a few large archives, each of which is one task.
     """
     started = time.monotonic()
@@ -84,7 +86,7 @@ def load_contract(
         rows = read_contract(spark, contract, paths, ragged=on_error == "quarantine", source=bool(partition_by))
         counts = Observation()
         if on_error == "quarantine":
-            judged = judge_rows(rows, contract)
+            judged = judge_rows(rows, contract, reject_ragged)
             good = F.size(REJECTED) == 0
             judged = judged.observe(
                 counts,
@@ -108,8 +110,8 @@ def load_contract(
         writer.parquet(target)
         loaded, rejected = counts.get["loaded"], counts.get["rejected"]
         if rejected and quarantine:
-            again = judge_rows(read_contract(spark, contract, paths, ragged=True, source=True), contract)
-            again.filter(F.size(REJECTED) > 0).write.mode("append").parquet(quarantine)
+            again = read_contract(spark, contract, paths, ragged=True, source=True)
+            judge_rows(again, contract, reject_ragged).filter(F.size(REJECTED) > 0).write.mode("append").parquet(quarantine)
         return LoadResult(contract.table_name, label, "success", loaded, rejected, time.monotonic() - started)
     except Exception as error:  # noqa: BLE001 - reported per load
         text = str(error).splitlines()[0]

@@ -78,26 +78,22 @@ def scan_delimited(
 def typed(value: Column, dtype: str, strict: bool) -> Column:
     """A text cell in its declared type.
 
-    Strict conversion raises on a bad value and so fails the load; otherwise
-    bad values come out null.
+    Bad values come out null, or, if strict, raise and so fail the load
+    whatever the session's ANSI setting is.
     """
     kind = dtype.lower()
     if kind in ("string", "varchar"):
         return value
     if kind == "date":
-        return (
-            F.to_date(value, DATE_FORMAT)
-            if strict
-            else F.try_to_timestamp(value, F.lit(DATE_FORMAT)).cast("date")
-        )
-    if kind in ("timestamp", "timestamp_ntz"):
-        made = (
-            F.to_timestamp(value, TIMESTAMP_FORMAT)
-            if strict
-            else F.try_to_timestamp(value, F.lit(TIMESTAMP_FORMAT))
-        )
-        return made.cast(kind)
-    return value.cast(dtype) if strict else value.try_cast(dtype)
+        made = F.try_to_timestamp(value, F.lit(DATE_FORMAT)).cast("date")
+    elif kind in ("timestamp", "timestamp_ntz"):
+        made = F.try_to_timestamp(value, F.lit(TIMESTAMP_FORMAT)).cast(kind)
+    else:
+        made = value.try_cast(dtype)
+    if not strict:
+        return made
+    message = F.concat(F.lit(f"not a {kind}: "), value)
+    return F.when(value.isNull() | made.isNotNull(), made).otherwise(F.raise_error(message).cast(kind))
 
 
 def apply_types(df: DataFrame, types: dict[str, str], strict: bool = True) -> DataFrame:

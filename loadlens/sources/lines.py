@@ -93,6 +93,18 @@ def _split_offsets(lines: DataFrame) -> DataFrame:
     )
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Make every scan of the same files cut them alike.
+
+    Spark sizes splits by the cores it sees when a scan starts, which may
+    change while executors come and go. A fixed least number of partitions
+    takes that out; a setting made by the user is kept.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, 1)))
+
+
 def number_lines(selected: DataFrame, lines: DataFrame) -> DataFrame:
     """Add ``line_no`` (from one, per file) to some rows of a lines DataFrame.
 
@@ -102,9 +114,11 @@ def number_lines(selected: DataFrame, lines: DataFrame) -> DataFrame:
     """
     if "line_no" in selected.columns:
         return selected
-    offsets = _split_offsets(lines)
+    pin_splits(lines.sparkSession)
+    number = F.col("lines_before") + F.col("seq") - F.col("first_seq") + 1
+    lost = F.raise_error(F.lit("files were split differently by two scans")).cast("bigint")
     return (
-        selected.join(offsets, ["file", "block"])
-        .withColumn("line_no", F.col("lines_before") + F.col("seq") - F.col("first_seq") + 1)
+        selected.join(_split_offsets(lines), ["file", "block"], "left")
+        .withColumn("line_no", F.when(number > 0, number).otherwise(lost))
         .drop("first_seq", "lines_before")
     )

@@ -74,3 +74,12 @@ def test_month_by_spelling(spark):
     df = spark.createDataFrame([(c,) for c in cells], "c string")
     got = [r[0] for r in df.filter(dates.in_month_spelling(df, "c", "2023-08")).collect()]
     assert got == cells[:4]
+
+
+def test_integer_days_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(20240105,), (20240131,), (20240199,), (20240201,), (5,)], "d int").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = df.filter(dates.date_between(df, "d", "2024-01-01", "2024-01-31"))
+    assert "GreaterThanOrEqual(d,20240101)" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r[0] for r in found.collect()) == [20240105, 20240131]

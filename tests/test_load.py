@@ -148,3 +148,33 @@ def test_proposals(spark, write_file, tmp_path):
     assert sales["expected_columns"] == ["RECORDDATE", "ASSETID", "v"] and sales["table_name"] == "_SALES"
     assert sales["duplicate_key_columns"] == ["RECORDDATE", "ASSETID"] and sales["delimiter"] == "\t"
     assert got["test_x_{month}.csv"]["expected_columns"] == ["COLUMN_1", "COLUMN_2", "COLUMN_3"]
+
+
+def test_strict_load_fails_without_ansi_too(spark, write_file):
+    path = write_file("test_20240101-20240103.tsv", BODY.replace("101.25", "1O1"))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        got = op.load_contract(spark, TEST, path, scratch(spark, "t"))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert got.status == "failed" and "1O1" in got.error
+
+
+def test_ragged_rows_can_be_rejected(spark, write_file):
+    path = write_file("test_20240101-20240103.tsv", BODY + "20240104\tA003\n" + "20240105\tA\tF\t1.0\textra\n")
+    padded = op.load_contract(spark, TEST, path, scratch(spark, "t"), on_error="quarantine")
+    assert (padded.rows_loaded, padded.rows_rejected) == (5, 0)
+    rejects = scratch(spark, "r")
+    strict = op.load_contract(
+        spark, TEST, path, scratch(spark, "t"), on_error="quarantine", quarantine=rejects, reject_ragged=True
+    )
+    assert (strict.rows_loaded, strict.rows_rejected) == (3, 2)
+    assert spark.read.parquet(rejects).count() == 2
+
+
+def test_named_tables_are_listed(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS other")
+    for name in ("default.sales_x", "other.sales_x", "default.alone"):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (a int) USING parquet")
+    assert rows(profile.catalog_inventory(spark, "SALES_X"), "database", "is_match") == [("default", True), ("other", True)]
+    assert profile.catalog_inventory(spark, "nowhere", limit=2).count() == 2
