@@ -72,6 +72,11 @@ class Contract:
         stem = name.rsplit(".", 1)[0] if "." in name else name
         return f"^{re.escape(stem)}\\.(?:tsv|csv|txt)(?:\\.gz)?$"
 
+    def typed_like(self, table: DataFrame) -> "Contract":
+        """Column types taken from the table that is loaded, matched without regard to case."""
+        kinds = {f.name.lower(): f.dataType.simpleString() for f in table.schema.fields}
+        return replace(self, types={c: kinds[c.lower()] for c in self.expected_columns if c.lower() in kinds})
+
     def with_range(self, start: dt.date, end: dt.date) -> "Contract":
         return replace(self, date_range=(start, end))
 

@@ -9,11 +9,13 @@ folder is the recovery point.
 from __future__ import annotations
 
 import datetime as dt
+import fnmatch
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.contracts import Contract
 from loadlens.functions import dates
 from loadlens.operators.series import union_all
 from loadlens.session import scratch
@@ -40,6 +42,16 @@ class Deletion:
         return Deletion(table_name, date_column, first, last, month if by_spelling else None)
 
 
+def deletions_of(contracts: list[Contract], months: list[str], table_filter: str | None = None) -> list[Deletion]:
+    """Every month of every contracted table with a date column; tables filtered by a shell-style name."""
+    return [
+        Deletion.of_month(c.table_name, c.date_column, month)
+        for c in contracts
+        if c.date_column and (not table_filter or fnmatch.fnmatch(c.table_name.lower(), table_filter.lower()))
+        for month in months
+    ]
+
+
 def in_period(df: DataFrame, target: Deletion, raw: bool = False) -> Column:
     """Rows of the period; rows without a usable date are never in it."""
     if target.by_spelling:

@@ -16,6 +16,7 @@ from loadlens.functions import dates
 from loadlens.functions.text import field_at, fields, occurrences, strip
 from loadlens.operators.history import HISTORY_SCHEMA
 from loadlens.operators.series import LISTED
+from loadlens.session import literal_frame
 from loadlens.sources import delimited, inventory
 from loadlens.sources.delimited import RAGGED, SOURCE
 from loadlens.sources.lines import ORDER, number_lines, read_lines
@@ -256,6 +257,38 @@ def load_totals(results: DataFrame) -> DataFrame:
     )
 
 
+def month_paths(spark: SparkSession, folder: str, months: list[str] | None = None) -> list[tuple[str, str]]:
+    """Month folders under a folder as ``(month, path)``, all of them or the listed ones."""
+    files = inventory.file_inventory(spark, folder)
+    found = files.select(
+        inventory.period_of_path(F.col("path")).alias("period"),
+        F.regexp_replace("path", r"/[^/]*$", "").alias("folder"),
+    ).filter(F.col("period").isNotNull())
+    if months is not None:
+        found = found.filter(F.col("period").isin(*months))
+    pairs = sorted((r["period"], r["folder"]) for r in found.distinct().collect())
+    if not pairs:
+        raise ValueError(f"no month folders under {folder}")
+    return pairs
+
+
+def load_each_month(
+    spark: SparkSession,
+    contract: Contract,
+    folder: str,
+    target: str,
+    months: list[str] | None = None,
+    partition_by: str = "period",
+    **options,
+) -> DataFrame:
+    """Load month folders one after another, one result row each; a bad month does not stop the others."""
+    results = [
+        load_contract(spark, contract, path, target, partition_by=partition_by, **options)
+        for _, path in month_paths(spark, folder, months)
+    ]
+    return results_frame(spark, results)
+
+
 def load_months(
     spark: SparkSession,
     contract: Contract,
@@ -267,17 +300,12 @@ def load_months(
 ) -> tuple[LoadResult, DataFrame]:
     """Load all month folders, or the listed ones, as one partitioned job.
 
-    Returns the load's result and the rows per month it put into the table.
+    Returns the load's result and the table's rows per month after it.
     """
-    files = inventory.file_inventory(spark, folder)
-    found = files.withColumn("period", inventory.period_of_path(F.col("path"))).filter(F.col("period").isNotNull())
-    if months is not None:
-        found = found.filter(F.col("period").isin(*months))
-    parents = found.select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct()
-    paths = sorted(r["folder"] for r in parents.collect())
-    if not paths:
-        raise ValueError(f"no month folders under {folder}")
+    paths = [path for _, path in month_paths(spark, folder, months)]
     result = load_contract(spark, contract, paths, target, partition_by=partition_by, **options)
+    if result.status != "success":
+        return result, literal_frame(spark, [], "period string, rows_loaded bigint")
     table = spark.read.parquet(target)
     return result, table.groupBy(F.col(partition_by).cast("string").alias("period")).agg(
         F.count("*").alias("rows_loaded")

@@ -12,10 +12,13 @@ from loadlens.sources import delimited, inventory
 ALL_BATCHES = 1_000_000
 
 
-def file_stream(spark: SparkSession, contract: Contract, folder: str, max_files: int | None = None) -> DataFrame:
+def file_stream(
+    spark: SparkSession, contract: Contract, folder: str, max_files: int | None = None, strict: bool = True
+) -> DataFrame:
     """A contract's landing folder as a stream of typed rows with their period.
 
-    The period comes from the folder (``2024-01`` or ``period=2024-01``).
+    The period comes from the folder (``2024-01`` or ``period=2024-01``). As in
+    a batch load a bad value fails the batch; if not strict it comes out null.
     """
     reader = (
         spark.readStream.schema(delimited.string_schema(contract.expected_columns))
@@ -28,11 +31,17 @@ def file_stream(spark: SparkSession, contract: Contract, folder: str, max_files:
         *[null_if(F.col(c)).alias(c) for c in contract.expected_columns],
         inventory.period_of_path(F.col("_metadata.file_path")).alias("period"),
     )
-    return delimited.apply_types(rows, contract.types, strict=False)
+    return delimited.apply_types(rows, contract.types, strict)
 
 
 def ingest_new_files(
-    spark: SparkSession, contract: Contract, folder: str, target: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession,
+    contract: Contract,
+    folder: str,
+    target: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    strict: bool = True,
 ) -> int:
     """Append everything new since the last call and return the rows added.
 
@@ -44,17 +53,16 @@ def ingest_new_files(
     # Rows are added up from the progress of every batch, so all of it must be kept.
     spark.conf.set(keep, str(ALL_BATCHES))
     try:
-        query = _append_stream(spark, contract, folder, target, checkpoint, max_files)
+        query = _append(file_stream(spark, contract, folder, max_files, strict), target, checkpoint)
     finally:
         spark.conf.set(keep, before)
     query.awaitTermination()
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
-def _append_stream(spark, contract, folder, target, checkpoint, max_files):
+def _append(rows: DataFrame, target: str, checkpoint: str):
     return (
-        file_stream(spark, contract, folder, max_files)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .partitionBy("period")

@@ -79,3 +79,12 @@ def test_raw_compare_misses_iso_text(spark):
     target = op.Deletion.of_month("t", "d", "2024-01")
     assert df.filter(op.in_period(df, target)).count() == 2
     assert df.filter(op.in_period(df, target, raw=True)).count() == 1
+
+
+def test_deletions_over_contracts():
+    from loadlens.contracts import Contract
+
+    contracts = [Contract("a_{month}.tsv", "SALES", date_column="d"), Contract("b.tsv", "NO_DATE"), Contract("c.tsv", "STOCK", date_column="d")]
+    got = [(t.table_name, t.start.month, t.end.day) for t in op.deletions_of(contracts, ["2024-01", "2024-02"])]
+    assert got == [("SALES", 1, 31), ("SALES", 2, 29), ("STOCK", 1, 31), ("STOCK", 2, 29)]
+    assert {t.table_name for t in op.deletions_of(contracts, ["2024-01"], "sal*")} == {"SALES"}

@@ -178,3 +178,28 @@ def test_named_tables_are_listed(spark):
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (a int) USING parquet")
     assert rows(profile.catalog_inventory(spark, "SALES_X"), "database", "is_match") == [("default", True), ("other", True)]
     assert profile.catalog_inventory(spark, "nowhere", limit=2).count() == 2
+
+
+def test_a_bad_month_does_not_stop_the_others(spark, write_file, tmp_path):
+    for folder, body in (("2024-01", BODY), ("022024", BODY.replace("100.50", "x")), ("2024-03", BODY), ("notes", BODY)):
+        write_file(f"m/{folder}/a.tsv", body)
+    target = scratch(spark, "t")
+    got = op.load_each_month(spark, TEST, str(tmp_path / "m"), target)
+    assert rows(op.load_totals(got), "status", "loads", "rows_loaded") == [("failed", 1, 0), ("success", 2, 6)]
+    whole, _ = op.load_months(spark, TEST, str(tmp_path / "m"), scratch(spark, "t"))
+    assert whole.status == "failed"
+    some, counts = op.load_months(spark, TEST, str(tmp_path / "m"), scratch(spark, "t"), months=["2024-01", "2024-03"])
+    assert some.rows_loaded == 6 and rows(counts) == [("2024-01", 3), ("2024-03", 3)]
+
+
+def test_types_come_from_the_table(spark):
+    table = spark.createDataFrame([], "RECORDDATE date, VALUE decimal(10,2), other int")
+    assert TEST.typed_like(table).types == {"recordDate": "date", "value": "decimal(10,2)"}
+
+
+def test_stream_fails_on_a_bad_value(spark, write_file, tmp_path):
+    write_file("bad/2024-01/a.tsv", BODY.replace("100.50", "x"))
+    args = (spark, TEST, str(tmp_path / "bad"), str(tmp_path / "table"))
+    with pytest.raises(Exception, match="not a double: x"):
+        ingest_new_files(*args, str(tmp_path / "s1"))
+    assert ingest_new_files(*args, str(tmp_path / "s2"), strict=False) == 3
