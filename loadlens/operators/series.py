@@ -145,17 +145,22 @@ def missing_from_gaps(series: DataFrame, start=None, end=None, longest: int | No
 
 
 def missing_days(series: DataFrame, start=None, end=None) -> DataFrame:
-    """Calendar days without rows: the requested range, else first to last day."""
-    found = days(series, start, end).select("table_name", F.col("d").alias("missing_date"))
+    """Calendar days without rows: the requested range, else first to last day.
+
+    A table's present days are gathered once (no more than the calendar has)
+    and taken out of the expected ones.
+    """
+    present = F.col("d")
     if start is not None and end is not None:
         lo, hi = F.lit(dates.to_day(start)), F.lit(dates.to_day(end))
-        spans = series.select("table_name").distinct().select("table_name", lo.alias("lo"), hi.alias("hi"))
+        present = F.when(present.between(lo, hi), present)
     else:
-        spans = found.groupBy("table_name").agg(F.min("missing_date").alias("lo"), F.max("missing_date").alias("hi"))
-    spine = spans.filter(F.col("lo").isNotNull()).select(
-        "table_name", F.explode(F.sequence("lo", "hi")).alias("missing_date")
+        lo, hi = F.col("lo"), F.col("hi")
+    return (
+        series.groupBy("table_name")
+        .agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.collect_list(present).alias("present"))
+        .select("table_name", F.explode(F.array_except(F.sequence(lo, hi), "present")).alias("missing_date"))
     )
-    return spine.join(found, ["table_name", "missing_date"], "left_anti")
 
 
 def date_distribution(series: DataFrame, start, end) -> DataFrame:

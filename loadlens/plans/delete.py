@@ -1,15 +1,17 @@
 """Period delete: impact, preview, keep-set rewrite, recovery.
 
-Tables are Spark catalog tables. A delete never edits files in place: a table
-partitioned by month drops the partitions of whole months, and everything else
-writes the rows that stay to a new folder and points the table at it. The old
-folder is the recovery point.
+Tables are external Spark catalog tables. A delete never edits files in place.
+In a table partitioned by month, partitions of whole months are dropped and
+months that go in part are rewritten to a new folder; in any other table the
+rows that stay are written to a new folder and the table is pointed at it. The
+files of before stay where they are and are the recovery point.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import fnmatch
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -130,21 +132,47 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _whole_months(target: Deletion) -> list[str] | None:
-    """Months of the period if it is made of whole months."""
-    day_after = target.end + dt.timedelta(days=1)
-    if target.start.day != 1 or day_after.day != 1:
-        return None
-    months, cursor = [], target.start
-    while cursor < day_after:
+def _months_touched(target: Deletion) -> list[str]:
+    months, cursor = [], target.start.replace(day=1)
+    while cursor <= target.end:
         months.append(f"{cursor:%Y-%m}")
-        cursor = (cursor.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        cursor = (cursor + dt.timedelta(days=32)).replace(day=1)
     return months
 
 
-def _drop_months(spark: SparkSession, table: str, column: str, months: list[str]) -> None:
-    for month in months:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}='{month}')")
+def _partition_location(spark: SparkSession, table: str, column: str, month: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({column}='{month}')")
+    return rows.filter("col_name = 'Location'").collect()[0]["data_type"]
+
+
+def _delete_from_months(spark: SparkSession, df: DataFrame, target: Deletion, column: str) -> str:
+    """Delete from a table partitioned by month; returns where its partitions were, as JSON.
+
+    Partitions of whole months are dropped unread. Of a month that goes only in
+    part, the rows that stay are written to a new folder and its partition is
+    pointed there. Other months are not touched.
+    """
+    table = target.table_name
+    listed = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    touched = [m for m in _months_touched(target) if m in listed]
+    before = {m: _partition_location(spark, table, column, m) for m in touched}
+    first_last = {m: dates.month_range(m) for m in touched}
+    parts = [m for m in touched if first_last[m][0] < target.start or first_last[m][1] > target.end]
+    kept = {}
+    if parts:
+        folder, seen = scratch(spark, table.replace(".", "_")), Observation()
+        counts = [F.count_if(F.col(column).cast("string") == m).alias(f"n{i}") for i, m in enumerate(parts)]
+        rows = df.filter(F.col(column).cast("string").isin(*parts))
+        keep_rows(rows, [target]).observe(seen, *counts).write.partitionBy(column).parquet(folder)
+        kept = {m: f"{folder}/{column}={m}" for i, m in enumerate(parts) if seen.get[f"n{i}"]}
+    for month in touched:
+        spec = f"PARTITION ({column}='{month}')"
+        if month in kept:
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{kept[month]}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+    spark.catalog.refreshTable(table)
+    return json.dumps({"partition": column, "locations": before})
 
 
 def _rewrite(spark: SparkSession, df: DataFrame, target: Deletion, partitions: list[str]) -> tuple[str, int]:
@@ -177,7 +205,7 @@ def delete_period(
     """Delete one period of one table and describe what happened.
 
     ``month_partition`` names a ``YYYY-MM`` partition column derived from the
-    date column; whole months are then dropped without reading their rows.
+    date column; only the partitions of the period's months are then changed.
     """
     if not spark.catalog.tableExists(target.table_name):
         return _record(target, "failed", 0, 0, error=f"table {target.table_name} not found")
@@ -190,15 +218,13 @@ def delete_period(
         return _record(target, "skipped", total, 0, error="no matching rows")
     if dry_run:
         return _record(target, "dry_run", total, hits)
+    if month_partition and not target.by_spelling:
+        recovery = _delete_from_months(spark, df, target, month_partition)
+        if total - spark.table(target.table_name).count() != hits:
+            restore(spark, target.table_name, recovery)
+            return _record(target, "failed", total, 0, recovery, "rows outside their month's partition")
+        return _record(target, "success", total, hits, recovery)
     before = _location(spark, target.table_name)
-    months = _whole_months(target)
-    if month_partition and months and not target.by_spelling:
-        _drop_months(spark, target.table_name, month_partition, months)
-        left = spark.table(target.table_name).count()
-        if total - left != hits:
-            restore_months(spark, target.table_name)
-            return _record(target, "failed", total, 0, before, "rows outside their month's partition")
-        return _record(target, "success", total, hits, before)
     folder, kept = _rewrite(spark, df, target, _partition_columns(spark, target.table_name))
     if total - kept != hits:
         return _record(target, "failed", total, 0, before, "table changed during the delete")
@@ -207,13 +233,15 @@ def delete_period(
 
 
 def restore(spark: SparkSession, table: str, recovery: str) -> None:
-    """Undo a rewrite: point the table back at its previous folder."""
-    point_table_at(spark, table, recovery)
-
-
-def restore_months(spark: SparkSession, table: str) -> None:
-    """Undo dropped partitions of an external table: their files are still there."""
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    """Undo a delete: point the table, or its changed partitions, back at the files of before."""
+    if not recovery.startswith("{"):
+        point_table_at(spark, table, recovery)
+        return
+    saved = json.loads(recovery)
+    for month, location in saved["locations"].items():
+        spec = f"PARTITION ({saved['partition']}='{month}')"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+        spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION '{location}'")
     spark.catalog.refreshTable(table)
 
 

@@ -36,10 +36,7 @@ def test_month_goes_and_comes_back(spark, made, partitioned):
     left = spark.table(name)
     assert left.count() == 63 and left.filter("d is null").count() == 2
     assert left.filter("month(d) = 2").count() == 0
-    if partitioned:
-        op.restore_months(spark, name)
-    else:
-        op.restore(spark, name, done[7])
+    op.restore(spark, name, done[7])
     assert spark.table(name).count() == 92
 
 
@@ -52,8 +49,36 @@ def test_part_of_a_month_in_a_partitioned_table(spark, made):
     assert done[3] == "success" and done[5] == 41
     assert spark.table(name).count() == 51
     assert "2024-02" not in [r[0] for r in spark.table(name).select("period").distinct().collect()]
+    again = op.delete_period(
+        spark, op.Deletion(name, "d", dt.date(2024, 1, 10), dt.date(2024, 1, 31)), dry_run=False, month_partition="period"
+    )
+    assert again[3] == "success" and again[5] == 10 and spark.table(name).count() == 41
+    op.restore(spark, name, again[7])
+    assert spark.table(name).count() == 51
     op.restore(spark, name, done[7])
-    assert spark.table(name).count() == 92
+    assert spark.table(name).count() == 92 and spark.table(name).filter("d is null").count() == 2
+
+
+def test_untouched_months_keep_their_files(spark, made):
+    name = made(True)
+    import datetime as dt
+
+    files = lambda m: sorted(spark.table(name).filter(F.col("period") == m).select("_metadata.file_path").distinct().collect())
+    march = files("2024-03")
+    op.delete_period(
+        spark, op.Deletion(name, "d", dt.date(2024, 1, 20), dt.date(2024, 2, 10)), dry_run=False, month_partition="period"
+    )
+    assert files("2024-03") == march and spark.table(name).count() == 70
+    assert spark.table(name).filter("period = '2024-02'").count() == 19
+
+
+def test_rows_outside_their_month_stop_the_delete(spark):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    df = spark.sql("select date'2024-01-05' as d, '2024-01' as period union all select date'2024-01-06', '2024-02'")
+    op.external_table(spark, df, name, "period")
+    got = op.delete_period(spark, op.Deletion.of_month(name, "d", "2024-01"), dry_run=False, month_partition="period")
+    assert got[3] == "failed" and spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_dry_run_changes_nothing(spark, made):
