@@ -64,14 +64,28 @@ def daily_series(
     )
 
 
-def daily_series_of(targets: list[Target], push_range: bool = False, with_range: bool = False) -> DataFrame:
+def row_total(target: Target) -> DataFrame:
+    """All rows of a table as one entry without a day, shaped like its daily series."""
+    counted = target.df.agg(F.count("*").alias("n"))
+    day = F.lit(None).cast("date").alias("d")
+    return counted.select(F.lit(target.table_name).alias("table_name"), day, "n", *_range_columns(target))
+
+
+def daily_series_of(
+    targets: list[Target], push_range: bool = False, with_range: bool = False, undated: bool = False
+) -> DataFrame:
     """The daily series of several tables, one scan each.
 
-    ``with_range`` adds each table's requested first and last day as columns.
+    ``with_range`` adds each table's requested first and last day as columns;
+    ``undated`` then also adds tables without a date column as row totals.
     """
     frames = []
     for t in targets:
-        if t.df is None or not t.date_column:
+        if t.df is None:
+            continue
+        if not t.date_column:
+            if undated:
+                frames.append(row_total(t))
             continue
         bounds = (t.start, t.end) if push_range else (None, None)
         frames.append(daily_series(t.df, t.date_column, t.table_name, *bounds, extra=_range_columns(t) if with_range else ()))

@@ -158,19 +158,33 @@ def validate_tables(
     only the requested days, at the price of the whole-table extent. Counts
     are exact; ``listed`` cuts the lists for display, None keeps them whole.
     """
-    dated = [t for t in targets if t.df is not None and t.date_column]
-    frame = target_frame(spark, dated).select("table_name", "requested_start", "requested_end")
-    audit = series_audit(daily_series_of(dated, push_range, with_range=True), listed)
-    found = duplicate_audit(dated, policy)
-    if found is None:
-        found = literal_frame(spark, [], _DUPLICATE_SCHEMA)
+    return audit_tables(spark, [t for t in targets if t.date_column], policy, push_range, listed)
+
+
+def audit_tables(
+    spark: SparkSession,
+    targets: list[Target],
+    policy: str = "count",
+    push_range: bool = False,
+    listed: int | None = LISTED,
+) -> DataFrame:
+    """Validation rows of all targets that exist; those without a date column have only a row count."""
+    found = [t for t in targets if t.df is not None]
+    if not found:
+        raise ValueError("none of the tables exists")
+    series = daily_series_of(found, push_range, with_range=True, undated=True)
+    frame = target_frame(spark, found).select("table_name", "requested_start", "requested_end")
+    audit = series_audit(series, listed)
+    repeated = duplicate_audit([t for t in found if t.date_column], policy)
+    if repeated is None:
+        repeated = literal_frame(spark, [], _DUPLICATE_SCHEMA)
     # Tables without any row have no series; their counts are zero and their range is all missing.
     number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     first, last = F.coalesce("requested_start", "actual_start"), F.coalesce("requested_end", "actual_end")
     total, days = F.col("total_rows"), F.col("unique_dates")
     counted = (
         frame.join(audit, "table_name", "left")
-        .join(found, "table_name", "left")
+        .join(repeated, "table_name", "left")
         .select(
             "table_name", "requested_start", "requested_end", "actual_start", "actual_end",
             "first_inside", "last_inside", "inner_missing", "avg_duplicates",
