@@ -85,34 +85,34 @@ def load_contract(
     label = paths if isinstance(paths, str) else ",".join(paths)
     try:
         rows = read_contract(spark, contract, paths, ragged=on_error == "quarantine", source=bool(partition_by))
-        counts = Observation()
+        refused, written = Observation(), Observation()
         if on_error == "quarantine":
             judged = judge_rows(rows, contract, reject_ragged)
-            good = F.size(REJECTED) == 0
-            judged = judged.observe(
-                counts,
-                F.count(F.when(good, 1)).alias("loaded"),
-                F.count(F.when(~good, 1)).alias("rejected"),
-            )
-            out = delimited.apply_types(judged.filter(good).drop(REJECTED, RAGGED), contract.types, strict=False)
+            bad = F.size(REJECTED) > 0
+            judged = judged.observe(refused, F.count_if(bad).alias("n"))
+            out = delimited.apply_types(judged.filter(~bad).drop(REJECTED, RAGGED), contract.types, strict=False)
         else:
-            out = delimited.apply_types(rows, contract.types, strict=True).observe(
-                counts, F.count(F.lit(1)).alias("loaded"), F.lit(0).cast("bigint").alias("rejected")
-            )
+            out = delimited.apply_types(rows, contract.types, strict=True)
         if partition_by:
             out = out.withColumn(partition_by, inventory.period_of_path(F.col(SOURCE))).drop(SOURCE)
             # Even out file sizes: a month with most rows is cut up, small months share tasks.
             out = out.hint("rebalance", partition_by)
         elif spread:
             out = out.hint("rebalance")
-        writer = out.write.mode("append")
+        # Counted in the writing stage: its tasks count once even if executors are lost before it.
+        writer = out.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(target)
-        loaded, rejected = counts.get["loaded"], counts.get["rejected"]
+        loaded = written.get["n"]
+        rejected = refused.get["n"] if on_error == "quarantine" else 0
         if rejected and quarantine:
             again = read_contract(spark, contract, paths, ragged=True, source=True)
-            judge_rows(again, contract, reject_ragged).filter(F.size(REJECTED) > 0).write.mode("append").parquet(quarantine)
+            kept_back = Observation()
+            judge_rows(again, contract, reject_ragged).filter(F.size(REJECTED) > 0).observe(
+                kept_back, F.count(F.lit(1)).alias("n")
+            ).write.mode("append").parquet(quarantine)
+            rejected = kept_back.get["n"]
         return LoadResult(contract.table_name, label, "success", loaded, rejected, time.monotonic() - started)
     except Exception as error:  # noqa: BLE001 - reported per load
         text = str(error).splitlines()[0]

@@ -82,13 +82,10 @@ CONTRACTS = [
 ]
 
 
-@query("inventory_sorted", f"WITH {LISTING_SQL} SELECT path, length, row_number() OVER (ORDER BY length DESC, path) AS rank FROM listing QUALIFY rank <= 20")
+@query("inventory_sorted", f"WITH {LISTING_SQL} SELECT path, length FROM listing ORDER BY length DESC, path")
 def inventory_sorted(spark, folder):
     files = listing(spark, folder).withColumn("modification_time", F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    ordered = inventory.sort_inventory(files, "size", descending=True).limit(20)
-    return ordered.select("path", "length").withColumn(
-        "rank", F.row_number().over(lines.Window.orderBy(F.col("length").desc(), "path")).cast("bigint")
-    )
+    return inventory.sort_inventory(files, "size", descending=True).select("path", "length")
 
 
 @query("inventory_filtered", f"WITH {LISTING_SQL} SELECT path, length FROM listing WHERE lower(path) LIKE '%orders%' AND lower(path) LIKE '%.gz%'")

@@ -113,3 +113,16 @@ def test_deletions_over_contracts():
     got = [(t.table_name, t.start.month, t.end.day) for t in op.deletions_of(contracts, ["2024-01", "2024-02"])]
     assert got == [("SALES", 1, 31), ("SALES", 2, 29), ("STOCK", 1, 31), ("STOCK", 2, 29)]
     assert {t.table_name for t in op.deletions_of(contracts, ["2024-01"], "sal*")} == {"SALES"}
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_everything_with_a_date_can_go(spark, made, partitioned):
+    import datetime as dt
+
+    name = made(partitioned)
+    target = op.Deletion(name, "d", dt.date(2023, 12, 15), dt.date(2024, 12, 15))
+    done = op.delete_period(spark, target, dry_run=False, month_partition="period" if partitioned else None)
+    assert done[3] == "success" and done[5] == 90
+    assert spark.table(name).count() == 2
+    op.restore(spark, name, done[7])
+    assert spark.table(name).count() == 92

@@ -203,3 +203,10 @@ def test_stream_fails_on_a_bad_value(spark, write_file, tmp_path):
     with pytest.raises(Exception, match="not a double: x"):
         ingest_new_files(*args, str(tmp_path / "s1"))
     assert ingest_new_files(*args, str(tmp_path / "s2"), strict=False) == 3
+
+
+@pytest.mark.parametrize("options", [{}, {"partition_by": "period"}, {"spread": True}, {"on_error": "quarantine"}])
+def test_empty_files_load_nothing(spark, write_file, options):
+    path = write_file("2024-01/empty.tsv", "")
+    got = op.load_contract(spark, TEST, path, scratch(spark, "t"), **options)
+    assert (got.status, got.rows_loaded, got.rows_rejected) == ("success", 0, 0)
