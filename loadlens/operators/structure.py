@@ -379,7 +379,7 @@ def with_previous(df: DataFrame, group: str, order: str, chunks: int = 200) -> D
     position = F.col(order).cast("double") if isinstance(rows.schema[order].dataType, T.NumericType) else F.unix_micros(
         F.col(order).cast("timestamp")
     ).cast("double")
-    shares = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
+    shares = F.expr("array(" + ", ".join(f"{i / chunks}D" for i in range(1, chunks)) + ")")
     cuts = rows.groupBy(group).agg(F.percentile_approx(position, shares, F.lit(10 * chunks)).alias("cuts"))
     placed = rows.join(cuts, group).withColumn(
         "chunk", F.size(F.filter(F.array_distinct("cuts"), lambda c: c < position))
