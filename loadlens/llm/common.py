@@ -83,3 +83,17 @@ def ship(spark: SparkSession) -> SparkSession:
 def shared_model(df: DataFrame, path: str) -> Broadcast:
     """The bytes of a model file for the tasks that work on the rows."""
     return ship(df.sparkSession).sparkContext.broadcast(model_bytes(path))
+
+
+def keyed(df: DataFrame, id_col: str, **columns: str) -> DataFrame:
+    """The id as text under ``id`` and the named columns under their new names, for work in pandas.
+
+    Whole numbers with nulls become floating point in pandas; text stays exact.
+    """
+    return df.select(F.col(id_col).cast("string").alias("id"), *[F.col(c).alias(n) for n, c in columns.items()])
+
+
+def unkeyed(made: DataFrame, df: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``made`` with the id under its own name and type."""
+    rest = [c for c in made.columns if c != "id"]
+    return made.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), *rest)

@@ -28,9 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import ship
+from loadlens.llm.common import keyed, ship, unkeyed
 
-DIMENSIONS = 1024
+DIMENSIONS = 512
 SEED = 20240
 # Characters of text that are worked on at once, and trigrams that are bound at once.
 SLICE_CHARS = 1_000_000
@@ -96,12 +96,30 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+# Up to so many distinct letters, the trigrams of a slice are counted in an array of their cube.
+DENSE_LETTERS = 128
+
+
 def _counts(texts: list[str], groups: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct trigrams, and for each (group, trigram) its place and count."""
+    """Distinct trigrams, and for each occurrence its group and its trigram's place."""
     grams = [trigrams_of(t) for t in texts]
     owner = np.repeat(np.asarray(groups, np.int64), [len(g) for g in grams])
-    vocabulary, place = np.unique(np.concatenate(grams) if grams else np.empty(0, np.int64), return_inverse=True)
-    return vocabulary, owner, place
+    every = np.concatenate(grams) if grams else np.empty(0, np.int64)
+    present = np.zeros(_CODES, bool)
+    for shift in (42, 21, 0):
+        present[(every >> shift) & 0x1FFFFF] = True
+    letters = np.flatnonzero(present)
+    if len(letters) > DENSE_LETTERS:
+        vocabulary, place = np.unique(every, return_inverse=True)
+        return vocabulary, owner, place
+    k, number = len(letters), np.zeros(_CODES, np.int64)
+    number[letters] = np.arange(k)
+    cell = (number[every >> 42] * k + number[(every >> 21) & 0x1FFFFF]) * k + number[every & 0x1FFFFF]
+    used = np.flatnonzero(np.bincount(cell, minlength=k**3))
+    where = np.zeros(k**3, np.int64)
+    where[used] = np.arange(len(used))
+    vocabulary = (letters[used // (k * k)] << 42) | (letters[used // k % k] << 21) | letters[used % k]
+    return vocabulary, owner, where[cell]
 
 
 def _bundles(binder: Binder, texts: list[str], groups: list[int], n: int) -> np.ndarray:
@@ -176,12 +194,10 @@ def predict(
             yield pd.DataFrame({"id": batch["id"], "lang_pred": langs, "score": scores})
 
     ship(docs.sparkSession)
-    kind = docs.schema[id_col].dataType
     schema = T.StructType(
-        [T.StructField("id", kind), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        [T.StructField("id", T.StringType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     )
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return unkeyed(keyed(docs, id_col, text=text_col).mapInPandas(run, schema), docs, id_col)
 
 
 def held_out(id_col: Column) -> Column:

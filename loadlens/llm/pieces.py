@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import shared_model
+from loadlens.llm.common import keyed, shared_model, unkeyed
 
 MARK = "▁"
-TABLE_CHARS = 32_000_000
+TABLE_CHARS = 8_000_000
+RUN_CHUNKS = 64
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -39,11 +40,14 @@ class ChunkTable:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
+        n = self.model.get_piece_size()
+        pieces = [self.model.id_to_piece(i) for i in range(n)]
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("a piece crosses a white space marker; chunks are not independent")
+        self.numbers = [str(i) for i in range(n)]
+        self.heads = [p.startswith(MARK) for p in pieces]
         self.limit = limit
-        self.chars, self.ids, self.texts = 0, {}, {}
+        self.chars, self.ids, self.odd, self.texts = 0, {}, {}, {}
 
     def chunks(self, text: str) -> list[str]:
         """The normalised text cut before every run of markers; a chunk's marker run stands at its head."""
@@ -54,17 +58,34 @@ class ChunkTable:
         return found
 
     def learn(self, chunks: set[str]) -> None:
-        """Segment the chunks that the table lacks."""
-        new = [c for c in chunks if c not in self.ids]
+        """Segment and spell the chunks that the table lacks.
+
+        Chunks with one marker go through the model in runs, each as one text: a
+        piece with a marker begins the next chunk. The others go one by one.
+        """
         if self.chars > self.limit:
-            self.chars, self.ids, self.texts = 0, {}, {}
-            new = list(chunks)
+            self.chars, self.ids, self.odd, self.texts = 0, {}, {}, {}
+        new = [c for c in chunks if c not in self.ids]
+        self.chars += sum(map(len, new))
+        plain = [c for c in new if c[1:2] != MARK and len(c) > 1]
+        runs = [plain[k : k + RUN_CHUNKS] for k in range(0, len(plain), RUN_CHUNKS)]
+        texts = ["".join(r).replace(MARK, " ")[1:] for r in runs]
+        coded = self.model.encode(texts, num_threads=1)
+        for run, text, ids, back in zip(runs, texts, coded, self.model.decode(coded), strict=True):
+            starts = [k for k, i in enumerate(ids) if self.heads[i]]
+            if len(starts) == len(run) and back == text:
+                names = [self.numbers[i] for i in ids]
+                for chunk, lo, hi in zip(run, starts, [*starts[1:], len(names)], strict=True):
+                    self.ids[chunk] = ",".join(names[lo:hi])
+        new = [c for c in new if c not in self.ids]
         # The model puts a marker before what it is given, so a chunk goes in without its first one.
         for chunk, ids in zip(new, self.model.encode([c[1:].replace(MARK, " ") for c in new], num_threads=1), strict=True):
             if chunk == MARK:  # the library gives no piece for an empty text
                 ids = [self.model.piece_to_id(MARK)]
             self.ids[chunk] = ",".join(map(str, ids))
-            self.chars += len(chunk)
+            text = " " + self.model.decode(ids)
+            if text != chunk.replace(MARK, " "):
+                self.odd[chunk] = text
 
     def spell(self, keys: set[str]) -> None:
         """The text behind each key, a chunk's ids joined by commas; its first marker is a blank."""
@@ -73,6 +94,12 @@ class ChunkTable:
             self.texts[key] = " " + text
             self.chars += len(key)
 
+    def text_of(self, chunks: list[str]) -> str:
+        """The decoded text of learned chunks; the head's marker is not a blank."""
+        if self.odd:
+            chunks = [self.odd.get(c, c) for c in chunks]
+        return "".join(chunks).replace(MARK, " ")[1:]
+
 
 _TABLES: dict[tuple[int, int], ChunkTable] = {}
 
@@ -97,10 +124,8 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             get = table.ids.__getitem__
             yield pd.DataFrame({"id": batch["id"], "chunk_ids": [list(map(get, c)) for c in cut]})
 
-    kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("chunk_ids", T.ArrayType(T.StringType()))])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("chunk_ids", T.ArrayType(T.StringType()))])
+    return unkeyed(keyed(docs, id_col, text=text_col).mapInPandas(run, schema), docs, id_col)
 
 
 def with_ids(encoded: DataFrame) -> DataFrame:
@@ -120,9 +145,8 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", limit: i
             get = table.texts.__getitem__
             yield pd.DataFrame({"id": batch["id"], "decoded": ["".join(map(get, r))[1:] for r in rows]})
 
-    kind = encoded.schema[id_col].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("decoded", T.StringType())])
-    return encoded.select(F.col(id_col).alias("id"), "chunk_ids").mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("decoded", T.StringType())])
+    return unkeyed(keyed(encoded, id_col, chunk_ids="chunk_ids").mapInPandas(run, schema), encoded, id_col)
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_CHARS) -> DataFrame:
@@ -141,23 +165,19 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
             texts = [t or "" for t in batch["text"]]
             cut = [table.chunks(t) for t in texts]
             table.learn(set().union(*cut))
-            keyed = [list(map(table.ids.__getitem__, c)) for c in cut]
-            table.spell(set().union(*keyed))
-            for text, keys in zip(texts, keyed, strict=True):
-                joined = ",".join(keys)
-                back = "".join(map(table.texts.__getitem__, keys))[1:]
+            get = table.ids.__getitem__
+            for text, chunks in zip(texts, cut, strict=True):
+                joined, back = ",".join(map(get, chunks)), table.text_of(chunks)
                 out.append((joined.count(",") + 1 if joined else 0, sha(joined), sha(back), back == text))
             yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256", "same_text"]).assign(id=batch["id"].values)
 
-    kind = docs.schema[id_col].dataType
     schema = T.StructType(
         [
-            T.StructField("id", kind),
+            T.StructField("id", T.StringType()),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("ids_sha256", T.StringType()),
             T.StructField("decoded_sha256", T.StringType()),
             T.StructField("same_text", T.BooleanType()),
         ]
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return unkeyed(keyed(docs, id_col, text=text_col).mapInPandas(run, schema), docs, id_col)

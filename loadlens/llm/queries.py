@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, langid, pieces, quality, tokencount, urlfilter
+from loadlens.llm import decontaminate, extract, langid, pieces, quality, tokencount, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +37,11 @@ def op1(spark, folder):
     return pieces.round_trip(table(spark, folder, "documents"), PIECE_MODEL)
 
 
+@query("op2_html_extract")
+def op2(spark, folder):
+    return extract.extract(table(spark, folder, "pages"))
+
+
 @query("op3_token_counts")
 def op3(spark, folder):
     counted = tokencount.count_prefixes(table(spark, folder, "documents"), BYTE_MODEL, (TOKEN_LIMIT,))
@@ -104,6 +109,27 @@ def op4(spark, folder):
     return urlfilter.filter_captures(pages.withColumn("fetched_at", day.cast("timestamp")), listed_entries(pages))
 
 
+_BASE32 = "list_aggregate(list_transform(range(1, 41, 5), lambda i: list_aggregate(list_transform([15, 10, 5, 0], lambda k: " \
+    "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, i, 5) AS BIGINT) >> k) & 31 AS INTEGER) + 1, 1)" \
+    "), 'string_agg', '')), 'string_agg', '')"
+
+
+@query(
+    "op5_warc",
+    f"""
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+""",
+)
+def op5(spark, folder):
+    _, back = warc.archive(table(spark, folder, "pages"))
+    return back.drop("url", "payload")
+
+
 @query("op6_decontaminate")
 def op6(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -22,6 +22,7 @@ each, as the library does by default.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import shared_model
+from loadlens.llm.common import keyed, shared_model, unkeyed
 
-TABLE_PIECES = 400_000
+TABLE_PIECES = 800_000
 # How a byte-level vocabulary cuts a text before the merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_RUN = re.compile(r" \s")
 
 
 def byte_letters() -> list[str]:
@@ -48,6 +50,7 @@ class PrefixCounter:
     """Prefix tables of distinct pre-tokens under one vocabulary."""
 
     def __init__(self, body: bytes, limit: int = TABLE_PIECES):
+        import ahocorasick
         import regex
 
         model = json.loads(body)
@@ -57,19 +60,25 @@ class PrefixCounter:
         vocab, merges = model["model"]["vocab"], model["model"]["merges"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in merges]
         self.rank = {p: k for k, p in enumerate(pairs)}
+        self.halves = {a + b: (a, b) for a, b in reversed(pairs)}
         letters = byte_letters()
         self.letters = {b: c for b, c in enumerate(letters)}
-        self.longest = max(map(len, vocab))
-        self.apart: dict[tuple[str, str], bool] = {}
         # Only tokens that the merges reach can be part of an encoding.
-        self.tokens = set(vocab) & ({a + b for a, b in pairs} | set(letters))
+        self.tokens = set(vocab) & (set(self.halves) | set(letters))
+        self.found = ahocorasick.Automaton()
+        for token in self.tokens:
+            self.found.add_word(token, token)
+        self.found.make_automaton()
+        self.direct = len(self.halves) == len(pairs)  # each token has one merge, so its growth is known
+        self.edges: tuple[dict, dict] = {}, {}
+        self.apart: dict[tuple[str, str], bool] = {}
         special = [t["content"] for t in model.get("added_tokens") or ()]
         special.sort(key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.cut, self.blank = regex.compile(PIECES), regex.compile(r"\s*")
         self.limit = limit
-        self.tables: dict[str, list[int]] = {}
         self.totals: dict[str, int] = {}
+        self.stretches: dict[str, int] = {}
 
     def merged(self, text: str) -> list[str]:
         """The merges applied to a short text, lowest rank first; used to judge pairs of tokens."""
@@ -82,34 +91,65 @@ class PrefixCounter:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
+    def edge(self, token: str, right: bool) -> list[tuple[str, int, int]]:
+        """The tokens that stood at one edge while the token grew: each with the rank that made it and that ended it."""
+        known = self.edges[right].get(token)
+        if known is None:
+            known, end = [], 1 << 60
+            while token in self.halves:
+                halves = self.halves[token]
+                made = self.rank[halves]
+                known.append((token, made, end))
+                token, end = halves[right], made
+            known.append((token, -1, end))
+            self.edges[right][known[0][0]] = known
+        return known
+
     def stands(self, left: str, right: str) -> bool:
-        """Whether the merges leave the two tokens as neighbours."""
+        """Whether the merges leave the two tokens as neighbours.
+
+        They do unless some token at the left one's edge and some token at
+        the right one's edge exist at one time and merge before either grows.
+        """
         key = (left, right)
         known = self.apart.get(key)
         if known is None:
-            if len(self.apart) > 4 * self.limit:
+            if len(self.apart) > self.limit:
                 self.apart = {}
-            known = self.apart[key] = self.merged(left + right) == [left, right]
+            known = self._stands(left, right) if self.direct else self.merged(left + right) == [left, right]
+            self.apart[key] = known
         return known
 
+    def _stands(self, left: str, right: str) -> bool:
+        rank = self.rank.get
+        for a, made_a, end_a in self.edge(left, True):
+            for b, made_b, end_b in self.edge(right, False):
+                if made_a <= end_b and made_b < end_a:
+                    joined = rank((a, b))
+                    if joined is not None and joined < end_a and joined <= end_b:
+                        return False
+        return True
+
     def table(self, piece: str) -> list[int]:
         """Counts at the prefixes of a pre-token's byte letters, from 0 on."""
-        n, tokens = len(piece), self.tokens
+        n, apart = len(piece), self.apart
         counts, last = [0] * (n + 1), [""] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = piece[start:end]
-                if token not in tokens:
-                    continue
-                if start == 0:
-                    if len(token) > 1 and self.merged(token) != [token]:
-                        continue
-                elif not self.stands(last[start], token):
-                    continue
-                counts[end], last[end] = counts[start] + 1, token
-                break
+        for at, token in self.found.iter(piece):  # every token that ends at each place, place by place
+            end = at + 1
+            if last[end]:
+                continue
+            start = end - len(token)
+            if start == 0:
+                ok = self.direct or self.merged(token) == [token]
             else:
-                raise ValueError("a byte is not in the vocabulary")
+                ok = apart.get((last[start], token))
+                if ok is None:
+                    ok = self.stands(last[start], token)
+                    apart = self.apart
+            if ok:
+                counts[end], last[end] = counts[start] + 1, token
+        if "" in last[1:]:
+            raise ValueError("no token ends somewhere; the vocabulary lacks a byte")
         return counts
 
     def spelled(self, piece: str) -> str:
@@ -135,9 +175,19 @@ class PrefixCounter:
         yield from ((p, False) for p in self.cut.findall(text[at:] if at else text))
 
     def count(self, text: str) -> int:
-        if self.special is None or not self.special.search(text):
+        """Tokens of a text."""
+        if self.special is not None and self.special.search(text):
+            return sum(1 if whole else self.total(p) for p, whole in self.parts(text))
+        if _RUN.search(text):
             return sum(map(self.total, self.cut.findall(text)))
-        return sum(1 if whole else self.total(p) for p, whole in self.parts(text))
+        # A blank before anything but white space begins a pre-token, so the stretches between blanks are independent.
+        first, *rest = text.split(" ")
+        if len(self.stretches) > self.limit:
+            self.stretches = {}
+        known = self.stretches
+        for new in set(rest).difference(known):
+            known[new] = sum(map(self.total, self.cut.findall(" " + new)))
+        return sum(map(self.total, self.cut.findall(first))) + sum(map(known.__getitem__, rest))
 
     def longest_prefix(self, text: str, budget: int) -> int:
         """Characters of the longest prefix whose count is in the budget.
@@ -145,16 +195,17 @@ class PrefixCounter:
         Counts at the starts of pre-tokens never fall, so the place is found
         from totals; inside the stretch around it every prefix is looked up.
         """
-        at = used = low_at = low_used = 0
+        at = used = low_at = low_used = special_end = 0
         free = True  # the next pre-token does not go on with a run of white space
         for piece, whole in self.parts(text):
-            if free:
+            if free and not (whole and at > special_end):  # a part of a special string could join what stands before it
                 if used > budget:
                     break
                 low_at, low_used = at, used
             used += 1 if whole else self.total(piece)
             at += len(piece)
             free = whole or not self.blank.fullmatch(piece)
+            special_end = at if whole else special_end
         counts = self.all_prefixes(text[low_at:at])
         return low_at + max(k for k, n in enumerate(counts) if low_used + n <= budget)
 
@@ -226,11 +277,9 @@ def count_prefixes(
                 out[f"fits_{b}"] = [len(t) if n <= b else counter.longest_prefix(t, b) for t, n in zip(texts, totals, strict=True)]
             yield pd.DataFrame(out)
 
-    kind = docs.schema[id_col].dataType
     names = ["n_bytes", "n_tokens", *[f"fits_{b}" for b in budgets]]
-    schema = T.StructType([T.StructField("id", kind), *[T.StructField(n, T.LongType()) for n in names]])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", T.StringType()), *[T.StructField(n, T.LongType()) for n in names]])
+    return unkeyed(keyed(docs, id_col, text=text_col).mapInPandas(run, schema), docs, id_col)
 
 
 def prefix_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_PIECES) -> DataFrame:
@@ -244,7 +293,5 @@ def prefix_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 {"id": batch["id"], "prefix_counts": [np.asarray(counter.all_prefixes(t or ""), "int32") for t in batch["text"]]}
             )
 
-    kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("prefix_counts", T.ArrayType(T.IntegerType()))])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("prefix_counts", T.ArrayType(T.IntegerType()))])
+    return unkeyed(keyed(docs, id_col, text=text_col).mapInPandas(run, schema), docs, id_col)
