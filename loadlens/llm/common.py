@@ -30,8 +30,20 @@ def let(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     """The words of a text; null and blank texts have none."""
-    body = F.btrim(F.coalesce(text, F.lit("")), F.lit(WORD_SPACE))
-    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, SPACE_PATTERN))
+    return F.array_remove(F.split(F.btrim(F.coalesce(text, F.lit("")), F.lit(WORD_SPACE)), SPACE_PATTERN), "")
+
+
+def byte_map(hashes: DataFrame, size: int) -> bytes:
+    """One byte for each value of ``h`` modulo the size, 1 where a value falls; what is collected is at most the size."""
+    flags = bytearray(size)
+    for (place,) in hashes.select(F.pmod("h", F.lit(size)).cast("int")).distinct().toLocalIterator():
+        flags[place] = 1
+    return bytes(flags)
+
+
+def known_to(flags: bytes, h: Column) -> Column:
+    """Whether the byte map has the hash's place; never false for a hash that it was made of."""
+    return F.substring(F.lit(flags), F.pmod(h, F.lit(len(flags))).cast("int") + 1, 1) == F.lit(b"\x01")
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

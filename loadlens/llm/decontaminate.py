@@ -25,13 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import SPACE_PATTERN, let, written
+from loadlens.llm.common import byte_map, known_to, let, words_of, written
 
 WINDOW = 8
 MIN_COVER = 0.5
 SALTS = 16
-# Bytes of the map of window hashes; the least is used until an eighth of it is full.
-MAP_BYTES = (1 << 22, 1 << 24)
+# Bytes of each map of window hashes. A fuller map lets more windows through to the join; none is lost.
+MAP_BYTES = 1 << 20
 
 # Unit words that may follow a number.
 UNITS = (
@@ -44,24 +44,25 @@ NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
 
 
 def _canonical_text(text: Column) -> Column:
-    """The text with placeholders and single blanks; it has a word for every word of the raw text."""
-    t = F.regexp_replace(F.trim(F.regexp_replace(text, SPACE_PATTERN, " ")), r"(?<=[\p{L},;] )\p{Lu}\p{Ll}+(?!\p{L})", NAME)
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])\p{N}+(?:[.,:/]\p{N}+)*(?![\p{L}\p{N}])", NUMBER)
-    t = F.regexp_replace(t, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?!\p{{L}})", UNIT)
-    return F.lower(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT} ]+", ""))
+    """The text with placeholders and without punctuation.
+
+    Patterns begin with the character they look for and look back from there,
+    so most places of a text cost one comparison.
+    """
+    t = F.regexp_replace(text, r"\p{Lu}(?<=[\p{L},;] \p{Lu})\p{Ll}+(?!\p{L})", NAME)
+    t = F.regexp_replace(t, r"\p{N}(?<![\p{L}\p{N}]\p{N})(?:[.,:/]?\p{N})*+(?!\p{L})", NUMBER)
+    t = F.regexp_replace(t, rf"{NUMBER} (?:{'|'.join(UNITS)})(?!\p{{L}})", f"{NUMBER} {UNIT}")
+    return F.lower(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}\x20\x09-\x0D]+", ""))
 
 
 def canonical_words(text: Column) -> Column:
-    """The canonical words that are not empty."""
-    return F.filter(F.split(_canonical_text(F.coalesce(text, F.lit(""))), " "), lambda w: w != "")
+    """The canonical words: one for every word of the text with a letter or a digit."""
+    return words_of(_canonical_text(text))
 
 
 def raw_words(text: Column) -> Column:
     """The raw words behind ``canonical_words``, place by place."""
-    t = F.coalesce(text, F.lit(""))
-    raw = F.split(F.trim(F.regexp_replace(t, SPACE_PATTERN, " ")), " ")
-    both = F.arrays_zip(raw.alias("raw"), F.split(_canonical_text(t), " ").alias("canon"))
-    return F.transform(F.filter(both, lambda x: x["canon"] != ""), lambda x: x["raw"])
+    return F.filter(words_of(text), lambda w: w.rlike(rf"[\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}]"))
 
 
 def _is_slot(word: Column) -> Column:
@@ -87,32 +88,21 @@ def template_windows(items: DataFrame, id_col: str, text_col: str, window: int)
     return cut.filter(told).withColumn("h", F.xxhash64("icanon"))
 
 
-def _byte_map(windows: DataFrame, sizes: tuple[int, int]) -> tuple[bytes, int]:
-    """One byte for each hash modulo the size, 1 where an item's window falls; at most the size is collected."""
-    n = windows.agg(F.approx_count_distinct("h")).first()[0]
-    size = next((s for s in (sizes[0],) if n * 8 <= s), sizes[1])
-    flags = bytearray(size)
-    for (place,) in windows.select(F.pmod("h", F.lit(size))).distinct().toLocalIterator():
-        flags[place] = 1
-    return bytes(flags), size
-
-
-def _hits(canon: Column, wide: int, flags: bytes, size: int) -> Column:
-    """Places of the document's windows that the byte map knows."""
-    known = lambda c, i: F.substring(
-        F.lit(flags), F.pmod(F.xxhash64(F.slice(c, i + 1, wide)), F.lit(size)).cast("int") + 1, 1
-    ) == F.lit(b"\x01")
+def _hits(canon: Column, wide: int, heads: bytes, wholes: bytes) -> Column:
+    """Places of the document's windows that the byte maps know: by their first two words, then whole."""
+    head = lambda c, i: F.xxhash64(F.get(c, i), F.get(c, i + min(1, wide - 1)))
+    begun = lambda c: F.filter(F.sequence(F.lit(0), F.size(c) - wide), lambda i: known_to(heads, head(c, i)))
     return let(
         canon,
         lambda c: F.when(
-            F.size(c) >= wide, F.filter(F.sequence(F.lit(0), F.size(c) - wide), lambda i: known(c, i))
+            F.size(c) >= wide, F.filter(begun(c), lambda i: known_to(wholes, F.xxhash64(F.slice(c, i + 1, wide))))
         ).otherwise(F.array().cast("array<int>")),
     )
 
 
 def matches(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, map_bytes: tuple[int, int] = MAP_BYTES,
+    item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, map_bytes: int = MAP_BYTES,
 ) -> DataFrame:
     """Equal template windows with the values of their slots.
 
@@ -123,11 +113,13 @@ def matches(
     found = None
     for wide in widths:  # one, and those of items shorter than the window
         own = windows.filter(F.col("wide") == wide)
-        flags, size = _byte_map(own, map_bytes)
+        second = F.lit(min(1, wide - 1))
+        heads = byte_map(own.select(F.xxhash64(F.get("icanon", F.lit(0)), F.get("icanon", second)).alias("h")), map_bytes)
+        wholes = byte_map(own, map_bytes)
         known = (
             docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
             .withColumn("_c", canonical_words(F.col("_t")))
-            .withColumn("_hits", _hits(F.col("_c"), wide, flags, size))
+            .withColumn("_hits", _hits(F.col("_c"), wide, heads, wholes))
             .filter(F.size("_hits") > 0)
             .withColumn("_r", raw_words(F.col("_t")))
         )
@@ -171,7 +163,7 @@ def _value(word: Column) -> Column:
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, min_cover: float = MIN_COVER,
-    map_bytes: tuple[int, int] = MAP_BYTES,
+    map_bytes: int = MAP_BYTES,
 ) -> DataFrame:
     """One row per document and item found in it.
 

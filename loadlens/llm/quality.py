@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import SPACE_PATTERN, let, words_of
+from loadlens.llm.common import WORD_SPACE, let, words_of
 
 # The characters counted as symbols.
 SYMBOLS = "[#*$%&|<>]"
@@ -66,30 +66,46 @@ LENIENT = Policy("lenient", 1, BASE.required, STRICT.required & ~BASE.required,
 POLICIES = (BASE, LENIENT, STRICT)
 
 
+# Up to so many repeated hashes, a document's windows are compared with each of them; beyond, windows are sorted with places.
+FEW_REPEATS = 16
+
+
+def _covered(places: Column) -> Column:
+    """Words that windows at the sorted places cover: up to three each, without those that the next one covers."""
+    steps = lambda p: F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1), x + 3) - x))
+    return let(places, lambda p: F.aggregate(steps(p), F.lit(0), lambda a, b: a + b))
+
+
+def _places_by_sort(h: Column) -> Column:
+    """Places of hashes that occur twice or more: equal neighbours after a sort of (hash, place)."""
+    pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+    same = lambda s, x, j: F.get(s, j)["h"] == x["h"]
+    twice = lambda s: F.filter(
+        s, lambda x, i: same(s, x, i + 1) | F.coalesce((i > 0) & same(s, x, F.greatest(i - 1, F.lit(0))), F.lit(False))
+    )
+    return F.sort_array(F.transform(let(pairs, twice), lambda x: x["p"]))
+
+
 def _repeat_words(words: Column) -> Column:
     """How many words stand in a 3-word window that the text has twice or more.
 
-    Windows are compared by 64-bit hash, sorted with their places; equal
-    neighbours give the places, and each place covers up to three words that
-    the next one does not.
+    Windows are compared by 64-bit hash. A sort of the hashes alone tells
+    which occur again; few texts have any, and fewer have many.
     """
-    windows = lambda w: F.when(
+    hashes = lambda w: F.when(
         F.size(w) >= 3,
-        F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p")),
-        ),
+        F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))),
     )
-    twice = lambda s: F.filter(
-        s, lambda x, i: (F.get(s, i + 1)["h"] == x["h"]) | ((i > 0) & (F.get(s, F.greatest(i - 1, F.lit(0)))["h"] == x["h"]))
+    again = lambda h: let(
+        F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, i: x == F.get(s, i + 1)))
     )
-    covered = lambda p: F.aggregate(
-        F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1), x + 3) - x)),
-        F.lit(0),
-        lambda a, b: a + b,
+    few = lambda h, d: F.filter(
+        F.transform(h, lambda x, i: F.when(F.array_contains(d, x), i)), lambda i: i.isNotNull()
     )
-    places = lambda s: F.sort_array(F.transform(twice(s), lambda x: x["p"]))
-    return F.coalesce(let(F.sort_array(let(words, windows)), lambda s: let(places(s), covered)), F.lit(0))
+    count = lambda h, d: F.when(F.size(d) == 0, F.lit(0)).when(
+        F.size(d) <= FEW_REPEATS, _covered(few(h, d))
+    ).otherwise(_covered(_places_by_sort(h)))
+    return F.coalesce(let(let(words, hashes), lambda h: let(again(h), lambda d: count(h, d))), F.lit(0))
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,7 +113,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col), text.alias("_t"), words_of(F.col(text_col)).alias("_w"))
     t, w = F.col("_t"), F.col("_w")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.regexp_replace(x, SPACE_PATTERN, "") != "")
+    lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(WORD_SPACE)) != "")
     counted = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("d")))
     count = lambda pattern: F.regexp_count(t, F.lit(pattern)).cast("bigint")
     return base.select(
@@ -107,9 +123,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         count(SYMBOLS).alias("n_symbols"),
         counted.alias("_l"),
         _repeat_words(w).cast("bigint").alias("n_repeat_words"),
-        count(r"\p{L}").alias("n_letters"),
-        count(r"\p{Lu}").alias("n_upper"),
-        count("!").alias("n_exclaims"),
+        F.length(F.regexp_replace(t, r"\P{L}+", "")).cast("bigint").alias("n_letters"),
+        (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).cast("bigint").alias("n_upper"),
+        (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).cast("bigint").alias("n_exclaims"),
     ).select(
         id_col, "n_words", "word_chars", "n_symbols",
         F.col("_l")["d"].cast("bigint").alias("n_dup_lines"),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, extract, langid, pieces, quality, tokencount, urlfilter, warc
+from loadlens.llm import decontaminate, extract, jaccard, langid, pieces, quality, tokencount, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -189,6 +189,27 @@ def quality_ablations(spark, folder):
     return quality.ablations(quality.ledger(table(spark, folder, "documents")))
 
 
+@query(
+    "op9_ngram_jaccard",
+    r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1) + 1))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT doc_id AS v, doc_id AS r FROM n UNION SELECT reach.v, edges.b FROM reach JOIN edges ON edges.a = reach.r)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.r, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT v, min(r) AS r FROM reach GROUP BY v) m ON m.v = w.doc_id
+""",
+)
+def op9(spark, folder):
+    return jaccard.linked(table(spark, folder, "documents"))
+
+
 @query("op10_language")
 def op10(spark, folder):
     docs = table(spark, folder, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
