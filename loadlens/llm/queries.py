@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, extract, jaccard, langid, pieces, quality, tokencount, urlfilter, warc
+from loadlens.llm import decontaminate, extract, jaccard, langid, passages, pieces, quality, tokencount, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -189,6 +189,11 @@ def quality_ablations(spark, folder):
     return quality.ablations(quality.ledger(table(spark, folder, "documents")))
 
 
+@query("op8_shared_passages")
+def op8(spark, folder):
+    return passages.shared_passages(table(spark, folder, "documents"))
+
+
 @query(
     "op9_ngram_jaccard",
     r"""
