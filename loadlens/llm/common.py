@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,17 +36,49 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.btrim(F.coalesce(text, F.lit("")), F.lit(WORD_SPACE)), SPACE_PATTERN), "")
 
 
-def byte_map(hashes: DataFrame, size: int) -> bytes:
-    """One byte for each value of ``h`` modulo the size, 1 where a value falls; what is collected is at most the size."""
-    flags = bytearray(size)
-    for (place,) in hashes.select(F.pmod("h", F.lit(size)).cast("int")).distinct().toLocalIterator():
-        flags[place] = 1
-    return bytes(flags)
+def place_map(hashes: DataFrame, size: int) -> np.ndarray:
+    """A byte for each value of ``h`` modulo the size, 1 where a value falls; bitmaps of ``size`` bits are collected."""
+    place = F.pmod("h", F.lit(size)) + 1
+    bits = hashes.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("p"))
+    flags = np.zeros(size, np.uint8)
+    for k, found in bits.groupBy("k").agg(F.bitmap_construct_agg("p")).collect():
+        own = np.unpackbits(np.frombuffer(bytes(found), np.uint8), bitorder="little")
+        lo = (k - 1) * len(own)
+        flags[lo : lo + len(own)] = own[: size - lo]
+    return flags
 
 
-def known_to(flags: bytes, h: Column) -> Column:
-    """Whether the byte map has the hash's place; never false for a hash that it was made of."""
-    return F.substring(F.lit(flags), F.pmod(h, F.lit(len(flags))).cast("int") + 1, 1) == F.lit(b"\x01")
+def let_through(docs: DataFrame, id_col: str, text_col: str, flags: np.ndarray) -> DataFrame:
+    """``id`` and ``text`` of the rows whose id's hash falls on a marked place; no marked id is left out."""
+    shared = ship(docs.sparkSession).sparkContext.broadcast(flags)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.loc[shared.value[batch["place"].to_numpy()] > 0, ["id", "text"]]
+
+    place = F.pmod(F.xxhash64(id_col), F.lit(len(flags)))
+    rows = docs.filter(F.col(id_col).isNotNull()).withColumn("_place", place)
+    kept = keyed(rows, id_col, text=text_col, place="_place").mapInPandas(run, "id string, text string")
+    return kept.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
+
+
+# A byte map in an expression is kept small: Spark writes literals out wherever it shows a plan.
+PROBES = 3
+
+
+def small_filter(hashes: DataFrame, size: int, probes: int = PROBES) -> bytes:
+    """A Bloom filter of the values of ``h``, a byte for each place."""
+    h = F.explode(F.array(*[F.xxhash64("h", F.lit(k)) for k in range(probes)]))
+    return place_map(hashes.select(h.alias("h")), size).tobytes()
+
+
+def may_hold(flags: bytes, h: Column, probes: int = PROBES) -> Column:
+    """Whether the filter knows the hash; never false for a hash that it was made of."""
+    at = lambda k: F.pmod(F.xxhash64(h, F.lit(k)), F.lit(len(flags))).cast("int") + 1
+    known = F.substring(F.lit(flags), at(0), 1) == F.lit(b"\x01")
+    for k in range(1, probes):
+        known = known & (F.substring(F.lit(flags), at(k), 1) == F.lit(b"\x01"))
+    return known
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

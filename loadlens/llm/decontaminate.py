@@ -9,7 +9,7 @@ of the document: then a question with other numbers or names is still found,
 and text that merely has numbers at the same places is not.
 
 All of it is built from SQL functions. The document side keeps only windows
-whose hash hits a byte map of fixed size made from the benchmark's windows
+that a Bloom filter of fixed size, made from the benchmark's windows, knows
 before anything is exploded or shuffled, so the shuffle follows the matches.
 
 Null and blank texts match nothing. An item of fewer words than the window is
@@ -25,13 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import byte_map, known_to, let, words_of, written
+from loadlens.llm.common import let, may_hold, small_filter, words_of, written
 
 WINDOW = 8
 MIN_COVER = 0.5
 SALTS = 16
-# Bytes of each map of window hashes. A fuller map lets more windows through to the join; none is lost.
-MAP_BYTES = 1 << 20
+# Bytes of the filters of window heads and of windows. Fuller ones let more through to the join; no window is lost.
+HEAD_BYTES, MAP_BYTES = 1 << 16, 1 << 17
 
 # Unit words that may follow a number.
 UNITS = (
@@ -89,14 +89,15 @@ def template_windows(items: DataFrame, id_col: str, text_col: str, window: int)
 
 
 def _hits(canon: Column, wide: int, heads: bytes, wholes: bytes) -> Column:
-    """Places of the document's windows that the byte maps know: by their first two words, then whole."""
+    """Places of the document's windows that the filters know: by their first two words, then whole."""
     head = lambda c, i: F.xxhash64(F.get(c, i), F.get(c, i + min(1, wide - 1)))
-    begun = lambda c: F.filter(F.sequence(F.lit(0), F.size(c) - wide), lambda i: known_to(heads, head(c, i)))
+    begun = lambda c: F.filter(F.sequence(F.lit(0), F.size(c) - wide), lambda i: may_hold(heads, head(c, i), 1))
+    whole = lambda c, i: let(F.xxhash64(F.slice(c, i + 1, wide)), lambda h: may_hold(wholes, h))
     return let(
         canon,
-        lambda c: F.when(
-            F.size(c) >= wide, F.filter(begun(c), lambda i: known_to(wholes, F.xxhash64(F.slice(c, i + 1, wide))))
-        ).otherwise(F.array().cast("array<int>")),
+        lambda c: F.when(F.size(c) >= wide, F.filter(begun(c), lambda i: whole(c, i))).otherwise(
+            F.array().cast("array<int>")
+        ),
     )
 
 
@@ -114,8 +115,8 @@ def matches(
     for wide in widths:  # one, and those of items shorter than the window
         own = windows.filter(F.col("wide") == wide)
         second = F.lit(min(1, wide - 1))
-        heads = byte_map(own.select(F.xxhash64(F.get("icanon", F.lit(0)), F.get("icanon", second)).alias("h")), map_bytes)
-        wholes = byte_map(own, map_bytes)
+        heads = small_filter(own.select(F.xxhash64(F.get("icanon", F.lit(0)), F.get("icanon", second)).alias("h")), HEAD_BYTES, 1)
+        wholes = small_filter(own, map_bytes)
         known = (
             docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
             .withColumn("_c", canonical_words(F.col("_t")))

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import byte_map, keyed, known_to, ship, unkeyed, written
+from loadlens.llm.common import keyed, let_through, place_map, ship, unkeyed, written
 from loadlens.llm.components import components
 
 # A list is long if tasks that saw its shingle ``OFTEN`` times saw it so often together.
@@ -172,7 +172,7 @@ def _long_lists(docs: DataFrame, id_col: str, text_col: str, size: int) -> np.nd
     counts = keyed(docs, id_col, text=text_col).mapInPandas(run, "h long, c long")
     many = counts.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= LONG_LIST)
     # A hash is taken as unsigned in numpy; 2^64 is a multiple of the map's size, so the remainder is the same.
-    return np.frombuffer(byte_map(many.select("h"), LONG_MAP_BYTES), np.uint8)
+    return place_map(many.select("h"), LONG_MAP_BYTES)
 
 
 def _in_lists(reps: DataFrame) -> DataFrame:
@@ -249,9 +249,8 @@ def _other_pairs(lists: DataFrame, parts: DataFrame, tested: DataFrame, percent:
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """The pairs that are similar enough. Only texts that a map of the pairs' ids lets through are moved."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    flags = byte_map(ids.select(F.xxhash64("id").alias("h")), ID_MAP_BYTES)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
-    texts = texts.filter(known_to(flags, F.xxhash64("id")))
+    flags = place_map(ids.select(F.xxhash64("id").alias("h")), ID_MAP_BYTES)
+    texts = let_through(docs.filter(F.col(text_col).isNotNull()), id_col, text_col, flags)
     left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     ship(docs.sparkSession)

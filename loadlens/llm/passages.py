@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import byte_map, keyed, known_to, ship, unkeyed, written
+from loadlens.llm.common import keyed, let_through, place_map, ship, unkeyed, written
 from loadlens.llm.jaccard import ID_MAP_BYTES, Shingler
 
 K = 8
@@ -317,9 +317,9 @@ def shared_passages(
     classes = signed.groupBy("digest").agg(F.min("doc").alias("rep"), F.max("n").alias("size"), F.count("*").alias("copies"))
     classes = written(classes, "classes")
     # A map of the ids that stand for a class keeps most copies from being seeded; the few it lets through do no harm.
-    flags = byte_map(classes.select(F.xxhash64("rep").alias("h")), ID_MAP_BYTES)
-    kept = docs.filter(F.col(id_col).isNotNull() & known_to(flags, F.xxhash64(F.col(id_col))))
-    found = _chains(_matches(_seeds(kept, id_col, text_col, k, span), k, span), min_words, min_cover)
+    flags = place_map(classes.select(F.xxhash64("rep").alias("h")), ID_MAP_BYTES)
+    kept = let_through(docs, id_col, text_col, flags)
+    found = _chains(_matches(_seeds(kept, "id", "text", k, span), k, span), min_words, min_cover)
     copies = (
         signed.join(classes.filter(f"copies > 1 AND size >= {min_words}"), "digest")
         .filter("doc <> rep")
