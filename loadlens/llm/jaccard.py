@@ -12,7 +12,8 @@ it, so the longest lists are never merged: they are only probed.
    merges these short lists.
 4. In each list every text is paired with the centres of the list, for each
    class of size the text with the fewest rare shingles, so a group of n near
-   copies gives a few times n pairs. Pairs are verified by binary search of the one's sorted shingles in the other's,
+   copies gives a few times n pairs. Pairs with enough lists in common are
+   verified by binary search of the one's sorted shingles in the other's,
    stopped as soon as T is out of reach. Verified links are contracted.
 5. Texts that share a list and are still in different components are paired
    and verified in the same way. Pairs inside a component cannot change it, and
@@ -221,6 +222,25 @@ def _possible(percent: int) -> str:
     )
 
 
+def _enough(met: DataFrame, percent: int) -> DataFrame:
+    """a, b of the pairs whose lists in common leave the overlap in reach.
+
+    Lists are merged in one order for all texts, short ones first. Past the
+    end of the merged part that ends first, a pair shares at most what that
+    text has left; the rest of the overlap stands in merged lists. For a pair
+    that shares short lists the merged part is those; for one that shares
+    none it is all of them, and T - 1 shingles are left.
+    """
+    found = met.withColumn("rest", F.expr("greatest(n - rare, m - rarer)")).groupBy(
+        F.greatest("rep", "head").alias("a"), F.least("rep", "head").alias("b"), F.least("n", "m").alias("n"),
+        F.greatest("n", "m").alias("m"), "rest",
+    ).agg(F.count(F.expr("if(long, NULL, 1)")).alias("few"), F.count(F.expr("if(long, 1, NULL)")).alias("many"))
+    least = f"ceil({percent} * (n + m) / {100 + percent})"
+    by_short = f"few > 0 AND few >= {least} - rest"
+    by_long = f"many > 0 AND many >= {least} - ceil({percent} * m / 100) + 1"
+    return found.filter(f"({by_short}) OR ({by_long})").select("a", "b")
+
+
 def _centre_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Every text with the centres of its list: of those about as large, the text with the fewest rare shingles."""
     step = -math.log(percent / 100) if percent < 100 else 1.0
@@ -229,7 +249,7 @@ def _centre_pairs(lists: DataFrame, percent: int) -> DataFrame:
     heads = sized.groupBy("h", "class").agg(best.alias("c")).select("h", "class", "c.head", "c.m", F.col("c.rare").alias("rarer"))
     asked = sized.withColumn("class", F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)])))
     met = asked.join(heads, ["h", "class"]).filter("rep <> head").filter(_possible(percent))
-    return met.select(F.greatest("rep", "head").alias("a"), F.least("rep", "head").alias("b")).distinct()
+    return _enough(met, percent)
 
 
 def _other_pairs(lists: DataFrame, parts: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
@@ -242,7 +262,7 @@ def _other_pairs(lists: DataFrame, parts: DataFrame, tested: DataFrame, percent:
     names = {"rep": "head", "n": "m", "rare": "rarer", "part": "other"}
     right = left.drop("long").withColumnsRenamed(names)
     met = left.join(right, "h").filter("rep > head AND part <> other").filter(_possible(percent))
-    pairs = met.select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
+    pairs = _enough(met, percent)
     return pairs.join(tested, ["a", "b"], "left_anti")
 
 
@@ -276,7 +296,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     signed = written(signed.withColumnRenamed(id_col, "doc"), "signed")
     own = signed.filter("digest IS NOT NULL AND doc IS NOT NULL")
     classes = own.groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
-    reps = own.join(classes.drop("copies"), "digest").filter("doc = rep")
+    reps = own.join(classes.select("rep", "digest"), (own["doc"] == F.col("rep")) & (own["digest"] == classes["digest"])).drop(classes["digest"])
     reps = reps.groupBy("rep", "digest").agg(*[F.first(c).alias(c) for c in ("n", "short", "long")])
     lists = written(_in_lists(reps), "lists")
     centred = written(_centre_pairs(lists, percent), "pairs")
