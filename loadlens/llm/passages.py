@@ -34,7 +34,7 @@ from loadlens.llm.common import keyed, let_through, place_map, ship, unkeyed, wr
 from loadlens.llm.jaccard import ID_MAP_BYTES, Shingler
 
 K = 8
-SPAN = 20
+SPAN = 12
 MIN_WORDS = 50
 MIN_COVER = 0.8
 # Gap costs: for each word skipped in either text.
