@@ -199,10 +199,10 @@ def audit_tables(
     reasons = F.array_compact(
         F.array(
             _reason(missing, " missing dates"),
-            _reason(F.col("gap_count"), " gaps in date sequence"),
-            _reason(F.col("severely_low"), " dates with critically low row counts (<10% of average)"),
-            _reason(F.col("outlier_low"), " dates with outlier low row counts"),
-            F.when(total > 0, _reason(F.col("duplicate_keys"), " duplicate keys found")),
+            _reason(F.col("gap_count"), " gaps between dates"),
+            _reason(F.col("severely_low"), " dates under a tenth of the average rows"),
+            _reason(F.col("outlier_low"), " dates with outlying few rows"),
+            F.when(total > 0, _reason(F.col("duplicate_keys"), " duplicated keys")),
         )
     )
     hidden = ("first_inside", "last_inside", "inner_missing")

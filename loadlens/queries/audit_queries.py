@@ -104,10 +104,10 @@ def validation_rollup(spark, folder):
     "failure_reasons",
     f"""WITH {AUDIT_SQL}
     SELECT table_name, missing_dates || ' missing dates' AS reason FROM audit WHERE missing_dates > 0
-    UNION ALL SELECT table_name, gap_count || ' gaps in date sequence' FROM audit WHERE gap_count > 0
-    UNION ALL SELECT table_name, severely_low || ' dates with critically low row counts (<10% of average)' FROM audit WHERE severely_low > 0
-    UNION ALL SELECT table_name, outlier_low || ' dates with outlier low row counts' FROM audit WHERE outlier_low > 0
-    UNION ALL SELECT table_name, duplicate_keys || ' duplicate keys found' FROM audit WHERE duplicate_keys > 0""",
+    UNION ALL SELECT table_name, gap_count || ' gaps between dates' FROM audit WHERE gap_count > 0
+    UNION ALL SELECT table_name, severely_low || ' dates under a tenth of the average rows' FROM audit WHERE severely_low > 0
+    UNION ALL SELECT table_name, outlier_low || ' dates with outlying few rows' FROM audit WHERE outlier_low > 0
+    UNION ALL SELECT table_name, duplicate_keys || ' duplicated keys' FROM audit WHERE duplicate_keys > 0""",
 )
 def failure_reasons(spark, folder):
     return audit.tables_with_issues(audit.validate_tables(spark, audited(spark, folder)))
@@ -156,7 +156,7 @@ report AS (
     anomaly_count, anomaly_severity, duplicate_keys, excess_rows AS duplicate_rows, duplicate_severity,
     round(avg_rows_per_day, 4) AS avg_rows_per_day,
     concat_ws('; ', CASE WHEN missing_dates > 0 THEN missing_dates || ' missing dates' END,
-      CASE WHEN gap_count > 0 THEN gap_count || ' gaps in date sequence' END,
+      CASE WHEN gap_count > 0 THEN gap_count || ' gaps between dates' END,
       CASE WHEN anomaly_count > 0 THEN anomaly_count || ' anomalous dates (' || anomaly_severity || ')' END,
       CASE WHEN duplicate_keys > 0 THEN duplicate_keys || ' duplicate keys (' || duplicate_severity || ')' END) AS issues
   FROM graded
@@ -253,12 +253,12 @@ def report_filtered(spark, folder):
     "recommended_actions",
     f"""WITH {_REPORT},
     findings AS (
-      SELECT 'failed' AS kind, 'Investigate tables with failed validation immediately' AS action, count(*) FILTER (WHERE validation_status = 'FAILED') AS n FROM report
-      UNION ALL SELECT 'gaps', 'Review date gaps - may indicate missing data loads', count(*) FILTER (WHERE gap_count > 0) FROM report
-      UNION ALL SELECT 'duplicates', 'Address critical duplicate issues', count(*) FILTER (WHERE duplicate_severity IN ('HIGH', 'CRITICAL')) FROM report
-      UNION ALL SELECT 'anomalies', 'Investigate critical row count anomalies', count(*) FILTER (WHERE anomaly_severity IN ('HIGH', 'CRITICAL')) FROM report
-      UNION ALL SELECT 'not_found', 'Verify table creation for missing tables', count(*) FILTER (WHERE status = 'TABLE_NOT_FOUND') FROM report
-      UNION ALL SELECT 'empty', 'Check data loading for empty tables', count(*) FILTER (WHERE status = 'EMPTY') FROM report)
+      SELECT 'failed' AS kind, 'Look into every table that failed validation first' AS action, count(*) FILTER (WHERE validation_status = 'FAILED') AS n FROM report
+      UNION ALL SELECT 'gaps', 'Reload or explain the days missing inside the date range', count(*) FILTER (WHERE gap_count > 0) FROM report
+      UNION ALL SELECT 'duplicates', 'Remove duplicate keys where their severity is high or critical', count(*) FILTER (WHERE duplicate_severity IN ('HIGH', 'CRITICAL')) FROM report
+      UNION ALL SELECT 'anomalies', 'Find out why days with high or critical severity have unusual volumes', count(*) FILTER (WHERE anomaly_severity IN ('HIGH', 'CRITICAL')) FROM report
+      UNION ALL SELECT 'not_found', 'Create the tables that were not found, or correct their names', count(*) FILTER (WHERE status = 'TABLE_NOT_FOUND') FROM report
+      UNION ALL SELECT 'empty', 'Load the tables that have no rows', count(*) FILTER (WHERE status = 'EMPTY') FROM report)
     SELECT kind, action FROM findings WHERE n > 0""",
 )
 def recommended_actions(spark, folder):

@@ -98,7 +98,7 @@ def test_validation_of_a_range(spark):
     assert (got["missing_dates"], got["gap_count"], got["duplicate_keys"]) == (4, 1, 0)
     assert [d.day for d in got["missing_date_list"]] == [1, 4, 5, 7]
     assert got["actual_end"] == day("2024-02-01")
-    assert got["failure_reasons"] == ["4 missing dates", "1 gaps in date sequence"] and not got["valid"]
+    assert got["failure_reasons"] == ["4 missing dates", "1 gaps between dates"] and not got["valid"]
 
 
 def test_validation_of_an_empty_range_and_table(spark):
