@@ -29,6 +29,7 @@ class Contract:
     header: bool = False
     date_range: tuple[dt.date, dt.date] | None = None
     types: dict[str, str] = field(default_factory=dict, hash=False)
+    multiline: bool = False
 
     @property
     def format(self) -> str:
@@ -93,6 +94,7 @@ def contract_from_dict(entry: dict) -> Contract:
         file_format=entry.get("file_format") or "AUTO",
         quote_char=entry.get("quote_char", '"'),
         types=entry.get("types") or {},
+        multiline=bool(entry.get("multiline")),
     )
 
 

@@ -19,6 +19,7 @@ DELIMITERS = (",", "\t", "|", ";", ":")
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity|nan)$"
 CONTROL_BYTES = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 NULL_BYTE = "\u0000"
+_MARK = "\u0001"
 
 
 def is_null_token(value: Column, tokens=LOAD_NULLS, any_case: bool = False) -> Column:
@@ -48,18 +49,41 @@ def fields(value: Column, delimiter: str, quote: str | None = None) -> Column:
     plain = F.split(value, re.escape(delimiter), -1)
     if not quote:
         return plain
-    q, d = re.escape(quote), re.escape(delimiter)
-    outside = rf"{d}(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*$)"
+    # Pieces between quotes lie inside and outside by turns. Separators of the inner ones are masked
+    # by a mark that is doubled up wherever the line holds it, so every line comes back as it was.
+    own, masked = _MARK + "a", _MARK + "b"
+    swap = lambda v, old, new: F.replace(v, F.lit(old), F.lit(new))
+    pieces = quote_pieces(swap(value, _MARK, own), quote)
+    hidden = F.transform(pieces, lambda p, i: F.when(i % 2 == 1, swap(p, delimiter, masked)).otherwise(p))
+    cells = F.transform(
+        F.split(F.array_join(hidden, quote), re.escape(delimiter), -1),
+        lambda f: swap(swap(f, masked, delimiter), own, _MARK),
+    )
+    whole = lambda f: f.startswith(quote) & f.endswith(quote) & (F.length(f) > 1)
     unquoted = F.transform(
-        F.split(value, outside, -1),
-        lambda f: F.when(
-            f.rlike(rf"^{q}[\s\S]*{q}$") & (F.length(f) > 1),
-            F.replace(f.substr(F.lit(2), F.length(f) - 2), F.lit(quote * 2), F.lit(quote)),
-        ).otherwise(f),
+        cells,
+        lambda f: F.when(whole(f), swap(f.substr(F.lit(2), F.length(f) - 2), quote * 2, quote)).otherwise(f),
     )
     return F.when(F.contains(value, F.lit(quote)), unquoted).otherwise(plain)
 
 
+def quote_pieces(value: Column, quote: str) -> Column:
+    """What stands between the quotes of a line; every second piece is inside quotes."""
+    return F.split(value, re.escape(quote), -1)
+
+
+def field_count(value: Column, delimiter: str, quote: str | None = None) -> Column:
+    """Fields on a line, counting the separators outside quotes."""
+    plain = occurrences(value, delimiter) + 1
+    if not quote:
+        return plain.cast("bigint")
+    outside = F.transform(
+        quote_pieces(value, quote), lambda p, i: F.when(i % 2 == 0, occurrences(p, delimiter)).otherwise(F.lit(0))
+    )
+    quoted = F.aggregate(outside, F.lit(1), lambda a, b: a + b)
+    return F.when(F.contains(value, F.lit(quote)), quoted).otherwise(plain).cast("bigint")
+
+
 def field_at(value: Column, delimiter: str, index: int, quote: str | None = None) -> Column:
     """One field of a line by position, null if the line is too short.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions import dates
@@ -138,7 +138,7 @@ def check_tables(targets: list[Target], policy: str = "count") -> DataFrame:
         name = F.lit(t.table_name).alias("table_name")
         groups = key_groups(t.df, t.key_columns, t.date_column, t.start, t.end)
         sizes.append(group_sizes(groups, t.key_columns).select(name, "n", "has_null"))
-    spark = sizes[0].sparkSession
+    spark = SparkSession.active()
     named = [(t.table_name, 0, False) for t in targets if t.df is not None and t.key_columns]
     sizes.append(literal_frame(spark, named, "table_name string, n bigint, has_null boolean"))
     stats = union_all(sizes).groupBy("table_name").agg(*[F.expr(e) for e in _STATS])

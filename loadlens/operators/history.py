@@ -30,8 +30,8 @@ def since(history: DataFrame, hours: float, now: Column | None = None) -> Column
     return (F.col("start_time") >= at - seconds) & (F.col("start_time") <= at)
 
 
-def load_errors(history: DataFrame, hours: float = 24, now: Column | None = None, limit: int | None = 10) -> DataFrame:
-    """Failed loads in the window, newest first."""
+def load_errors(history: DataFrame, hours: float = 24, now: Column | None = None, limit: int | None = None) -> DataFrame:
+    """Failed loads in the window; with a limit the newest."""
     failed = (
         F.col("error_code").isin(*FAILURE_CODES)
         | F.contains("error_message", F.lit("incident"))
@@ -59,9 +59,9 @@ def error_classes(errors: DataFrame) -> DataFrame:
 
 
 def load_performance(
-    history: DataFrame, hours: float = 24, now: Column | None = None, limit: int | None = 10
+    history: DataFrame, hours: float = 24, now: Column | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Timing, rows and volume of recent loads, newest first, slow ones marked."""
+    """Timing, rows and volume of recent loads, slow ones marked; with a limit the newest."""
     loads = (
         history.filter(since(history, hours, now) & (F.col("query_type") == "COPY"))
         .filter(F.contains("query_text", F.lit("COPY INTO")))

@@ -299,7 +299,7 @@ def table_name_of(name: Column) -> Column:
     return F.upper(F.regexp_replace(stem, r"(?i)^(?:fact|dim|test_|custom_)", ""))
 
 
-def propose_contracts(lines: DataFrame, date_column: str | None = None, sample_lines: int = 10) -> DataFrame:
+def propose_contracts(lines: DataFrame, date_column: str | None = None, sample_lines: int | None = None) -> DataFrame:
     """One contract proposal per file pattern, from names, formats and header rows."""
     name = inventory.base_name(F.col("file"))
     formats = detect_format(lines, sample_lines=sample_lines)
@@ -377,8 +377,8 @@ def schema_inventory(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def catalog_inventory(spark: SparkSession, name: str, limit: int = 20) -> DataFrame:
-    """Tables of that name in every database, or the first tables if none has it."""
+def catalog_inventory(spark: SparkSession, name: str, limit: int | None = None) -> DataFrame:
+    """Tables of that name in every database, or all tables if none has it, the first ones if a limit is asked for."""
     found = []
     for database in spark.catalog.listDatabases():
         for table in spark.catalog.listTables(database.name):

@@ -20,14 +20,13 @@ from pyspark.sql import functions as F
 
 from loadlens.functions import dates
 from loadlens.functions.text import percent
+from loadlens.session import literal_frame
 
 # Anomaly thresholds and the order severities are listed in.
 SEVERELY_LOW_SHARE = 0.10
 LOW_SHARE = 0.50
 IQR_MULTIPLIER = 1.5
 SEVERITIES = ("SEVERELY_LOW", "OUTLIER_LOW", "LOW", "OUTLIER_HIGH")
-LISTED = 100
-SHORT_GAP_DAYS = 31
 
 
 @dataclass
@@ -138,19 +137,24 @@ def date_gaps(series: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
-def listed_gaps(series: DataFrame, start=None, end=None, limit: int = LISTED) -> DataFrame:
-    """The first gaps of each table."""
-    order = Window.partitionBy("table_name").orderBy("prev_date")
-    return (
-        date_gaps(series, start, end)
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= limit)
-        .drop("rank")
-    )
+def first_of_each(df: DataFrame, group: str, order: list, limit: int) -> DataFrame:
+    """The first rows of each group; ``truncated`` tells whether the group has more.
 
+    One row more than asked for is ranked, so that no group is gathered whole.
+    """
+    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    more = F.max("rank").over(Window.partitionBy(group)) > limit
+    return ranked.filter(F.col("rank") <= limit + 1).withColumn("truncated", more).filter(F.col("rank") <= limit).drop("rank")
 
-def missing_from_gaps(series: DataFrame, start=None, end=None, longest: int | None = SHORT_GAP_DAYS) -> DataFrame:
-    """Days inside gaps; long gaps are left out unless ``longest`` is None."""
+
+def listed_gaps(series: DataFrame, start=None, end=None, limit: int | None = None) -> DataFrame:
+    """The gaps of each table; the first ``limit`` with a flag ``truncated`` if a limit is asked for."""
+    gaps = date_gaps(series, start, end)
+    return gaps if limit is None else first_of_each(gaps, "table_name", ["prev_date"], limit)
+
+
+def missing_from_gaps(series: DataFrame, start=None, end=None, longest: int | None = None) -> DataFrame:
+    """Days inside gaps; gaps of more than ``longest`` days are left out only if asked for."""
     gaps = date_gaps(series, start, end)
     if longest is not None:
         gaps = gaps.filter(F.col("missing_days") <= longest)
@@ -158,12 +162,22 @@ def missing_from_gaps(series: DataFrame, start=None, end=None, longest: int | No
     return gaps.select("table_name", F.explode(inside).alias("missing_date"))
 
 
-def missing_days(series: DataFrame, start=None, end=None) -> DataFrame:
+def with_tables(series: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """The series with an entry of no rows for each named table, so that one without rows is still there."""
+    if not tables:
+        return series
+    named = literal_frame(series.sparkSession, [(t, None, 0) for t in tables], "table_name string, d date, n bigint")
+    return series.select("table_name", "d", "n").unionByName(named)
+
+
+def missing_days(series: DataFrame, start=None, end=None, tables: Sequence[str] = ()) -> DataFrame:
     """Calendar days without rows: the requested range, else first to last day.
 
     A table's present days are gathered once (no more than the calendar has)
-    and taken out of the expected ones.
+    and taken out of the expected ones. A table without any row is in no
+    series; named in ``tables`` it misses the whole range.
     """
+    series = with_tables(series, tables)
     present = F.col("d")
     if start is not None and end is not None:
         lo, hi = F.lit(dates.to_day(start)), F.lit(dates.to_day(end))
@@ -182,11 +196,13 @@ def date_distribution(series: DataFrame, start, end) -> DataFrame:
     return days(series, start, end).select("table_name", "d", F.col("n").alias("row_count"))
 
 
-def completeness(series: DataFrame, start=None, end=None) -> DataFrame:
+def completeness(series: DataFrame, start=None, end=None, tables: Sequence[str] = ()) -> DataFrame:
     """Completeness per table, also for tables with nothing in the range.
 
     One pass over the whole series; the range only decides which days count.
+    Tables without any row have their entry if they are named in ``tables``.
     """
+    series = with_tables(series, tables)
     has_range = start is not None and end is not None
     lo = F.lit(dates.to_day(start)) if has_range else F.lit(None).cast("date")
     hi = F.lit(dates.to_day(end)) if has_range else F.lit(None).cast("date")
@@ -274,13 +290,12 @@ def classify_days(series: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
-def volume_anomalies(series: DataFrame, start=None, end=None, limit: int | None = LISTED) -> DataFrame:
-    """Days that are not normal, worst kind first; the first ``limit`` per table."""
+def volume_anomalies(series: DataFrame, start=None, end=None, limit: int | None = None) -> DataFrame:
+    """Days that are not normal; with a limit the worst ones per table and a flag ``truncated``."""
     odd = classify_days(series, start, end).filter(F.col("severity") != "NORMAL")
     if limit is None:
         return odd
-    order = Window.partitionBy("table_name").orderBy(severity_rank(F.col("severity")), "d")
-    return odd.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit).drop("rank")
+    return first_of_each(odd, "table_name", [severity_rank(F.col("severity")), "d"], limit)
 
 
 def severity_counts(classified: DataFrame) -> DataFrame:
@@ -319,8 +334,8 @@ def anomaly_grade(classified: DataFrame, policy: str = "kinds") -> DataFrame:
     )
 
 
-def invalid_dates(df: DataFrame, column: str, keep: list[str], limit: int | None = LISTED) -> DataFrame:
-    """Cells that none of the file date spellings fits, first ones in row order.
+def invalid_dates(df: DataFrame, column: str, keep: list[str], limit: int | None = None) -> DataFrame:
+    """Cells that none of the file date spellings fits; with a limit the first ones in row order.
 
     A null cell is a row too short to have one and is not listed.
     """

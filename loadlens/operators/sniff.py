@@ -25,7 +25,7 @@ def _sample(lines: DataFrame, sample_lines: int | None) -> DataFrame:
     return lines if sample_lines is None else head_lines(lines, sample_lines)
 
 
-def delimiter_scores(lines: DataFrame, sample_lines: int | None = 10) -> DataFrame:
+def delimiter_scores(lines: DataFrame, sample_lines: int | None = None) -> DataFrame:
     """Per file and separator: least count, mean, variance and score.
 
     Only separators found on every line score. One aggregation per file with
@@ -66,7 +66,7 @@ def delimiter_scores(lines: DataFrame, sample_lines: int | None = 10) -> DataFra
     )
 
 
-def detect_delimiter(lines: DataFrame, sample_lines: int | None = 10) -> DataFrame:
+def detect_delimiter(lines: DataFrame, sample_lines: int | None = None) -> DataFrame:
     """Best separator per file; ties go to the first in the fixed order."""
     best = F.struct(F.col("score"), (-F.col("rank")).alias("preference"))
     return (
@@ -77,7 +77,7 @@ def detect_delimiter(lines: DataFrame, sample_lines: int | None = 10) -> DataFra
     )
 
 
-def validate_delimiter(lines: DataFrame, delimiter: str, sample_lines: int | None = 10) -> DataFrame:
+def validate_delimiter(lines: DataFrame, delimiter: str, sample_lines: int | None = None) -> DataFrame:
     """Is the separator on every line, with variance below the mean?"""
     n = occurrences(F.col("value"), delimiter)
     return (
@@ -149,7 +149,7 @@ def header_tests(lines: DataFrame, delimiter: str, quote: str | None = '"') -> D
     )
 
 
-def detect_format(lines: DataFrame, files: DataFrame | None = None, sample_lines: int | None = 10) -> DataFrame:
+def detect_format(lines: DataFrame, files: DataFrame | None = None, sample_lines: int | None = None) -> DataFrame:
     """Format per file: by extension, else by content, else the fallback.
 
     ``files`` (with ``path``) adds files that hold no line at all.

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.functions.text import CONTROL_BYTES, NULL_BYTE, field_at, fields, occurrences, strip
+from loadlens.functions.text import CONTROL_BYTES, NULL_BYTE, field_at, field_count, fields, occurrences, strip
 from loadlens.operators.sniff import by_delimiter, mostly_text
 from loadlens.session import shared_folder
-from loadlens.sources.lines import ORDER, first_lines, number_lines
+from loadlens.sources.lines import ORDER, first_lines, number_lines, source_name
 
 LONG_LINE = 10_000
 DIFFERENT_SIZE_PCT = 10
@@ -23,9 +23,9 @@ def _count_if(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
-def width(delimiter: str) -> Column:
-    """Fields on a line, counting separators."""
-    return (occurrences(F.col("value"), delimiter) + 1).cast("bigint")
+def width(delimiter: str, quote: str | None = None) -> Column:
+    """Fields on a line, counting separators; with a quote, those outside quotes."""
+    return field_count(F.col("value"), delimiter, quote)
 
 
 def row_counts(lines: DataFrame) -> DataFrame:
@@ -142,21 +142,21 @@ def encoding_evidence(lines: DataFrame) -> DataFrame:
     )
 
 
-def column_counts(lines: DataFrame, delimiter: str) -> DataFrame:
+def column_counts(lines: DataFrame, delimiter: str, quote: str | None = None) -> DataFrame:
     """Least and most fields per line and whether they agree, per file."""
     return (
         lines.groupBy("file")
-        .agg(F.min(width(delimiter)).alias("min_columns"), F.max(width(delimiter)).alias("max_columns"))
+        .agg(F.min(width(delimiter, quote)).alias("min_columns"), F.max(width(delimiter, quote)).alias("max_columns"))
         .withColumn("consistent", F.col("min_columns") == F.col("max_columns"))
     )
 
 
-def column_count_distribution(lines: DataFrame, delimiter: str) -> DataFrame:
+def column_count_distribution(lines: DataFrame, delimiter: str, quote: str | None = None) -> DataFrame:
     """Lines per file and number of fields."""
-    return lines.groupBy("file", width(delimiter).alias("columns")).agg(F.count("*").alias("lines"))
+    return lines.groupBy("file", width(delimiter, quote).alias("columns")).agg(F.count("*").alias("lines"))
 
 
-def _with_expected(lines: DataFrame, delimiter: str, expected: int | None) -> DataFrame:
+def _with_expected(lines: DataFrame, delimiter: str, expected: int | None, quote: str | None = None) -> DataFrame:
     """Add each line's width and the one it should have: declared, or its file's first line's.
 
     Without a declared width, only files whose lines differ in width are
@@ -165,16 +165,16 @@ def _with_expected(lines: DataFrame, delimiter: str, expected: int | None) -> Da
     and otherwise joins by splitting the partitions of files that hold most
     lines.
     """
-    measured = lines.withColumn("columns", width(delimiter))
+    measured = lines.withColumn("columns", width(delimiter, quote))
     if expected is not None:
         return measured.withColumn("expected", F.lit(expected).cast("bigint"))
     at_start = F.when(F.col("block") == 0, F.col("seq"))
     uneven = (
         lines.groupBy("file")
         .agg(
-            F.min_by(width(delimiter), at_start).alias("first_width"),
-            F.min(width(delimiter)).alias("least"),
-            F.max(width(delimiter)).alias("most"),
+            F.min_by(width(delimiter, quote), at_start).alias("first_width"),
+            F.min(width(delimiter, quote)).alias("least"),
+            F.max(width(delimiter, quote)).alias("most"),
         )
         .filter(F.col("least") != F.col("most"))
         .select("file", "first_width")
@@ -186,9 +186,9 @@ def _with_expected(lines: DataFrame, delimiter: str, expected: int | None) -> Da
     )
 
 
-def ragged_rows(lines: DataFrame, delimiter: str, expected: int | None = None) -> DataFrame:
+def ragged_rows(lines: DataFrame, delimiter: str, expected: int | None = None, quote: str | None = None) -> DataFrame:
     """Rows whose width differs from the expected one, with line numbers."""
-    bad = _with_expected(lines, delimiter, expected)
+    bad = _with_expected(lines, delimiter, expected, quote)
     return number_lines(bad.filter(F.col("columns") != F.col("expected")), lines).select(
         "file", "line_no", "columns", "expected"
     )
@@ -227,17 +227,15 @@ def problem_rows(
     lines: DataFrame,
     delimiter: str,
     expected: int | None = None,
-    samples: int = 10,
+    samples: int | None = None,
     long_line: int = LONG_LINE,
 ) -> DataFrame:
-    """The first few rows of each problem kind per file."""
-    order = Window.partitionBy("file", "kind").orderBy(*ORDER)
-    first = (
-        all_problem_rows(lines, delimiter, expected, long_line)
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= samples)
-    )
-    return number_lines(first, lines).select("file", "kind", "line_no", "measure")
+    """The rows of each problem kind per file; the first ``samples`` of them if so many are asked for."""
+    found = all_problem_rows(lines, delimiter, expected, long_line)
+    if samples is not None:
+        order = Window.partitionBy("file", "kind").orderBy(*ORDER)
+        found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= samples)
+    return number_lines(found, lines).select("file", "kind", "line_no", "measure")
 
 
 def problem_counts(
@@ -271,18 +269,22 @@ def quote_check(lines: DataFrame) -> DataFrame:
     )
 
 
-def clean_lines(lines: DataFrame, delimiter: str = "\t", expected: int | None = None) -> DataFrame:
+def clean_lines(lines: DataFrame, delimiter: str = "\t", expected: int | None = None, quote: str | None = None) -> DataFrame:
     """Every line with a verdict: keep it only at the right width and without null bytes."""
     ok = (F.col("columns") == F.col("expected")) & ~F.contains("value", F.lit(NULL_BYTE))
-    return _with_expected(lines, delimiter, expected).withColumn("keep", ok).drop("columns", "expected")
+    return _with_expected(lines, delimiter, expected, quote).withColumn("keep", ok).drop("columns", "expected")
 
 
-def write_clean(lines: DataFrame, target: str, delimiter: str = "\t", expected: int | None = None) -> DataFrame:
-    """Split lines into ``keep=true`` and ``keep=false`` folders in one pass; count both."""
-    judged = clean_lines(lines, delimiter, expected)
-    judged.select("keep", "value").write.option("lineSep", "\n").partitionBy("keep").text(target)
+def write_clean(
+    lines: DataFrame, target: str, delimiter: str = "\t", expected: int | None = None, quote: str | None = None
+) -> DataFrame:
+    """Split lines into ``keep=true`` and ``keep=false`` folders in one pass, inside them a folder per file; count both."""
+    judged = clean_lines(lines, delimiter, expected, quote)
+    kept = judged.select("keep", source_name(F.col("file")).alias("source"), *ORDER, "value")
+    in_order = kept.sortWithinPartitions("keep", "source", *ORDER).select("keep", "source", "value")
+    in_order.write.option("lineSep", "\n").partitionBy("keep", "source").text(target)
     spark = lines.sparkSession
-    written = spark.read.option("lineSep", "\n").schema("value string, keep boolean").text(target)
+    written = spark.read.option("lineSep", "\n").schema("value string, keep boolean, source string").text(target)
     return written.agg(
         F.count("*").alias("total_lines"),
         _count_if(F.col("keep")).alias("clean_lines"),

@@ -9,7 +9,6 @@ from loadlens.functions import dates
 from loadlens.functions.text import percent
 from loadlens.operators import duplicates
 from loadlens.operators.series import (
-    LISTED,
     SEVERITIES,
     Target,
     daily_series_of,
@@ -63,7 +62,7 @@ def _listed(entry: Column, limit: int | None) -> Column:
     return _cut(F.array_sort(F.collect_list(entry)), limit)
 
 
-def series_audit(series: DataFrame, listed: int | None = LISTED) -> DataFrame:
+def series_audit(series: DataFrame, listed: int | None = None) -> DataFrame:
     """Completeness and anomalies per table from its daily series with requested range.
 
     The table is scanned once, into the series. Gaps, averages and quartiles
@@ -150,13 +149,13 @@ def validate_tables(
     targets: list[Target],
     policy: str = "count",
     push_range: bool = False,
-    listed: int | None = LISTED,
+    listed: int | None = None,
 ) -> DataFrame:
     """One validation row per target with a date column.
 
     Two scans per table: its daily series, and its keys. ``push_range`` reads
     only the requested days, at the price of the whole-table extent. Counts
-    are exact; ``listed`` cuts the lists for display, None keeps them whole.
+    are exact and lists whole; ``listed`` cuts the lists for display and adds ``truncated``.
     """
     return audit_tables(spark, [t for t in targets if t.date_column], policy, push_range, listed)
 
@@ -166,7 +165,7 @@ def audit_tables(
     targets: list[Target],
     policy: str = "count",
     push_range: bool = False,
-    listed: int | None = LISTED,
+    listed: int | None = None,
 ) -> DataFrame:
     """Validation rows of all targets that exist; those without a date column have only a row count."""
     found = [t for t in targets if t.df is not None]
@@ -206,14 +205,17 @@ def audit_tables(
         )
     )
     hidden = ("first_inside", "last_inside", "inner_missing")
+    anomalies = sum((F.col(s.lower()) for s in SEVERITIES[1:]), F.col(SEVERITIES[0].lower()))
+    cut = [] if listed is None else [(F.greatest(missing, F.col("gap_count"), anomalies) > listed).alias("truncated")]
     return counted.select(
         *[c for c in counted.columns if c not in hidden],
         missing.alias("missing_dates"),
-        sum((F.col(s.lower()) for s in SEVERITIES[1:]), F.col(SEVERITIES[0].lower())).alias("anomaly_count"),
+        anomalies.alias("anomaly_count"),
         F.when(days > 0, total / days).otherwise(F.lit(0.0)).alias("avg_rows_per_day"),
         _missing_list(first, last, listed).alias("missing_date_list"),
         reasons.alias("failure_reasons"),
         (F.size(reasons) == 0).alias("valid"),
+        *cut,
     )
 
 

@@ -145,17 +145,23 @@ def _partition_location(spark: SparkSession, table: str, column: str, month: str
     return rows.filter("col_name = 'Location'").collect()[0]["data_type"]
 
 
-def _delete_from_months(spark: SparkSession, df: DataFrame, target: Deletion, column: str) -> str:
-    """Delete from a table partitioned by month; returns where its partitions were, as JSON.
+def _months_before(spark: SparkSession, target: Deletion, column: str) -> str:
+    """Where the partitions of the period's months are, as JSON."""
+    table = target.table_name
+    listed = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    touched = [m for m in _months_touched(target) if m in listed]
+    before = {m: _partition_location(spark, table, column, m) for m in touched}
+    return json.dumps({"partition": column, "locations": before})
+
+
+def _delete_from_months(spark: SparkSession, df: DataFrame, target: Deletion, column: str, touched: list[str]) -> None:
+    """Delete from some months of a table partitioned by month.
 
     Partitions of whole months are dropped unread. Of a month that goes only in
     part, the rows that stay are written to a new folder and its partition is
     pointed there. Other months are not touched.
     """
     table = target.table_name
-    listed = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    touched = [m for m in _months_touched(target) if m in listed]
-    before = {m: _partition_location(spark, table, column, m) for m in touched}
     first_last = {m: dates.month_range(m) for m in touched}
     parts = [m for m in touched if first_last[m][0] < target.start or first_last[m][1] > target.end]
     kept = {}
@@ -172,7 +178,6 @@ def _delete_from_months(spark: SparkSession, df: DataFrame, target: Deletion, co
         else:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
     spark.catalog.refreshTable(table)
-    return json.dumps({"partition": column, "locations": before})
 
 
 def _rewrite(spark: SparkSession, df: DataFrame, target: Deletion, partitions: list[str]) -> tuple[str, int]:
@@ -219,19 +224,35 @@ def delete_period(
     if dry_run:
         return _record(target, "dry_run", total, hits)
     if month_partition and not target.by_spelling:
-        recovery = _delete_from_months(spark, df, target, month_partition)
-        if total - spark.table(target.table_name).count() != hits:
-            restore(spark, target.table_name, recovery)
-            return _record(target, "failed", total, 0, recovery, "rows outside their month's partition")
+        recovery = _months_before(spark, target, month_partition)
+        try:
+            _delete_from_months(spark, df, target, month_partition, list(json.loads(recovery)["locations"]))
+            if total - spark.table(target.table_name).count() != hits:
+                raise ValueError("rows outside their month's partition")
+        except Exception as error:  # noqa: BLE001 - undone and recorded
+            return _undone(spark, target, total, recovery, error)
         return _record(target, "success", total, hits, recovery)
     before = _location(spark, target.table_name)
     folder, kept = _rewrite(spark, df, target, _partition_columns(spark, target.table_name))
     if total - kept != hits:
         return _record(target, "failed", total, 0, before, "table changed during the delete")
-    point_table_at(spark, target.table_name, folder)
+    try:
+        point_table_at(spark, target.table_name, folder)
+    except Exception as error:  # noqa: BLE001 - undone and recorded
+        return _undone(spark, target, total, before, error)
     return _record(target, "success", total, hits, before)
 
 
+def _undone(spark: SparkSession, target: Deletion, total: int, recovery: str, error: Exception) -> tuple:
+    """Put a table back after a failed delete. The record always has the recovery text, should that fail too."""
+    text = str(error).splitlines()[0] if str(error) else type(error).__name__
+    try:
+        restore(spark, target.table_name, recovery)
+    except Exception as second:  # noqa: BLE001 - recorded
+        text += f"; not restored: {str(second).splitlines()[0]}"
+    return _record(target, "failed", total, 0, recovery, text)
+
+
 def restore(spark: SparkSession, table: str, recovery: str) -> None:
     """Undo a delete: point the table, or its changed partitions, back at the files of before."""
     if not recovery.startswith("{"):

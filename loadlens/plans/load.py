@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from loadlens.contracts import Contract
 from loadlens.functions import dates
-from loadlens.functions.text import field_at, fields, occurrences, strip
+from loadlens.functions.text import field_at, field_count, strip
 from loadlens.operators.history import HISTORY_SCHEMA
-from loadlens.operators.series import LISTED
+from loadlens.operators.series import daily_series, days, first_of_each
 from loadlens.session import literal_frame
 from loadlens.sources import delimited, inventory
 from loadlens.sources.delimited import RAGGED, SOURCE
-from loadlens.sources.lines import ORDER, number_lines, read_lines
+from loadlens.sources.lines import number_lines, read_lines
 
 REJECTED = "_rejected_columns"
 
@@ -50,6 +50,7 @@ def read_contract(
         header=contract.header,
         flag_ragged=ragged,
         with_source=source,
+        multiline=contract.multiline,
     )
 
 
@@ -132,21 +133,22 @@ def date_cells(spark: SparkSession, contract: Contract, paths) -> DataFrame:
 
 
 def file_quality(
-    spark: SparkSession, contract: Contract, paths, start=None, end=None, listed: int = LISTED
+    spark: SparkSession, contract: Contract, paths, start=None, end=None, listed: int | None = None
 ) -> DataFrame:
     """Schema width and date completeness of every file, one row per file.
 
     The expected days come from the arguments, else from the file's name. One
     scan reduces each file to rows per day; what follows has at most one row
-    per file and day.
+    per file and day. The list of missing days is whole unless ``listed`` cuts
+    it, which ``truncated`` then tells. A header is the first line of a file,
+    whatever it says. Records over several lines are checked by the reader
+    that loads them, so their width is not known.
     """
-    cells = date_cells(spark, contract, paths)
-    if contract.header:
-        cells = cells.filter((F.col("block") > 0) | (F.col("value") != contract.separator.join(contract.expected_columns)))
-    columns = (occurrences(F.col("value"), contract.separator) + 1).cast("bigint")
-    if contract.quote_char:
-        quoted = F.size(fields(F.col("value"), contract.separator, contract.quote_char)).cast("bigint")
-        columns = F.when(F.contains("value", F.lit(contract.quote_char)), quoted).otherwise(columns)
+    if contract.multiline:
+        cells = _record_cells(spark, contract, paths)
+    else:
+        cells = date_cells(spark, contract, paths)
+    columns = field_count(F.col("value"), contract.separator, contract.quote_char)
     at_start = F.when(F.col("block") == 0, F.col("seq"))
     day = dates.parse_file_date(F.col("cell"))
     per_day = (
@@ -154,11 +156,14 @@ def file_quality(
         .groupBy("file", "d", (F.col("has_cell") & F.col("d").isNull()).alias("bad"))
         .agg(F.count("*").alias("n"), F.min_by("w", "s").alias("w"), F.min("s").alias("s"))
     )
+    if contract.header and not contract.multiline:
+        is_first = F.col("s") == F.min("s").over(Window.partitionBy("file"))
+        per_day = per_day.withColumn("n", F.col("n") - F.coalesce(is_first.cast("int"), F.lit(0)))
     if start is not None and end is not None:
         lo, hi = F.lit(dates.to_day(start)), F.lit(dates.to_day(end))
     else:
         lo, hi = inventory.period_from_name(F.col("file"))
-    inside = F.col("d").between(F.col("lo"), F.col("hi"))
+    inside = F.col("d").between(F.col("lo"), F.col("hi")) & (F.col("n") > 0)
     nothing = F.array().cast("array<date>")
     missing = F.when(F.col("lo") <= F.col("hi"), F.array_except(F.sequence("lo", "hi"), "present"))
     dated = (F.col("expected_dates") > 0) & (F.col("missing_dates") == 0) & (F.col("invalid_dates") == 0)
@@ -177,22 +182,38 @@ def file_quality(
         )
         .withColumn("expected_dates", dates.expected_days(F.col("lo"), F.col("hi")))
         .withColumn("missing_dates", F.col("expected_dates") - F.col("unique_dates"))
-        .withColumn("missing_date_list", F.slice(F.coalesce(missing, nothing), 1, listed))
-        .withColumn("schema_match", F.col("actual_columns") == len(contract.expected_columns))
+        .withColumn("missing_date_list", F.array_sort(F.coalesce(missing, nothing)))
+        .withColumn("truncated", F.lit(False) if listed is None else F.size("missing_date_list") > listed)
+        .withColumn("missing_date_list", F.col("missing_date_list") if listed is None else F.slice("missing_date_list", 1, listed))
+        .withColumn("schema_match", F.lit(True) if contract.multiline else F.col("actual_columns") == len(contract.expected_columns))
         .withColumn("dates_passed", dated)
         .withColumn("passed", F.coalesce(F.col("schema_match") & F.col("dates_passed"), F.lit(False)))
         .drop("lo", "hi", "present")
     )
 
 
-def invalid_file_dates(spark: SparkSession, contract: Contract, paths, limit: int | None = LISTED) -> DataFrame:
-    """The first cells per file that hold no valid date, with their row numbers."""
+def invalid_file_dates(spark: SparkSession, contract: Contract, paths, limit: int | None = None) -> DataFrame:
+    """The cells that hold no valid date, with their row numbers; a header line has none.
+
+    ``limit`` asks for the first ones of each file only; ``truncated`` then
+    tells whether there are more.
+    """
     cells = date_cells(spark, contract, paths)
     bad = cells.filter(F.col("cell").isNotNull() & dates.parse_file_date(F.col("cell")).isNull())
-    if limit is not None:
-        order = Window.partitionBy("file").orderBy(*ORDER)
-        bad = bad.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
-    return number_lines(bad, cells).select("file", "line_no", F.col("cell").alias("value"))
+    numbered = number_lines(bad, cells).select("file", "line_no", F.col("cell").alias("value"))
+    if contract.header:
+        numbered = numbered.filter("line_no > 1")
+    return numbered if limit is None else first_of_each(numbered, "file", ["line_no"], limit)
+
+
+def _record_cells(spark: SparkSession, contract: Contract, paths) -> DataFrame:
+    """The date cells of a contract whose records may span lines, shaped like ``date_cells``."""
+    rows = read_contract(spark, contract, paths, source=True)
+    nothing = F.lit(None).cast("bigint")
+    return rows.select(
+        F.col(SOURCE).alias("file"), nothing.alias("block"), nothing.alias("seq"), F.lit(None).cast("string").alias("value"),
+        strip(F.col(contract.date_column)).alias("cell"),
+    )
 
 
 def load_files(
@@ -210,7 +231,8 @@ def load_files(
 
     Checks only read, so a few run at once. Appends to one folder share its
     commit area and run one after another; each is a Spark job over the whole
-    cluster. A file that fails does not stop the others.
+    cluster. A file that fails does not stop the others. ``validate_after``
+    judges the loaded table instead of the files.
     """
     checks = not skip_qc and not validate_after
 
@@ -232,13 +254,29 @@ def load_files(
                 results.append(LoadResult(contract.table_name, path, "qc_passed"))
             else:
                 results.append(load_contract(spark, contract, path, target, **options))
-        if validate_after:
-            loaded = [r for r in results if r.status == "success"]
-            for result, (good, _) in zip(loaded, pool.map(passed, [r.source for r in loaded])):
-                result.status = "success" if good else "loaded_with_issues"
+    loaded = [r for r in results if r.status == "success"]
+    if validate_after and loaded:
+        whole = complete_periods(spark, contract, [r.source for r in loaded], target)
+        for result in loaded:
+            result.status = "success" if result.source in whole else "loaded_with_issues"
     return results_frame(spark, results)
 
 
+def complete_periods(spark: SparkSession, contract: Contract, paths: list[str], target: str) -> set[str]:
+    """Those of the paths whose period, as in their name, the table has rows for on every day.
+
+    One scan of the table's date column answers for all paths; what is joined
+    has one row per path and day.
+    """
+    named = literal_frame(spark, [(p,) for p in paths], "path string")
+    lo, hi = inventory.period_from_name(F.col("path"))
+    wanted = named.select("path", lo.alias("lo"), hi.alias("hi")).filter("lo <= hi")
+    wanted = wanted.select("path", F.explode(F.sequence("lo", "hi")).alias("d"))
+    held = days(daily_series(spark.read.parquet(target), contract.date_column)).select("d", "n")
+    judged = wanted.join(held, "d", "left").groupBy("path").agg(F.bool_and(F.col("n").isNotNull()).alias("whole"))
+    return {r["path"] for r in judged.filter("whole").collect()}
+
+
 def results_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     return spark.createDataFrame(
         [

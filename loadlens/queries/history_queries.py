@@ -63,7 +63,7 @@ _FAILED = "(error_code IN ('000603', '300005') OR contains(error_message, 'incid
     ORDER BY start_time DESC, query_id LIMIT 10""",
 )
 def load_errors(spark, folder):
-    found = op.load_errors(load_history(spark, folder), HOURS, newest(spark, folder))
+    found = op.load_errors(load_history(spark, folder), HOURS, newest(spark, folder), limit=10)
     return found.select("query_id", "error_code", "error_message", "elapsed_seconds")
 
 
@@ -92,7 +92,7 @@ def error_classes(spark, folder):
       elapsed_seconds > 300 AS slow FROM recent WHERE query_type = 'COPY' ORDER BY start_time DESC, query_id LIMIT 10""",
 )
 def load_perf(spark, folder):
-    return op.load_performance(load_history(spark, folder), HOURS, newest(spark, folder)).drop("start_time")
+    return op.load_performance(load_history(spark, folder), HOURS, newest(spark, folder), limit=10).drop("start_time")
 
 
 @query(

@@ -157,7 +157,7 @@ def _problems_sql(lines: str, width: str, expected: str, long: int) -> str:
     SELECT file, kind, seq + 1 AS line_no, measure FROM ranked WHERE rn <= 10""",
 )
 def problem_rows(spark, folder):
-    return structure.problem_rows(doc_lines(spark, folder), ",", expected=2, long_line=1000)
+    return structure.problem_rows(doc_lines(spark, folder), ",", expected=2, samples=10, long_line=1000)
 
 
 @query(
@@ -238,9 +238,9 @@ def encoding_evidence(spark, folder):
 _DELIMITERS = (("','", 0, 1.2), ("chr(9)", 1, 1.2), ("'|'", 2, 1.0), ("';'", 3, 1.0), ("':'", 4, 1.0))
 
 
-def _scores_sql(lines: str, limit: str = "") -> str:
+def _scores_sql(lines: str) -> str:
     parts = " UNION ALL ".join(
-        f"SELECT file, {d} AS delimiter, {r} AS rank, {b} AS bonus, {_count('value', d)} AS c FROM lines {limit}"
+        f"SELECT file, {d} AS delimiter, {r} AS rank, {b} AS bonus, {_count('value', d)} AS c FROM lines"
         for d, r, b in _DELIMITERS
     )
     return f"""WITH {lines}, counts AS ({parts}),
@@ -265,7 +265,7 @@ def delimiter_scores(spark, folder):
 
 @query(
     "delimiter_detected",
-    _scores_sql(DOCS_SQL, "WHERE seq < 10")
+    _scores_sql(DOCS_SQL)
     + """, best AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY round(score, 9) DESC, rank) AS rn FROM scored)
     SELECT file, delimiter, round(least(score, 1.0), 6) AS confidence FROM best WHERE rn = 1""",
 )
@@ -309,7 +309,7 @@ def header_tests(spark, folder):
 
 @query(
     "format_detected",
-    _scores_sql(DOCS_SQL, "WHERE seq < 10")
+    _scores_sql(DOCS_SQL)
     + """, best AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY round(score, 9) DESC, rank) AS rn FROM scored)
     SELECT l.file, CASE WHEN b.delimiter = chr(9) THEN 'TSV' ELSE 'CSV' END AS format, coalesce(b.delimiter, ',') AS delimiter,
       round(CASE WHEN b.score IS NULL THEN 0.3 ELSE least(b.score, 1.0) END, 6) AS confidence, CASE WHEN b.delimiter IS NULL THEN 'fallback' ELSE 'content' END AS method

@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.functions.text import LOAD_NULLS, null_if
+from loadlens.functions.text import LOAD_NULLS, fields, is_number, null_if, occurrences
+from loadlens.sources.lines import read_lines
 
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 RAGGED = "_ragged_line"
 SOURCE = "_source_file"
 
+# Types whose text must read as a number; Spark's own cast would also take a Java suffix such as 12d.
+_NUMERIC = ("tinyint", "smallint", "int", "integer", "bigint", "float", "real", "double", "decimal")
+
 
 def string_schema(columns, ragged: bool = False) -> T.StructType:
     fields = [T.StructField(c, T.StringType()) for c in columns]
@@ -22,9 +26,12 @@ def string_schema(columns, ragged: bool = False) -> T.StructType:
 
 
 def scan_options(
-    delimiter: str, quote: str | None, header: bool, encoding: str | None, ragged: bool
+    delimiter: str, quote: str | None, header: bool, encoding: str | None, ragged: bool, multiline: bool = False
 ) -> dict:
-    """Reader options: short rows padded, long rows cut, doubled quotes, no escapes."""
+    """Reader options: short rows padded, long rows cut, doubled quotes, no escapes.
+
+    Lines end in line feeds only, unless records may span lines.
+    """
     options = {
         "sep": delimiter,
         "quote": quote or "\u0000",
@@ -33,6 +40,10 @@ def scan_options(
         "mode": "PERMISSIVE",
         "enforceSchema": "true",
     }
+    if multiline:
+        options["multiLine"] = "true"
+    else:
+        options["lineSep"] = "\n"
     if encoding:
         options["encoding"] = encoding
     if ragged:
@@ -40,6 +51,28 @@ def scan_options(
     return options
 
 
+def without_cr(value: Column) -> Column:
+    """A line, or the last cell of one, without the carriage return that ends it."""
+    return F.when(value.endswith("\r"), F.left(value, F.char_length(value) - 1)).otherwise(value)
+
+
+def _split_scan(spark: SparkSession, paths, columns, delimiter: str, quote: str | None, ragged: bool) -> DataFrame:
+    """Text columns cut out of raw lines, by the same rules as the file checks.
+
+    Blank lines are rows, every byte is kept, and a line whose quotes do not
+    pair up fails the scan: its record goes on in the next line.
+    """
+    line = without_cr(F.col("value"))
+    if quote:
+        open_quote = F.raise_error(F.concat(F.lit("a quote is not closed on its line: "), F.left(line, F.lit(200))))
+        line = F.when(occurrences(line, quote) % 2 != 0, open_quote.cast("string")).otherwise(line)
+    lines = read_lines(spark, paths).select("file", line.alias("value"))
+    cut = lines.select("file", "value", fields(F.col("value"), delimiter, quote).alias("_cells"))
+    cells = [F.try_element_at("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns, 1)]
+    out = [F.when(F.size("_cells") != len(cells), F.col("value")).alias(RAGGED)] if ragged else []
+    return cut.select(*cells, *out, F.col("file").alias(SOURCE))
+
+
 def scan_delimited(
     spark: SparkSession,
     paths: str | list[str],
@@ -52,26 +85,35 @@ def scan_delimited(
     keep_raw: bool = False,
     flag_ragged: bool = False,
     with_source: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """All columns as text, null tokens applied unless ``keep_raw``.
 
     Compressed files are read through their extension's codec; a broken
-    archive fails the job.
+    archive fails the job. ``multiline`` lets a quoted cell hold line feeds;
+    a file is then one task. Files with a header line, with records over
+    several lines or in another encoding go through the CSV reader, which
+    skips blank lines.
     """
-    options = scan_options(delimiter, quote, header, encoding, flag_ragged)
-    df = (
-        spark.read.schema(string_schema(columns, flag_ragged))
-        .options(**options)
-        .option("recursiveFileLookup", "true")
-        .csv(paths)
-    )
-    out = [
-        F.col(f"`{c}`") if keep_raw else null_if(F.col(f"`{c}`"), null_tokens).alias(c) for c in columns
-    ]
+    last = columns[-1]
+    if header or encoding or multiline:
+        options = scan_options(delimiter, quote, header, encoding, flag_ragged, multiline)
+        df = (
+            spark.read.schema(string_schema(columns, flag_ragged))
+            .options(**options)
+            .option("recursiveFileLookup", "true")
+            .csv(paths)
+            .withColumn(SOURCE, F.col("_metadata.file_path"))
+        )
+        cell = lambda c: without_cr(F.col(f"`{c}`")) if c == last and not multiline else F.col(f"`{c}`")
+    else:
+        df = _split_scan(spark, paths, columns, delimiter, quote, flag_ragged)
+        cell = lambda c: F.col(f"`{c}`")
+    out = [(cell(c) if keep_raw else null_if(cell(c), null_tokens)).alias(c) for c in columns]
     if flag_ragged:
         out.append(F.col(RAGGED))
     if with_source:
-        out.append(F.col("_metadata.file_path").alias(SOURCE))
+        out.append(F.col(SOURCE))
     return df.select(*out)
 
 
@@ -90,6 +132,8 @@ def typed(value: Column, dtype: str, strict: bool) -> Column:
         made = F.try_to_timestamp(value, F.lit(TIMESTAMP_FORMAT)).cast(kind)
     else:
         made = value.try_cast(dtype)
+        if kind.split("(")[0] in _NUMERIC:
+            made = F.when(is_number(value), made)
     if not strict:
         return made
     message = F.concat(F.lit(f"not a {kind}: "), value)

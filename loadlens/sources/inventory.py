@@ -6,6 +6,8 @@ operators below only read those columns, so any table of file names will do.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +20,13 @@ _MONTH = r"(\d{4})-(\d{2})"
 
 
 def file_inventory(
-    spark: SparkSession, folder: str, glob: str | None = None, with_empty: bool = False
+    spark: SparkSession, folder: str, glob: str | None = None, with_empty: bool = True
 ) -> DataFrame:
     """Every file under a folder, named as the text reader names it; contents are never read.
 
-    A scan skips files of zero bytes. ``with_empty`` adds them from the list
-    of names that Spark's own listing has already put on the driver.
+    A scan skips files of zero bytes. They are added from the list of names
+    that Spark's own listing has already put on the driver, with no time of
+    change; ``with_empty=False`` asks for files with contents only.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -36,7 +39,8 @@ def file_inventory(
     )
     if not with_empty:
         return files
-    names = spark.createDataFrame([(n,) for n in found.inputFiles()], "path string")
+    # Local files are listed with three slashes and read with one.
+    names = spark.createDataFrame([(re.sub("^file:/+", "file:/", n),) for n in found.inputFiles()], "path string")
     empty = names.join(files, "path", "left_anti")
     return files.unionByName(
         empty.select(

@@ -20,8 +20,13 @@ from pyspark.sql import functions as F
 ORDER = ("block", "seq")
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
-    """Lines split on line feeds only, bytes untouched, at any folder depth."""
+def read_lines(
+    spark: SparkSession, paths: str | list[str], glob: str | None = None, replace_invalid: bool = False
+) -> DataFrame:
+    """Lines split on line feeds only, at any folder depth.
+
+    Bytes are untouched, or, with ``replace_invalid``, those that are not UTF-8 are replaced.
+    """
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -32,7 +37,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = N
         F.when(~path.endswith(".gz"), meta["file_size"]).alias("file_size"),
         meta["file_block_start"].alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-        "value",
+        (tolerant(F.col("value")) if replace_invalid else F.col("value")).alias("value"),
     )
 
 
@@ -61,6 +66,11 @@ def tolerant(value: Column) -> Column:
     return F.make_valid_utf8(value)
 
 
+def source_name(file: Column) -> Column:
+    """A file's path as one folder name, so that files of equal names stay apart."""
+    return F.regexp_replace(F.regexp_replace(file, r"^[^/]*:/*", ""), "[/=%]", "_")
+
+
 def head_lines(lines: DataFrame, count: int) -> DataFrame:
     """First lines of each file, numbered from one as ``line_no``.
 
@@ -89,6 +99,7 @@ def _split_offsets(lines: DataFrame) -> DataFrame:
         "file",
         "block",
         "first_seq",
+        "split_lines",
         F.coalesce(F.sum("split_lines").over(before), F.lit(0)).alias("lines_before"),
     )
 
@@ -115,10 +126,10 @@ def number_lines(selected: DataFrame, lines: DataFrame) -> DataFrame:
     if "line_no" in selected.columns:
         return selected
     pin_splits(lines.sparkSession)
-    number = F.col("lines_before") + F.col("seq") - F.col("first_seq") + 1
+    inside = F.col("seq") - F.col("first_seq") + 1
     lost = F.raise_error(F.lit("files were split differently by two scans")).cast("bigint")
     return (
         selected.join(_split_offsets(lines), ["file", "block"], "left")
-        .withColumn("line_no", F.when(number > 0, number).otherwise(lost))
-        .drop("first_seq", "lines_before")
+        .withColumn("line_no", F.when(inside.between(1, F.col("split_lines")), F.col("lines_before") + inside).otherwise(lost))
+        .drop("first_seq", "lines_before", "split_lines")
     )

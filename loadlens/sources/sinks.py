@@ -44,11 +44,20 @@ def write_delimited(
     writer.text(path)
 
 
+def _by_file(lines: DataFrame) -> DataFrame:
+    """``source``, ``value`` of lines, each task's in file order, to be written with a folder per source file."""
+    ordered = lines.withColumn("source", raw.source_name(F.col("file"))).sortWithinPartitions("source", *raw.ORDER)
+    return ordered.select("source", "value")
+
+
 def compressed_copy(spark: SparkSession, source: str, target: str, codec: str = "gzip") -> None:
-    """Lines unchanged, compressed; one output file per split of the input."""
-    spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(source).write.option(
-        "lineSep", "\n"
-    ).option("compression", codec).text(target)
+    """Lines unchanged, compressed, one folder per source file; in it one file per split, in the file's order.
+
+    Lines stay in the task that read them.
+    """
+    _by_file(raw.read_lines(spark, source)).write.option("lineSep", "\n").option("compression", codec).partitionBy(
+        "source"
+    ).text(target)
 
 
 def compression_ratio(spark: SparkSession, source: str, target: str) -> DataFrame:
@@ -73,18 +82,17 @@ def compression_ratio(spark: SparkSession, source: str, target: str) -> DataFram
 
 
 def write_sample(lines: DataFrame, path: str, count: int = 1000) -> None:
-    """First lines of each file as a small test file."""
+    """First lines of each file as a small test file, one folder per source file."""
     head = raw.head_lines(lines, count)
-    head.repartitionByRange(F.col("file"), F.col("line_no")).sortWithinPartitions("file", "line_no").select(
-        "value"
-    ).write.option("lineSep", "\n").text(path)
+    spread = head.repartitionByRange(F.col("file"), F.col("line_no"))
+    _by_file(spread).write.option("lineSep", "\n").partitionBy("source").text(path)
 
 
 def split_files(spark: SparkSession, source: str, target: str, lines_per_file: int) -> None:
-    """Copy into chunks of at most so many lines; a line is never cut."""
-    spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(source).write.option(
-        "lineSep", "\n"
-    ).option("maxRecordsPerFile", lines_per_file).text(target)
+    """Copy into chunks of at most so many lines, one folder per source file; a line is never cut."""
+    _by_file(raw.read_lines(spark, source)).write.option("lineSep", "\n").option(
+        "maxRecordsPerFile", lines_per_file
+    ).partitionBy("source").text(target)
 
 
 def write_json_report(df: DataFrame, path: str) -> None:

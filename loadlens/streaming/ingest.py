@@ -22,13 +22,15 @@ def file_stream(
     """
     reader = (
         spark.readStream.schema(delimited.string_schema(contract.expected_columns))
-        .options(**delimited.scan_options(contract.separator, contract.quote_char, contract.header, None, False))
+        .options(**delimited.scan_options(contract.separator, contract.quote_char, contract.header, None, False, contract.multiline))
         .option("recursiveFileLookup", "true")
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    last = contract.expected_columns[-1]
+    cell = lambda c: delimited.without_cr(F.col(c)) if c == last and not contract.multiline else F.col(c)
     rows = reader.csv(folder).select(
-        *[null_if(F.col(c)).alias(c) for c in contract.expected_columns],
+        *[null_if(cell(c)).alias(c) for c in contract.expected_columns],
         inventory.period_of_path(F.col("_metadata.file_path")).alias("period"),
     )
     return delimited.apply_types(rows, contract.types, strict)

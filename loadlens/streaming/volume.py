@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _utc_day(time: str) -> Column:
+    """The day of an instant in UTC, whatever the session's zone."""
+    return F.expr(f"date_from_unix_date(CAST(unix_seconds({time}) DIV 86400 AS INT))")
+
+
 def daily_volume(events: DataFrame, time_column: str, delay: str = "1 hour") -> DataFrame:
     """Rows per day, each day final once the watermark has passed it.
 
@@ -17,7 +22,7 @@ def daily_volume(events: DataFrame, time_column: str, delay: str = "1 hour") ->
         .withWatermark("at", delay)
         .groupBy(F.window("at", "1 day"))
         .agg(F.count("*").alias("row_count"))
-        .select(F.to_date("window.start").alias("d"), "row_count")
+        .select(_utc_day("window.start").alias("d"), "row_count")
     )
 
 

@@ -142,7 +142,7 @@ def test_gzip_copy_and_ratio(spark, write_file, tmp_path):
     source = write_file("z/in.tsv", body)
     target = str(tmp_path / "out")
     sinks.compressed_copy(spark, source, target)
-    text = b"".join(gzip.open(p).read() for p in sorted((tmp_path / "out").glob("part-*.gz")))
+    text = b"".join(gzip.open(p).read() for p in sorted((tmp_path / "out").glob("source=*/part-*.gz")))
     assert text.decode() == body
     ratio = sinks.compression_ratio(spark, source, target).collect()[0]
     assert ratio["source_bytes"] == len(body) and 50 < ratio["saved_pct"] < 100
