@@ -40,6 +40,7 @@ MIN_COVER = 0.8
 # Gap costs: for each word skipped in either text.
 SKIP = 0.25
 SEEDS_AT_ONCE = 300_000
+PAIRS_AT_ONCE = 50_000
 
 
 def kmers(words: np.ndarray, k: int) -> np.ndarray:
@@ -74,9 +75,20 @@ def contexts(words: np.ndarray, places: np.ndarray, k: int, span: int) -> np.nda
 def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """How far two aligned stretches go on alike: to the last equal word up to which four of five are equal."""
     same = (a == b) & (a != 0)
-    steps = np.arange(1, a.shape[1] + 1)
-    good = same & (np.cumsum(same, axis=1) * 5 >= 4 * steps)
-    return np.where(good, steps, 0).max(axis=1)
+    steps = np.arange(1, a.shape[1] + 1, dtype=np.int16)
+    good = same & (np.cumsum(same, axis=1, dtype=np.int16) * np.int16(5) >= 4 * steps)
+    return np.where(good, steps, np.int16(0)).max(axis=1).astype(np.int64)
+
+
+def _reaches(marks: np.ndarray, mine: np.ndarray, theirs: np.ndarray, k: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far each pair of occurrences goes on to the left and to the right, some pairs at a time."""
+    left, right = np.empty(len(mine), np.int64), np.empty(len(mine), np.int64)
+    for lo in range(0, len(mine), PAIRS_AT_ONCE):
+        part = slice(lo, lo + PAIRS_AT_ONCE)
+        a, b = marks[mine[part]], marks[theirs[part]]
+        left[part] = reach(a[:, :span][:, ::-1], b[:, :span][:, ::-1])
+        right[part] = reach(a[:, span + k :], b[:, span + k :])
+    return left, right
 
 
 def pair_up(h, ids, places, marks, k: int, span: int) -> tuple[pd.DataFrame, np.ndarray]:
@@ -88,8 +100,7 @@ def pair_up(h, ids, places, marks, k: int, span: int) -> tuple[pd.DataFrame, np.
     theirs = np.concatenate((heads[rest], rest[heads[rest] != rest - 1] - 1))
     differ = ids[mine] != ids[theirs]
     mine, theirs = mine[differ], theirs[differ]
-    left = reach(marks[mine, :span][:, ::-1], marks[theirs, :span][:, ::-1])
-    right = reach(marks[mine, span + k :], marks[theirs, span + k :])
+    left, right = _reaches(marks, mine, theirs, k, span)
     swap = ids[mine] < ids[theirs]
     a, b = np.where(swap, theirs, mine), np.where(swap, mine, theirs)
     out = pd.DataFrame(
@@ -295,9 +306,12 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in batch["text"]]
-            digests = [xxhash.xxh3_128_hexdigest(b" ".join(w)) if w else None for w in words]
-            yield pd.DataFrame({"id": batch["id"], "n": [len(w) for w in words], "digest": digests})
+            out = []
+            for text in batch["text"]:  # one text's words at a time: those of a batch take many times its bytes
+                words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+                out.append((len(words), xxhash.xxh3_128_hexdigest(b" ".join(words)) if words else None))
+            made = pd.DataFrame(out, columns=["n", "digest"])
+            yield made.assign(id=batch["id"].values)[["id", "n", "digest"]]
 
     return unkeyed(keyed(docs, id_col, text=text_col).mapInPandas(run, "id string, n long, digest string"), docs, id_col)
 
