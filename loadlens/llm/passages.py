@@ -39,7 +39,7 @@ MIN_WORDS = 50
 MIN_COVER = 0.8
 # Gap costs: for each word skipped in either text.
 SKIP = 0.25
-SEEDS_AT_ONCE = 300_000
+SEEDS_AT_ONCE = 150_000
 PAIRS_AT_ONCE = 50_000
 
 
