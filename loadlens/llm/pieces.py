@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from loadlens.llm.common import keyed, shared_model, unkeyed
 
 MARK = "▁"
-TABLE_CHARS = 8_000_000
+TABLE_CHARS = 4_000_000
+PART_CHARS = 1_000_000
 RUN_CHUNKS = 64
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -101,6 +102,18 @@ class ChunkTable:
         return "".join(chunks).replace(MARK, " ")[1:]
 
 
+def parts(texts: list[str], limit: int = PART_CHARS) -> Iterator[slice]:
+    """Stretches of texts of at most so many characters, or of one text: chunks take many times a text's bytes."""
+    lo, held = 0, 0
+    for k, text in enumerate(texts):
+        if k > lo and held + len(text) > limit:
+            yield slice(lo, k)
+            lo, held = k, 0
+        held += len(text)
+    if lo < len(texts):
+        yield slice(lo, len(texts))
+
+
 _TABLES: dict[tuple[int, int], ChunkTable] = {}
 
 
@@ -119,10 +132,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = _table(model.value, limit)
         for batch in batches:
-            cut = [table.chunks(t) if t else [] for t in batch["text"]]
-            table.learn(set().union(*cut))
-            get = table.ids.__getitem__
-            yield pd.DataFrame({"id": batch["id"], "chunk_ids": [list(map(get, c)) for c in cut]})
+            texts = [t or "" for t in batch["text"]]
+            for part in parts(texts):
+                cut = [table.chunks(t) if t else [] for t in texts[part]]
+                table.learn(set().union(*cut))
+                get = table.ids.__getitem__
+                yield pd.DataFrame({"id": batch["id"].iloc[part], "chunk_ids": [list(map(get, c)) for c in cut]})
 
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("chunk_ids", T.ArrayType(T.StringType()))])
     return unkeyed(keyed(docs, id_col, text=text_col).mapInPandas(run, schema), docs, id_col)
@@ -163,12 +178,13 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         for batch in batches:
             out = []
             texts = [t or "" for t in batch["text"]]
-            cut = [table.chunks(t) for t in texts]
-            table.learn(set().union(*cut))
-            get = table.ids.__getitem__
-            for text, chunks in zip(texts, cut, strict=True):
-                joined, back = ",".join(map(get, chunks)), table.text_of(chunks)
-                out.append((joined.count(",") + 1 if joined else 0, sha(joined), sha(back), back == text))
+            for part in parts(texts):
+                cut = [table.chunks(t) for t in texts[part]]
+                table.learn(set().union(*cut))
+                get = table.ids.__getitem__
+                for text, chunks in zip(texts[part], cut, strict=True):
+                    joined, back = ",".join(map(get, chunks)), table.text_of(chunks)
+                    out.append((joined.count(",") + 1 if joined else 0, sha(joined), sha(back), back == text))
             yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256", "same_text"]).assign(id=batch["id"].values)
 
     schema = T.StructType(
