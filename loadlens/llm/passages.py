@@ -4,11 +4,12 @@
 2. Each text gives its minimizers: of every ``SPAN`` consecutive k-mers of
    words the one with the least hash. Two texts that agree in ``SPAN + K - 1``
    words in a row share a seed. A seed carries a byte for each word around it.
-3. Texts are joined on shared seeds. An occurrence is paired with the first
-   occurrence of its seed and with the one before it, so a passage that n
-   texts hold gives at most 2n pairs and its holders stay connected. Tasks pair
-   what they have themselves first and pass on one row for each seed, so a
-   seed that a third of all rows hold is no group in one task.
+3. Every occurrence of a shared seed is paired with the seed's first one in the
+   text of smallest id. What passages these pairs make is found. Seeds that
+   are left, and close enough to others to be part of one more passage, name
+   the texts of smaller id that hold them, and those pairs are aligned by all
+   their seeds. Of the left seeds the most frequent are not needed as long as no
+   passage can be made of them. So results do not depend on tasks.
 4. Each shared seed is aligned outwards in both texts over the words it carries.
 5. The matches of a pair of texts are chained in the order of both, with a cost
    for the words skipped; the best chain before each match comes from a Fenwick
@@ -39,6 +40,8 @@ MIN_WORDS = 50
 MIN_COVER = 0.8
 # Gap costs: for each word skipped in either text.
 SKIP = 0.25
+# Places in the map of shared seeds. A fuller one lets more seeds through that only one text has; none is lost.
+SEED_MAP_BYTES = 1 << 25
 SEEDS_AT_ONCE = 150_000
 PAIRS_AT_ONCE = 50_000
 
@@ -80,118 +83,138 @@ def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(good, steps, np.int16(0)).max(axis=1).astype(np.int64)
 
 
-def _reaches(marks: np.ndarray, mine: np.ndarray, theirs: np.ndarray, k: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+def _reaches(mine: np.ndarray, theirs: np.ndarray, k: int, span: int) -> tuple[np.ndarray, np.ndarray]:
     """How far each pair of occurrences goes on to the left and to the right, some pairs at a time."""
     left, right = np.empty(len(mine), np.int64), np.empty(len(mine), np.int64)
     for lo in range(0, len(mine), PAIRS_AT_ONCE):
         part = slice(lo, lo + PAIRS_AT_ONCE)
-        a, b = marks[mine[part]], marks[theirs[part]]
+        a, b = mine[part], theirs[part]
         left[part] = reach(a[:, :span][:, ::-1], b[:, :span][:, ::-1])
         right[part] = reach(a[:, span + k :], b[:, span + k :])
     return left, right
 
 
-def pair_up(h, ids, places, marks, k: int, span: int) -> tuple[pd.DataFrame, np.ndarray]:
-    """Pairs of occurrences of each seed, aligned; and the first occurrence of each. Rows are sorted by seed and id."""
-    first = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.empty(0, bool)
-    heads = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0)) if len(h) else np.empty(0, np.int64)
-    rest = np.flatnonzero(~first)
-    mine = np.concatenate((rest, rest[heads[rest] != rest - 1]))
-    theirs = np.concatenate((heads[rest], rest[heads[rest] != rest - 1] - 1))
-    differ = ids[mine] != ids[theirs]
-    mine, theirs = mine[differ], theirs[differ]
-    left, right = _reaches(marks, mine, theirs, k, span)
-    swap = ids[mine] < ids[theirs]
-    a, b = np.where(swap, theirs, mine), np.where(swap, mine, theirs)
-    out = pd.DataFrame(
+def _aligned(h, a, b, at, bt, mine, theirs, k: int, span: int) -> pd.DataFrame:
+    """Matches of pairs of occurrences, aligned outwards over the words that both carry."""
+    rows = lambda marks: np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), 2 * span + k)
+    left, right = _reaches(rows(mine), rows(theirs), k, span)
+    return pd.DataFrame(
         {
-            "a": ids[a], "b": ids[b], "at": (places[a] - left).astype(np.int32), "bt": (places[b] - left).astype(np.int32),
-            "n": (left + k + right).astype(np.int32),
+            "a": a, "b": b, "at": (at - left).astype(np.int32), "bt": (bt - left).astype(np.int32),
+            "n": (left + k + right).astype(np.int32), "h": h, "place": at.astype(np.int32),
         }
     )
-    return out, np.flatnonzero(first)
-
-
-# A row of the shuffle by seed is a seed's occurrence, or a finished pair that only passes through (other is set).
-_ROW = "h long, id long, place int, marks binary, other long, bt int, n int"
-
-
-def _rows_of(pairs: pd.DataFrame) -> pd.DataFrame:
-    """Finished pairs in the form of the shuffle's rows, spread by a hash of their own."""
-    key = (pairs["a"] * 31 + pairs["b"]) ^ pairs["at"]
-    return pd.DataFrame(
-        {"h": key, "id": pairs["a"], "place": pairs["at"], "marks": None, "other": pairs["b"], "bt": pairs["bt"], "n": pairs["n"]}
-    )
 
 
-def _seeds(docs: DataFrame, id_col: str, text_col: str, k: int, span: int) -> DataFrame:
-    """Occurrences of seeds, one for each seed and task, and the pairs within each task. Ids must be whole numbers."""
-    ship(docs.sparkSession)
+def _seeds_of(docs: DataFrame, id_col: str, text_col: str, k: int, span: int, flags: np.ndarray | None) -> DataFrame:
+    """Seeds with their ids; with a map of seeds, the occurrences that it lets through. Ids must be whole numbers."""
+    spark = ship(docs.sparkSession)
+    shared = None if flags is None else spark.sparkContext.broadcast(flags)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make, held, n = Shingler(1), [], 0
-
-        def flush() -> Iterator[pd.DataFrame]:
-            h, ids, places, marks = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((places, ids, h))
-            h, ids, places, marks = h[order], ids[order], places[order], marks[order]
-            pairs, first = pair_up(h, ids, places, marks, k, span)
-            if len(pairs):
-                yield _rows_of(pairs.drop_duplicates())
-            packed = [m.tobytes() for m in marks[first]]
-            yield pd.DataFrame(
-                {
-                    "h": h[first].view(np.int64), "id": ids[first], "place": places[first], "marks": packed,
-                    "other": pd.array([None] * len(first), "Int64"), "bt": pd.array([None] * len(first), "Int32"),
-                    "n": pd.array([None] * len(first), "Int32"),
-                }
-            )
-
+        make = Shingler(1)
         for batch in batches:
+            held, n = [], 0
             for number, text in zip(batch["id"], batch["text"], strict=True):
                 words = make.words(text or "")
                 h = kmers(words, k)
                 at = minimizers(h, span)
-                if len(at):
-                    held.append((h[at], np.full(len(at), int(number), np.int64), at.astype(np.int32), contexts(words, at, k, span)))
-                    n += len(at)
+                own = h[at].view(np.int64)
+                if shared is not None:
+                    known = shared.value[np.mod(own, len(shared.value))] > 0
+                    own, at = own[known], at[known]
+                if not len(own):
+                    continue
+                made = pd.DataFrame({"h": own, "id": np.int64(int(number))})
+                if shared is not None:
+                    made["place"] = at.astype(np.int32)
+                    made["marks"] = [m.tobytes() for m in contexts(words, at, k, span)]
+                held.append(made)
+                n += len(own)
                 if n >= SEEDS_AT_ONCE:
-                    yield from flush()
+                    yield pd.concat(held, ignore_index=True)
                     held, n = [], 0
-        if held:
-            yield from flush()
+            if held:
+                yield pd.concat(held, ignore_index=True)
 
-    return keyed(docs, id_col, text=text_col).mapInPandas(run, _ROW)
+    kind = "h long, id long" if flags is None else "h long, id long, place int, marks binary"
+    return keyed(docs, id_col, text=text_col).mapInPandas(run, kind)
 
 
-def _matches(seeds: DataFrame, k: int, span: int) -> DataFrame:
-    """a, b, at, bt, n: aligned matches of n words at place ``at`` of text a and ``bt`` of b, a's id the larger."""
+def _first_matches(seeds: DataFrame, k: int, span: int) -> DataFrame:
+    """Every shared occurrence aligned with the first one of its seed in the text of smallest id; and how often the seed stands."""
+    firsts = (
+        seeds.groupBy("h")
+        .agg(F.min(F.struct("id", "place", "marks")).alias("f"), F.max("id").alias("last"), F.count("*").alias("holders"))
+        .filter("f.id < last")
+        .select("h", "holders", F.col("f.id").alias("other"), F.col("f.place").alias("bt"), F.col("f.marks").alias("theirs"))
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            done = batch["other"].notna().to_numpy()
-            if done.any():
-                ready = batch[done]
-                yield pd.DataFrame(
-                    {"a": ready["id"], "b": ready["other"].astype("int64"), "at": ready["place"], "bt": ready["bt"].astype("int32"), "n": ready["n"].astype("int32")}
-                )
-            own = batch.loc[~done, ["h", "id", "place", "marks"]]
-            if held is not None:
-                own = pd.concat([held, own], ignore_index=True)
-            if not len(own):
-                continue
-            h, ids, places = own["h"].to_numpy(), own["id"].to_numpy(), own["place"].to_numpy()
-            marks = np.frombuffer(b"".join(own["marks"]), np.uint8).reshape(len(own), 2 * span + k)
-            # The last list may go on: its first and last rows are what later rows are paired with.
-            tail = np.flatnonzero(h == h[-1])
-            pairs, _ = pair_up(h, ids, places, marks, k, span)
-            if len(pairs):
-                yield pairs  # the two rows that were held make their pair once more; matches on one diagonal merge
-            held = own.iloc[sorted({tail[0], tail[-1]})]
+        for x in batches:
+            if len(x):
+                made = _aligned(*(x[c].to_numpy() for c in ("h", "id", "other", "place", "bt", "marks", "theirs")), k, span)
+                yield made.assign(holders=x["holders"].to_numpy())
+
+    met = seeds.join(firsts, "h").filter("id > other")
+    return met.mapInPandas(run, "a long, b long, at int, bt int, n int, h long, place int, holders long")
+
+
+def _all_matches(seeds: DataFrame, wanted: DataFrame, k: int, span: int) -> DataFrame:
+    """Aligned matches of all seeds that the wanted pairs (a, b) share."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            if len(x):
+                made = _aligned(*(x[c].to_numpy() for c in ("h", "a", "b", "place", "bt", "marks", "theirs")), k, span)
+                yield made[["a", "b", "at", "bt", "n"]]
+
+    mine = seeds.join(wanted, seeds["id"] == wanted["a"]).select("h", "a", "b", "place", "marks")
+    theirs = seeds.select("h", F.col("id").alias("b"), F.col("place").alias("bt"), F.col("marks").alias("theirs"))
+    return mine.join(theirs, ["h", "b"]).mapInPandas(run, "a long, b long, at int, bt int, n int")
+
+
+def _wide(places: np.ndarray, reaches: int, k: int, min_words: int, min_cover: float) -> np.ndarray:
+    """Whether each of these seeds, in rising places, is in a cluster that could hold a passage.
+
+    Clusters are parted by gaps so wide that clusters of under ``min_words``
+    cannot make up a passage together.
+    """
+    gap = int(2 * (1 - min_cover) / min_cover * (min_words - 1)) if min_cover > 0 else len(places) and int(places[-1]) + 1
+    new = np.concatenate(([True], places[1:] - places[:-1] > gap + k + 2 * reaches))
+    number = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    ends = np.concatenate((starts[1:], [len(places)])) - 1
+    return (places[ends] - places[starts] + k + 2 * reaches >= min_words)[number]
+
 
-    spread = seeds.repartition("h").sortWithinPartitions("h", "id", "place")
-    return spread.mapInPandas(run, "a long, b long, at int, bt int, n int")
+def open_seeds(
+    places: np.ndarray, holders: np.ndarray, done: np.ndarray, reaches: int, k: int, min_words: int, min_cover: float
+) -> np.ndarray:
+    """Which of a text's shared seeds, in rising places, any passage not yet found must have one of.
+
+    A new passage has a seed outside of what was found (``done``). Of those the
+    most frequent are left out as long as they and the found ones, without the
+    others, could not make up a passage.
+    """
+    out = np.zeros(len(places), bool)
+    wide = np.flatnonzero(_wide(places, reaches, k, min_words, min_cover))
+    left = wide[~done[wide]]
+    if not len(left):
+        return out
+    left = left[np.argsort(-holders[left], kind="stable")]
+    lo, hi = 0, len(left)  # so many of the most frequent can, or cannot, be left out
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        tried = done.copy()
+        tried[left[:mid]] = True
+        kept = np.flatnonzero(tried)
+        if (_wide(places[kept], reaches, k, min_words, min_cover) & ~done[kept]).any():
+            hi = mid - 1
+        else:
+            lo = mid
+    out[left[lo:]] = True
+    return out
 
 
 def chain(at: np.ndarray, bt: np.ndarray, n: np.ndarray, skip: float = SKIP) -> list[list[int]]:
@@ -255,47 +278,112 @@ def _merged(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a[starts], "b": b[starts], "at": at[starts], "bt": at[starts] - d[starts], "n": top[last] - at[starts]})
 
 
-def _chains(matches: DataFrame, min_words: int, min_cover: float) -> DataFrame:
+_SPANS = ["doc_id", "other_id", "start", "end", "other_start", "other_end", "matched"]
+_FOUND = "doc_id long, other_id long, start int, end int, other_start int, other_end int, matched int"
+
+
+def judged(rows: pd.DataFrame, min_words: int, min_cover: float) -> pd.DataFrame:
     """The chains long and dense enough: a, b, their word spans and the words in matches."""
+    rows = _merged(rows).sort_values(["a", "b"], kind="stable").reset_index(drop=True)
+    out = []
+    key = rows[["a", "b"]].to_numpy()
+    cuts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
+    at, bt, n = (rows[c].to_numpy() for c in ("at", "bt", "n"))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        if hi - lo == 1:
+            if n[lo] >= min_words:
+                out.append((key[lo, 0], key[lo, 1], at[lo], at[lo] + n[lo], bt[lo], bt[lo] + n[lo], n[lo]))
+            continue
+        if n[lo:hi].sum() < min_cover * min_words:
+            continue
+        for links in chain(at[lo:hi], bt[lo:hi], n[lo:hi]):
+            i, j = lo + links[0], lo + links[-1]
+            spans = at[i], at[j] + n[j], bt[i], bt[j] + n[j]
+            covered = sum(int(n[lo + x]) for x in links)
+            size = min(spans[1] - spans[0], spans[3] - spans[2]), max(spans[1] - spans[0], spans[3] - spans[2])
+            if size[0] >= min_words and covered >= min_cover * size[1]:
+                out.append((key[lo, 0], key[lo, 1], *spans, covered))
+    return pd.DataFrame(out, columns=_SPANS)
 
-    def judged(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = _merged(rows).sort_values(["a", "b"], kind="stable").reset_index(drop=True)
-        out = []
-        key = rows[["a", "b"]].to_numpy()
-        cuts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
-        at, bt, n = (rows[c].to_numpy() for c in ("at", "bt", "n"))
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            if hi - lo == 1:
-                if n[lo] >= min_words:
-                    out.append((key[lo, 0], key[lo, 1], at[lo], at[lo] + n[lo], bt[lo], bt[lo] + n[lo], n[lo]))
-                continue
-            if n[lo:hi].sum() < min_cover * min_words:
-                continue
-            for links in chain(at[lo:hi], bt[lo:hi], n[lo:hi]):
-                i, j = lo + links[0], lo + links[-1]
-                spans = at[i], at[j] + n[j], bt[i], bt[j] + n[j]
-                covered = sum(int(n[lo + x]) for x in links)
-                size = min(spans[1] - spans[0], spans[3] - spans[2]), max(spans[1] - spans[0], spans[3] - spans[2])
-                if size[0] >= min_words and covered >= min_cover * size[1]:
-                    out.append((key[lo, 0], key[lo, 1], *spans, covered))
-        return pd.DataFrame(out, columns=["doc_id", "other_id", "start", "end", "other_start", "other_end", "matched"])
+
+def _chains(matches: DataFrame, min_words: int, min_cover: float) -> DataFrame:
+    """The passages that chains of the matches make."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
+            if not len(batch):
+                continue
             if held is not None:
                 batch = pd.concat([held, batch], ignore_index=True)
             last = (batch["a"] == batch["a"].iloc[-1]) & (batch["b"] == batch["b"].iloc[-1])
             held = batch[last]
             if not last.all():
-                yield judged(batch[~last])
+                yield judged(batch[~last], min_words, min_cover)
             elif len(held) > 100_000:  # two very long texts: merging now keeps what is held small
                 held = _merged(held)
         if held is not None:
-            yield judged(held)
+            yield judged(held, min_words, min_cover)
 
     spread = matches.repartition("a", "b").sortWithinPartitions("a", "b", "at")
-    return spread.mapInPandas(run, "doc_id long, other_id long, start int, end int, other_start int, other_end int, matched int")
+    return spread.mapInPandas(run, _FOUND)
+
+
+def _first_chains(matches: DataFrame, min_words: int, min_cover: float, k: int, span: int) -> DataFrame:
+    """The passages with first holders, and rows with ``h`` for the seeds of each text that more may hang on."""
+
+    def settled(rows: pd.DataFrame) -> pd.DataFrame:
+        found = judged(rows, min_words, min_cover)
+        rows = rows.sort_values(["a", "place"], kind="stable")
+        a, places, holders, h = (rows[c].to_numpy() for c in ("a", "place", "holders", "h"))
+        spans = {d: x[["start", "end"]].to_numpy() for d, x in found.groupby("doc_id")} if len(found) else {}
+        cuts = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1], [True])))
+        left = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            own, done = places[lo:hi], np.zeros(hi - lo, bool)
+            if int(own[-1] - own[0]) + k + 2 * span < min_words:
+                continue
+            for start, end in spans.get(a[lo], ()):
+                done |= (start <= own) & (own + k <= end)
+            if not done.all():
+                left.append(lo + np.flatnonzero(open_seeds(own, holders[lo:hi], done, span, k, min_words, min_cover)))
+        left = np.concatenate(left) if left else np.empty(0, np.int64)
+        more = pd.DataFrame({"doc_id": a[left], "h": h[left]}).drop_duplicates()
+        both = pd.concat([found.astype(object), more.astype(object)], ignore_index=True).reindex(columns=[*_SPANS, "h"])
+        return both.astype({c: "Int64" for c in both.columns})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            last = (batch["a"] == batch["a"].iloc[-1]).to_numpy()
+            if not last.all():
+                yield settled(pd.concat([*held, batch[~last]], ignore_index=True))
+                held = []
+            elif held and held[-1]["a"].iloc[0] != batch["a"].iloc[0]:
+                yield settled(pd.concat(held, ignore_index=True))
+                held = []
+            held.append(batch[last])
+        if held:
+            yield settled(pd.concat(held, ignore_index=True))
+
+    spread = matches.repartition("a").sortWithinPartitions("a", "b", "at")
+    return spread.mapInPandas(run, f"{_FOUND}, h long")
+
+
+def _passages(docs: DataFrame, id_col: str, text_col: str, k: int, span: int, min_words: int, min_cover: float) -> DataFrame:
+    """First holders, then all holders for what they leave open."""
+    held = _seeds_of(docs, id_col, text_col, k, span, None).groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    flags = place_map(held.filter("lo < hi").select("h"), SEED_MAP_BYTES)
+    seeds = written(_seeds_of(docs, id_col, text_col, k, span, flags), "seeds")
+    first = written(_first_chains(_first_matches(seeds, k, span), min_words, min_cover, k, span), "first")
+    found, more = first.filter("h IS NULL").drop("h"), first.filter("h IS NOT NULL").select("h", F.col("doc_id").alias("a"))
+    wanted = more.join(seeds.select("h", F.col("id").alias("b")), "h").filter("b < a").select("a", "b").distinct()
+    wanted = written(wanted, "wanted")
+    again = _chains(_all_matches(seeds, wanted, k, span), min_words, min_cover)
+    kept = found.join(wanted, (found["doc_id"] == wanted["a"]) & (found["other_id"] == wanted["b"]), "left_anti")
+    return kept.unionByName(again)
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -333,7 +421,7 @@ def shared_passages(
     # A map of the ids that stand for a class keeps most copies from being seeded; the few it lets through do no harm.
     flags = place_map(classes.select(F.xxhash64("rep").alias("h")), ID_MAP_BYTES)
     kept = let_through(docs, id_col, text_col, flags)
-    found = _chains(_matches(_seeds(kept, "id", "text", k, span), k, span), min_words, min_cover)
+    found = _passages(kept, "id", "text", k, span, min_words, min_cover)
     copies = (
         signed.join(classes.filter(f"copies > 1 AND size >= {min_words}"), "digest")
         .filter("doc <> rep")

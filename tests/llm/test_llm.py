@@ -291,6 +291,18 @@ def test_a_passage_in_many_documents(spark):
     assert {x["doc_id"] for x in rows} == set(range(1, 400)) and len(rows) <= 3 * 400
 
 
+def test_a_passage_whose_seeds_have_different_first_holders(spark, monkeypatch):
+    shared = words(60, 30)
+    texts = [shared[:30], shared, shared[:30], shared[30:], shared]
+    docs = docs_of(spark, [" ".join(words(60, 310 + k) + t + words(60, 330 + k)) for k, t in enumerate(texts)])
+    rows = []
+    for parts, at_once in ((1, 150_000), (3, 150_000), (5, 1)):
+        monkeypatch.setattr(passages, "SEEDS_AT_ONCE", at_once)
+        rows.append(sorted(map(tuple, passages.shared_passages(docs.repartition(parts)).collect())))
+    assert [x[:2] for x in rows[0]] == [(4, 1)] and rows[0][0][2] <= 60 and rows[0][0][3] >= 120
+    assert rows[1] == rows[0] and rows[2] == rows[0]
+
+
 def test_chains_are_the_best_by_brute_force():
     import numpy as np
 
