@@ -303,6 +303,16 @@ def test_a_passage_whose_seeds_have_different_first_holders(spark, monkeypatch):
     assert rows[1] == rows[0] and rows[2] == rows[0]
 
 
+def test_a_passage_that_stands_twice_in_a_document(spark, monkeypatch):
+    shared, own = words(60, 40), words(60, 41)
+    docs = docs_of(spark, [" ".join(shared + words(60, 42)), " ".join(shared + own + shared), " ".join(words(60, 43) + shared)])
+    rows = []
+    for parts, at_once in ((1, 150_000), (3, 1)):
+        monkeypatch.setattr(passages, "SEEDS_AT_ONCE", at_once)
+        rows.append({x["doc_id"]: x["text"].split() for x in passages.without_repeats(docs.repartition(parts)).collect()})
+    assert rows[0][1] == own and rows[0] == rows[1]
+
+
 def test_chains_are_the_best_by_brute_force():
     import numpy as np
 
