@@ -12,7 +12,7 @@
    passage can be made of them. So results do not depend on tasks.
 4. Each shared seed is aligned outwards in both texts over the words it carries.
 5. The matches of a pair of texts are chained in the order of both, with a cost
-   for the words skipped; the best chain before each match comes from a Fenwick
+   for the words skipped and overlapping ones trimmed; the best chain before each match comes from a Fenwick
    tree over the second text's places.
 
 A passage has ``MIN_WORDS`` words or more in both texts, at least
@@ -263,6 +263,27 @@ def chain(at: np.ndarray, bt: np.ndarray, n: np.ndarray, skip: float = SKIP) ->
     return out
 
 
+def cut_where_others_end(at: np.ndarray, bt: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The matches, cut at the places of either text where another one ends inside them.
+
+    A chain can then follow an overlapping match with the rest of the next one, and no word counts twice.
+    There are never more pieces than words in matches.
+    """
+    inside = []
+    for begin in (at, bt):
+        ends = np.unique(begin + n)
+        lo, hi = np.searchsorted(ends, begin, side="right"), np.searchsorted(ends, begin + n, side="left")
+        which = np.repeat(np.arange(len(n)), hi - lo)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
+        inside.append((which, ends[lo[which] + nth] - begin[which]))
+    which = np.concatenate([np.arange(len(n)), *(w for w, _ in inside)])
+    off = np.concatenate([np.zeros(len(n), np.int64), *(o for _, o in inside)]).astype(np.int64)
+    which, off = np.unique(np.stack((which, off)), axis=1)
+    last = np.concatenate((which[1:] != which[:-1], [True]))
+    until = np.where(last, n[which], np.concatenate((off[1:], [0])))
+    return at[which] + off, bt[which] + off, until - off
+
+
 def _merged(rows: pd.DataFrame) -> pd.DataFrame:
     """Matches of a pair of texts on one diagonal that touch or overlap become one."""
     rows = rows.assign(d=rows["at"] - rows["bt"]).sort_values(["a", "b", "d", "at"], kind="stable")
@@ -296,10 +317,11 @@ def judged(rows: pd.DataFrame, min_words: int, min_cover: float) -> pd.DataFrame
             continue
         if n[lo:hi].sum() < min_cover * min_words:
             continue
-        for links in chain(at[lo:hi], bt[lo:hi], n[lo:hi]):
-            i, j = lo + links[0], lo + links[-1]
-            spans = at[i], at[j] + n[j], bt[i], bt[j] + n[j]
-            covered = sum(int(n[lo + x]) for x in links)
+        p, q, w = cut_where_others_end(at[lo:hi], bt[lo:hi], n[lo:hi])
+        for links in chain(p, q, w):
+            i, j = links[0], links[-1]
+            spans = p[i], p[j] + w[j], q[i], q[j] + w[j]
+            covered = sum(int(w[x]) for x in links)
             size = min(spans[1] - spans[0], spans[3] - spans[2]), max(spans[1] - spans[0], spans[3] - spans[2])
             if size[0] >= min_words and covered >= min_cover * size[1]:
                 out.append((key[lo, 0], key[lo, 1], *spans, covered))

@@ -313,6 +313,18 @@ def test_a_passage_that_stands_twice_in_a_document(spark, monkeypatch):
     assert rows[0][1] == own and rows[0] == rows[1]
 
 
+def test_a_passage_with_a_doubled_word(spark):
+    import numpy as np
+
+    shared = words(60, 50)
+    texts = [shared, shared[:30] + shared[29:], shared[:40] + shared[41:]]
+    docs = docs_of(spark, [" ".join(words(60, 51 + k) + t + words(60, 61 + k)) for k, t in enumerate(texts)])
+    found = {(x["doc_id"], x["other_id"]): (x["start"], x["end"]) for x in passages.shared_passages(docs).collect()}
+    assert found[1, 0][0] <= 60 and found[1, 0][1] >= 121 and found[2, 0][0] <= 60 and found[2, 0][1] >= 119
+    at, bt, n = passages.cut_where_others_end(np.array([0, 9, 30]), np.array([0, 10, 31]), np.array([10, 20, 5]))
+    assert list(zip(at, bt, n, strict=True)) == [(0, 0, 10), (9, 10, 1), (10, 11, 19), (30, 31, 5)]
+
+
 def test_chains_are_the_best_by_brute_force():
     import numpy as np
 
