@@ -3,7 +3,7 @@
 1. Texts with the same words form a class; one text stands for it.
 2. Each text gives its minimizers: of every ``SPAN`` consecutive k-mers of
    words the one with the least hash. Two texts that agree in ``SPAN + K - 1``
-   words in a row share a seed. A seed carries a byte for each word around it.
+   words in a row share a seed. A seed carries a byte for each of ``REACH`` words on both sides.
 3. Every occurrence of a shared seed is paired with the seed's first one in the
    text of smallest id. What passages these pairs make is found. Seeds that
    are left, and close enough to others to be part of one more passage, name
@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from loadlens.llm.common import keyed, let_through, place_map, ship, unkeyed, written
 from loadlens.llm.jaccard import ID_MAP_BYTES, Shingler
 
-K = 8
-SPAN = 12
+K = 4
+SPAN = 3
+# Words that a seed carries of each side.
+REACH = 12
 MIN_WORDS = 50
 MIN_COVER = 0.8
 # Gap costs: for each word skipped in either text.
@@ -67,12 +69,12 @@ def minimizers(h: np.ndarray, span: int) -> np.ndarray:
     return np.unique(np.arange(len(view)) + view.argmin(axis=1))
 
 
-def contexts(words: np.ndarray, places: np.ndarray, k: int, span: int) -> np.ndarray:
-    """A byte for each word from ``span`` before a seed to ``span`` after it; 0 beyond the text."""
+def contexts(words: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """A byte for each of the ``REACH`` words before a seed and of those after it; 0 beyond the text."""
     marks = (words & np.uint64(0xFF)).astype(np.uint8)
     marks[marks == 0] = 255
-    padded = np.concatenate((np.zeros(span, np.uint8), marks, np.zeros(span, np.uint8)))
-    return padded[places[:, None] + np.arange(2 * span + k)[None, :]]
+    padded = np.concatenate((np.zeros(REACH, np.uint8), marks, np.zeros(REACH, np.uint8)))
+    return padded[places[:, None] + np.concatenate((np.arange(REACH), np.arange(REACH) + REACH + k))[None, :]]
 
 
 def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -83,21 +85,21 @@ def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(good, steps, np.int16(0)).max(axis=1).astype(np.int64)
 
 
-def _reaches(mine: np.ndarray, theirs: np.ndarray, k: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+def _reaches(mine: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How far each pair of occurrences goes on to the left and to the right, some pairs at a time."""
     left, right = np.empty(len(mine), np.int64), np.empty(len(mine), np.int64)
     for lo in range(0, len(mine), PAIRS_AT_ONCE):
         part = slice(lo, lo + PAIRS_AT_ONCE)
         a, b = mine[part], theirs[part]
-        left[part] = reach(a[:, :span][:, ::-1], b[:, :span][:, ::-1])
-        right[part] = reach(a[:, span + k :], b[:, span + k :])
+        left[part] = reach(a[:, :REACH][:, ::-1], b[:, :REACH][:, ::-1])
+        right[part] = reach(a[:, REACH:], b[:, REACH:])
     return left, right
 
 
-def _aligned(h, a, b, at, bt, mine, theirs, k: int, span: int) -> pd.DataFrame:
+def _aligned(h, a, b, at, bt, mine, theirs, k: int) -> pd.DataFrame:
     """Matches of pairs of occurrences, aligned outwards over the words that both carry."""
-    rows = lambda marks: np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), 2 * span + k)
-    left, right = _reaches(rows(mine), rows(theirs), k, span)
+    rows = lambda marks: np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), 2 * REACH)
+    left, right = _reaches(rows(mine), rows(theirs))
     return pd.DataFrame(
         {
             "a": a, "b": b, "at": (at - left).astype(np.int32), "bt": (bt - left).astype(np.int32),
@@ -128,7 +130,7 @@ def _seeds_of(docs: DataFrame, id_col: str, text_col: str, k: int, span: int, fl
                 made = pd.DataFrame({"h": own, "id": np.int64(int(number))})
                 if shared is not None:
                     made["place"] = at.astype(np.int32)
-                    made["marks"] = [m.tobytes() for m in contexts(words, at, k, span)]
+                    made["marks"] = [m.tobytes() for m in contexts(words, at, k)]
                 held.append(made)
                 n += len(own)
                 if n >= SEEDS_AT_ONCE:
@@ -141,7 +143,7 @@ def _seeds_of(docs: DataFrame, id_col: str, text_col: str, k: int, span: int, fl
     return keyed(docs, id_col, text=text_col).mapInPandas(run, kind)
 
 
-def _first_matches(seeds: DataFrame, k: int, span: int) -> DataFrame:
+def _first_matches(seeds: DataFrame, k: int) -> DataFrame:
     """Every shared occurrence aligned with the first one of its seed in the text of smallest id; and how often the seed stands."""
     firsts = (
         seeds.groupBy("h")
@@ -153,20 +155,20 @@ def _first_matches(seeds: DataFrame, k: int, span: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             if len(x):
-                made = _aligned(*(x[c].to_numpy() for c in ("h", "id", "other", "place", "bt", "marks", "theirs")), k, span)
+                made = _aligned(*(x[c].to_numpy() for c in ("h", "id", "other", "place", "bt", "marks", "theirs")), k)
                 yield made.assign(holders=x["holders"].to_numpy())
 
     met = seeds.join(firsts, "h").filter("id > other")
     return met.mapInPandas(run, "a long, b long, at int, bt int, n int, h long, place int, holders long")
 
 
-def _all_matches(seeds: DataFrame, wanted: DataFrame, k: int, span: int) -> DataFrame:
+def _all_matches(seeds: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Aligned matches of all seeds that the wanted pairs (a, b) share."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             if len(x):
-                made = _aligned(*(x[c].to_numpy() for c in ("h", "a", "b", "place", "bt", "marks", "theirs")), k, span)
+                made = _aligned(*(x[c].to_numpy() for c in ("h", "a", "b", "place", "bt", "marks", "theirs")), k)
                 yield made[["a", "b", "at", "bt", "n"]]
 
     mine = seeds.join(wanted, seeds["id"] == wanted["a"]).select("h", "a", "b", "place", "marks")
@@ -174,22 +176,22 @@ def _all_matches(seeds: DataFrame, wanted: DataFrame, k: int, span: int) -> Data
     return mine.join(theirs, ["h", "b"]).mapInPandas(run, "a long, b long, at int, bt int, n int")
 
 
-def _wide(places: np.ndarray, reaches: int, k: int, min_words: int, min_cover: float) -> np.ndarray:
+def _wide(places: np.ndarray, k: int, min_words: int, min_cover: float) -> np.ndarray:
     """Whether each of these seeds, in rising places, is in a cluster that could hold a passage.
 
     Clusters are parted by gaps so wide that clusters of under ``min_words``
     cannot make up a passage together.
     """
     gap = int(2 * (1 - min_cover) / min_cover * (min_words - 1)) if min_cover > 0 else len(places) and int(places[-1]) + 1
-    new = np.concatenate(([True], places[1:] - places[:-1] > gap + k + 2 * reaches))
+    new = np.concatenate(([True], places[1:] - places[:-1] > gap + k + 2 * REACH))
     number = np.cumsum(new) - 1
     starts = np.flatnonzero(new)
     ends = np.concatenate((starts[1:], [len(places)])) - 1
-    return (places[ends] - places[starts] + k + 2 * reaches >= min_words)[number]
+    return (places[ends] - places[starts] + k + 2 * REACH >= min_words)[number]
 
 
 def open_seeds(
-    places: np.ndarray, holders: np.ndarray, done: np.ndarray, reaches: int, k: int, min_words: int, min_cover: float
+    places: np.ndarray, holders: np.ndarray, done: np.ndarray, k: int, min_words: int, min_cover: float
 ) -> np.ndarray:
     """Which of a text's shared seeds, in rising places, any passage not yet found must have one of.
 
@@ -198,7 +200,7 @@ def open_seeds(
     others, could not make up a passage.
     """
     out = np.zeros(len(places), bool)
-    wide = np.flatnonzero(_wide(places, reaches, k, min_words, min_cover))
+    wide = np.flatnonzero(_wide(places, k, min_words, min_cover))
     left = wide[~done[wide]]
     if not len(left):
         return out
@@ -209,7 +211,7 @@ def open_seeds(
         tried = done.copy()
         tried[left[:mid]] = True
         kept = np.flatnonzero(tried)
-        if (_wide(places[kept], reaches, k, min_words, min_cover) & ~done[kept]).any():
+        if (_wide(places[kept], k, min_words, min_cover) & ~done[kept]).any():
             hi = mid - 1
         else:
             lo = mid
@@ -351,7 +353,7 @@ def _chains(matches: DataFrame, min_words: int, min_cover: float) -> DataFrame:
     return spread.mapInPandas(run, _FOUND)
 
 
-def _first_chains(matches: DataFrame, min_words: int, min_cover: float, k: int, span: int) -> DataFrame:
+def _first_chains(matches: DataFrame, min_words: int, min_cover: float, k: int) -> DataFrame:
     """The passages with first holders, and rows with ``h`` for the seeds of each text that more may hang on."""
 
     def settled(rows: pd.DataFrame) -> pd.DataFrame:
@@ -363,12 +365,12 @@ def _first_chains(matches: DataFrame, min_words: int, min_cover: float, k: int,
         left = []
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             own, done = places[lo:hi], np.zeros(hi - lo, bool)
-            if int(own[-1] - own[0]) + k + 2 * span < min_words:
+            if int(own[-1] - own[0]) + k + 2 * REACH < min_words:
                 continue
             for start, end in spans.get(a[lo], ()):
                 done |= (start <= own) & (own + k <= end)
             if not done.all():
-                left.append(lo + np.flatnonzero(open_seeds(own, holders[lo:hi], done, span, k, min_words, min_cover)))
+                left.append(lo + np.flatnonzero(open_seeds(own, holders[lo:hi], done, k, min_words, min_cover)))
         left = np.concatenate(left) if left else np.empty(0, np.int64)
         more = pd.DataFrame({"doc_id": a[left], "h": h[left]}).drop_duplicates()
         both = pd.concat([found.astype(object), more.astype(object)], ignore_index=True).reindex(columns=[*_SPANS, "h"])
@@ -399,11 +401,11 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, k: int, span: int, mi
     held = _seeds_of(docs, id_col, text_col, k, span, None).groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     flags = place_map(held.filter("lo < hi").select("h"), SEED_MAP_BYTES)
     seeds = written(_seeds_of(docs, id_col, text_col, k, span, flags), "seeds")
-    first = written(_first_chains(_first_matches(seeds, k, span), min_words, min_cover, k, span), "first")
+    first = written(_first_chains(_first_matches(seeds, k), min_words, min_cover, k), "first")
     found, more = first.filter("h IS NULL").drop("h"), first.filter("h IS NOT NULL").select("h", F.col("doc_id").alias("a"))
     wanted = more.join(seeds.select("h", F.col("id").alias("b")), "h").filter("b < a").select("a", "b").distinct()
     wanted = written(wanted, "wanted")
-    again = _chains(_all_matches(seeds, wanted, k, span), min_words, min_cover)
+    again = _chains(_all_matches(seeds, wanted, k), min_words, min_cover)
     kept = found.join(wanted, (found["doc_id"] == wanted["a"]) & (found["other_id"] == wanted["b"]), "left_anti")
     return kept.unionByName(again)
 

@@ -325,6 +325,17 @@ def test_a_passage_with_a_doubled_word(spark):
     assert list(zip(at, bt, n, strict=True)) == [(0, 0, 10), (9, 10, 1), (10, 11, 19), (30, 31, 5)]
 
 
+def test_passages_with_a_word_changed_in_every_few(spark):
+    cases = [(every, size) for every in (6, 8, 10, 12, 15) for size in (60, 100) for _ in range(4)]
+    texts = []
+    for i, (every, size) in enumerate(cases):
+        shared = words(size, 5000 + i)
+        changed = [f"changed{i}x{k}" if k % every == every // 2 else w for k, w in enumerate(shared)]
+        texts += [" ".join(words(60, 6000 + i) + shared), " ".join(changed + words(60, 7000 + i))]
+    got = {(x["doc_id"], x["other_id"]) for x in passages.shared_passages(docs_of(spark, texts)).collect()}
+    assert {cases[i] for i in range(len(cases)) if (2 * i + 1, 2 * i) not in got} == set()
+
+
 def test_chains_are_the_best_by_brute_force():
     import numpy as np
 
