@@ -8,6 +8,10 @@ form an alignment, and its slots must map every value of the item to one value
 of the document: then a question with other numbers or names is still found,
 and text that merely has numbers at the same places is not.
 
+Windows of plain folded words, without placeholders, are looked up as well and
+taken together with them: they find exact copies whose names are written in
+another case or after other white space, and those of items made of slots.
+
 All of it is built from SQL functions. The document side keeps only windows
 that a Bloom filter of fixed size, made from the benchmark's windows, knows
 before anything is exploded or shuffled, so the shuffle follows the matches.
@@ -17,7 +21,7 @@ one window of its own length; an item without words cannot be found. Repeated
 documents give repeated evidence under their id and one row; items with null
 ids are left out, as a row could not name them. Names are words
 with one leading capital that follow a letter, comma or semicolon and one
-blank; in texts written all in capitals there are none.
+blank; elsewhere a name is a plain word and matches by itself only.
 """
 
 from __future__ import annotations
@@ -69,13 +73,22 @@ def _is_slot(word: Column) -> Column:
     return word.rlike(f"[{NAME}{NUMBER}{UNIT}]")
 
 
-def template_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """Every window of every item: hash, place, canonical and raw words, and how many windows its item has.
+def plain_words(text: Column) -> Column:
+    """The raw words in lower case without the punctuation around them, place by place with ``canonical_words``."""
+    kept = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}"
+    odd = rf"[^{kept}\x20\x09-\x0D]"
+    return words_of(F.lower(F.regexp_replace(text, rf"(?<![{kept}]){odd}++|{odd}++(?![{kept}])", "")))
+
+
+def template_windows(items: DataFrame, id_col: str, text_col: str, window: int, plain: bool = False) -> DataFrame:
+    """Every window of every item: hash, place, words compared and raw words, and all compared words of the item.
 
-    Windows of which over half the words are slots say nothing and are left out.
+    Template windows of which over half the words are slots say nothing and are
+    left out; plain windows are all kept.
     """
+    words = plain_words if plain else canonical_words
     both = items.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("item_id"), canonical_words(F.col(text_col)).alias("c"), raw_words(F.col(text_col)).alias("r")
+        F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("c"), raw_words(F.col(text_col)).alias("r")
     )
     n = F.size("c")
     wide = F.least(n, F.lit(window))
@@ -84,67 +97,70 @@ def template_windows(items: DataFrame, id_col: str, text_col: str, window: int)
         "item_id", "ipos", "wide",
         F.slice("c", F.col("ipos") + 1, F.col("wide")).alias("icanon"), F.slice("r", F.col("ipos") + 1, F.col("wide")).alias("iraw"),
     )
-    told = F.size(F.filter("icanon", lambda w: ~_is_slot(w))) * 2 >= F.col("wide")
+    told = F.lit(plain) | (F.size(F.filter("icanon", lambda w: ~_is_slot(w))) * 2 >= F.col("wide"))
     return cut.filter(told).withColumn("h", F.xxhash64("icanon"))
 
 
-def _hits(canon: Column, wide: int, heads: bytes, wholes: bytes) -> Column:
-    """Places of the document's windows that the filters know: by their first two words, then whole."""
-    head = lambda c, i: F.xxhash64(F.get(c, i), F.get(c, i + min(1, wide - 1)))
-    begun = lambda c: F.filter(F.sequence(F.lit(0), F.size(c) - wide), lambda i: may_hold(heads, head(c, i), 1))
-    whole = lambda c, i: let(F.xxhash64(F.slice(c, i + 1, wide)), lambda h: may_hold(wholes, h))
-    return let(
-        canon,
-        lambda c: F.when(F.size(c) >= wide, F.filter(begun(c), lambda i: whole(c, i))).otherwise(
-            F.array().cast("array<int>")
-        ),
-    )
+def _hits(words: Column, widths: list[int], heads: bytes, wholes: bytes) -> Column:
+    """Place and width of the document's windows that the filters know: by their first two words, then whole."""
+    head = lambda c, i, wide: F.xxhash64(F.get(c, i), F.get(c, i + min(1, wide - 1)))
+    whole = lambda c, i, wide: let(F.xxhash64(F.slice(c, i + 1, wide)), lambda h: may_hold(wholes, h))
+    none = F.array().cast("array<struct<pos:int,wide:int>>")
+
+    def of(c, wide):
+        begun = F.filter(F.sequence(F.lit(0), F.size(c) - wide), lambda i: may_hold(heads, head(c, i, wide), 1))
+        known = F.filter(begun, lambda i: whole(c, i, wide))
+        return F.when(F.size(c) >= wide, F.transform(known, lambda i: F.struct(i.alias("pos"), F.lit(wide).alias("wide")))).otherwise(none)
+
+    return let(words, lambda c: F.concat(*[of(c, wide) for wide in widths]))
 
 
 def matches(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, map_bytes: int = MAP_BYTES,
 ) -> DataFrame:
-    """Equal template windows with the values of their slots.
+    """Equal windows, of template words with the values of their slots and of plain words.
 
-    Columns: the id, ``item_id``, ``pos``, ``ipos`` and ``slots``, an array of (kind, item value, document value).
+    Columns: the id, ``item_id``, ``pos``, ``ipos``, ``wide`` and ``slots``, an array of (kind, item value, document value).
     """
-    windows = template_windows(items, item_col, item_text, window)
-    widths = sorted(r[0] for r in windows.select("wide").distinct().collect())
     found = None
-    for wide in widths:  # one, and those of items shorter than the window
-        own = windows.filter(F.col("wide") == wide)
-        second = F.lit(min(1, wide - 1))
-        heads = small_filter(own.select(F.xxhash64(F.get("icanon", F.lit(0)), F.get("icanon", second)).alias("h")), HEAD_BYTES, 1)
+    for plain in (False, True):
+        own = template_windows(items, item_col, item_text, window, plain)
+        widths = sorted(r[0] for r in own.select("wide").distinct().collect())
+        if not widths:
+            continue
+        words = plain_words if plain else canonical_words
+        second = F.get("icanon", F.least(F.lit(1), F.col("wide") - 1))
+        heads = small_filter(own.select(F.xxhash64(F.get("icanon", F.lit(0)), second).alias("h")), HEAD_BYTES, 1)
         wholes = small_filter(own, map_bytes)
         known = (
             docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-            .withColumn("_c", canonical_words(F.col("_t")))
-            .withColumn("_hits", _hits(F.col("_c"), wide, heads, wholes))
+            .withColumn("_c", words(F.col("_t")))
+            .withColumn("_hits", _hits(F.col("_c"), widths, heads, wholes))
             .filter(F.size("_hits") > 0)
             .withColumn("_r", raw_words(F.col("_t")))
         )
-        cut = F.col("_c"), F.col("_r")
         each = known.select(
             "_id",
             F.explode(
                 let(
-                    F.struct(cut[0].alias("c"), cut[1].alias("r")),
+                    F.struct(F.col("_c").alias("c"), F.col("_r").alias("r")),
                     lambda x: F.transform(
                         F.col("_hits"),
                         lambda i: F.struct(
-                            i.alias("pos"), F.slice(x["c"], i + 1, wide).alias("canon"), F.slice(x["r"], i + 1, wide).alias("raw")
+                            i["pos"].alias("pos"), F.slice(x["c"], i["pos"] + 1, i["wide"]).alias("canon"),
+                            F.slice(x["r"], i["pos"] + 1, i["wide"]).alias("raw"),
                         ),
                     ),
                 )
             ).alias("w"),
-        ).select("_id", "w.pos", "w.canon", "w.raw", F.xxhash64("w.canon").alias("h"))
+        ).select("_id", "w.pos", "w.canon", "w.raw", F.xxhash64("w.canon").alias("h"))
         each = each.withColumn("salt", F.pmod(F.xxhash64("_id", "pos"), F.lit(SALTS)).cast("int"))
-        salted = own.drop("wide").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = each.join(salted, ["h", "salt"]).filter(F.col("canon") == F.col("icanon"))
+        salted = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = each.join(salted, ["h", "salt"]).filter(F.col("canon") == F.col("icanon")).withColumn("plain", F.lit(plain))
         found = joined if found is None else found.unionByName(joined)
     if found is None:
-        empty = "item_id {}, pos int, ipos int, slots array<struct<kind:string,item:string,doc:string>>"
+        empty = "item_id {}, pos int, ipos int, wide int, plain boolean, slots array<struct<kind:string,item:string,doc:string>>"
         kinds = dict(items.dtypes)
         return docs.limit(0).select(F.col(id_col)).join(
             docs.sparkSession.createDataFrame([], empty.format(kinds[item_col])), F.lit(True)
@@ -153,7 +169,7 @@ def matches(
         F.filter(F.arrays_zip("canon", "iraw", "raw"), lambda x: _is_slot(x["canon"])),
         lambda x: F.struct(x["canon"].alias("kind"), _value(x["iraw"]).alias("item"), _value(x["raw"]).alias("doc")),
     )
-    return found.select(F.col("_id").alias(id_col), "item_id", "pos", "ipos", zipped.alias("slots"))
+    return found.select(F.col("_id").alias(id_col), "item_id", "pos", "ipos", "wide", "plain", zipped.alias("slots"))
 
 
 def _value(word: Column) -> Column:
@@ -176,24 +192,28 @@ def contaminated(
     ids = F.col(id_col)
     aligned = (
         found.withColumn("diagonal", F.col("pos") - F.col("ipos"))
-        .groupBy(ids.alias("_id"), "item_id", "diagonal")
+        .groupBy(ids.alias("_id"), "item_id", "plain", "diagonal")
         .agg(F.collect_set("ipos").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"))
     )
     consistent = F.size("pairs") == F.size(
         F.array_distinct(F.transform("pairs", lambda x: F.struct(x["kind"], x["item"])))
     )
-    per_item = (
-        template_windows(items, item_col, item_text, window).groupBy("item_id").agg(F.countDistinct("ipos").alias("item_windows"))
+    both = [template_windows(items, item_col, item_text, window, plain).select("item_id", "ipos") for plain in (False, True)]
+    per_item = both[0].withColumn("told", F.lit(1)).unionByName(both[1].withColumn("told", F.lit(0))).groupBy("item_id").agg(
+        F.countDistinct(F.when(F.col("told") == 1, F.col("ipos"))).alias("told"), F.countDistinct("ipos").alias("item_windows")
     )
     whole = (
         aligned.filter(consistent)
         .groupBy("_id", "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("n_windows"),
+            F.size(F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("plain"), F.col("places")))))).alias("n_told"),
             F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
         )
         .join(per_item, "item_id")
         .withColumn("cover", F.col("n_windows") / F.col("item_windows"))
+        .withColumn("by_told", F.coalesce(F.try_divide("n_told", "told"), F.lit(0.0)))
+        .withColumn("cover", F.greatest("cover", "by_told"))
         .filter(F.col("cover") >= min_cover)
     )
     changed = F.exists("pairs", lambda x: F.lower(x["item"]) != F.lower(x["doc"]))

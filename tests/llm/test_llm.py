@@ -221,6 +221,22 @@ def test_items_are_found_with_other_numbers_and_names(spark):
     assert left.columns == docs.columns and {x["doc_id"] for x in left.collect()} == set(range(9)) - {d for d, _ in got}
 
 
+def test_copies_in_lower_case_or_with_other_line_breaks_are_found(spark):
+    item = "then we asked Maria and later Petra whether old Tom or young Olga had seen Boris near the mill with Anna that day"
+    fill = " ".join(words(40, 2))
+    texts = [f"{fill} {x} {fill}" for x in (item.lower(), item.replace(" ", "\n"), item.replace(" ", "  "), item.upper())]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {x["doc_id"]: x["kind"] for x in decontaminate.contaminated(docs_of(spark, texts), items).collect()}
+    assert got == dict.fromkeys(range(4), "verbatim")
+
+
+def test_items_of_numbers_are_found_as_copies_only(spark):
+    fill = " ".join(words(40, 3))
+    texts = [f"{fill} 12 + 30 = 42 {fill}", f"{fill} 13 + 30 = 43 {fill}"]
+    items = spark.createDataFrame([(1, "12 + 30 = 42")], "item_id long, text string")
+    assert [(x["doc_id"], x["kind"]) for x in decontaminate.contaminated(docs_of(spark, texts), items).collect()] == [(0, "verbatim")]
+
+
 def test_all_planted_items_are_found(spark):
     import re
 
