@@ -16,7 +16,7 @@ All of it is built from SQL functions. The document side keeps only windows
 that a Bloom filter of fixed size, made from the benchmark's windows, knows
 before anything is exploded or shuffled, so the shuffle follows the matches.
 
-Null and blank texts match nothing. An item of fewer words than the window is
+Null and blank texts match nothing. An item of fewer words than its window is
 one window of its own length; an item without words cannot be found. Repeated
 documents give repeated evidence under their id and one row; items with null
 ids are left out, as a row could not name them. Names are words
@@ -33,6 +33,9 @@ from loadlens.llm.common import let, may_hold, small_filter, words_of, written
 
 WINDOW = 8
 MIN_COVER = 0.5
+# Items of fewer words than three windows have narrow ones. So many equal words in a row are always reported.
+NARROW = 4
+LONG_RUN = 25
 SALTS = 16
 # Bytes of the filters of window heads and of windows. Fuller ones let more through to the join; no window is lost.
 HEAD_BYTES, MAP_BYTES = 1 << 16, 1 << 17
@@ -80,6 +83,12 @@ def plain_words(text: Column) -> Column:
     return words_of(F.lower(F.regexp_replace(text, rf"(?<![{kept}]){odd}++|{odd}++(?![{kept}])", "")))
 
 
+def _around(words: Column, at: Column, wide: Column, reach: int, before: str, after: str) -> tuple[Column, Column]:
+    """The words before a window, the nearest first, and those after it."""
+    lo = F.greatest(at - reach, F.lit(0))
+    return F.reverse(F.slice(words, lo + 1, at - lo)).alias(before), F.slice(words, at + wide + 1, reach).alias(after)
+
+
 def template_windows(items: DataFrame, id_col: str, text_col: str, window: int, plain: bool = False) -> DataFrame:
     """Every window of every item: hash, place, words compared and raw words, and all compared words of the item.
 
@@ -91,11 +100,12 @@ def template_windows(items: DataFrame, id_col: str, text_col: str, window: int,
         F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("c"), raw_words(F.col(text_col)).alias("r")
     )
     n = F.size("c")
-    wide = F.least(n, F.lit(window))
+    wide = F.least(n, F.when(n < 3 * window, F.lit(min(NARROW, window))).otherwise(F.lit(window)))
     placed = both.filter(n > 0).withColumn("wide", wide).withColumn("ipos", F.explode(F.sequence(F.lit(0), n - wide)))
     cut = placed.select(
         "item_id", "ipos", "wide",
         F.slice("c", F.col("ipos") + 1, F.col("wide")).alias("icanon"), F.slice("r", F.col("ipos") + 1, F.col("wide")).alias("iraw"),
+        *_around(F.col("c"), F.col("ipos"), F.col("wide"), window, "ibefore", "iafter"),
     )
     told = F.lit(plain) | (F.size(F.filter("icanon", lambda w: ~_is_slot(w))) * 2 >= F.col("wide"))
     return cut.filter(told).withColumn("h", F.xxhash64("icanon"))
@@ -121,7 +131,8 @@ def matches(
 ) -> DataFrame:
     """Equal windows, of template words with the values of their slots and of plain words.
 
-    Columns: the id, ``item_id``, ``pos``, ``ipos``, ``wide`` and ``slots``, an array of (kind, item value, document value).
+    Columns: the id, ``item_id``, ``pos``, ``ipos``, ``wide`` and ``slots``, an array of (kind, item value, document value);
+    ``covered``, the item's places in the window and equal ones beside it.
     """
     found = None
     for plain in (False, True):
@@ -150,17 +161,18 @@ def matches(
                         lambda i: F.struct(
                             i["pos"].alias("pos"), F.slice(x["c"], i["pos"] + 1, i["wide"]).alias("canon"),
                             F.slice(x["r"], i["pos"] + 1, i["wide"]).alias("raw"),
+                            *_around(x["c"], i["pos"], i["wide"], window, "before", "after"),
                         ),
                     ),
                 )
             ).alias("w"),
-        ).select("_id", "w.pos", "w.canon", "w.raw", F.xxhash64("w.canon").alias("h"))
+        ).select("_id", "w.pos", "w.canon", "w.raw", "w.before", "w.after", F.xxhash64("w.canon").alias("h"))
         each = each.withColumn("salt", F.pmod(F.xxhash64("_id", "pos"), F.lit(SALTS)).cast("int"))
         salted = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = each.join(salted, ["h", "salt"]).filter(F.col("canon") == F.col("icanon")).withColumn("plain", F.lit(plain))
         found = joined if found is None else found.unionByName(joined)
     if found is None:
-        empty = "item_id {}, pos int, ipos int, wide int, plain boolean, slots array<struct<kind:string,item:string,doc:string>>"
+        empty = "item_id {}, pos int, ipos int, wide int, plain boolean, covered array<int>, slots array<struct<kind:string,item:string,doc:string>>"
         kinds = dict(items.dtypes)
         return docs.limit(0).select(F.col(id_col)).join(
             docs.sparkSession.createDataFrame([], empty.format(kinds[item_col])), F.lit(True)
@@ -169,7 +181,21 @@ def matches(
         F.filter(F.arrays_zip("canon", "iraw", "raw"), lambda x: _is_slot(x["canon"])),
         lambda x: F.struct(x["canon"].alias("kind"), _value(x["iraw"]).alias("item"), _value(x["raw"]).alias("doc")),
     )
-    return found.select(F.col("_id").alias(id_col), "item_id", "pos", "ipos", "wide", "plain", zipped.alias("slots"))
+    end = F.col("ipos") + F.col("wide")
+    covered = F.concat(
+        F.sequence(F.col("ipos"), end - 1),
+        _alike("ibefore", "before", lambda t: F.col("ipos") - 1 - t), _alike("iafter", "after", lambda t: end + t),
+    )
+    return found.select(
+        F.col("_id").alias(id_col), "item_id", "pos", "ipos", "wide", "plain", covered.alias("covered"), zipped.alias("slots")
+    )
+
+
+def _alike(item: str, doc: str, place) -> Column:
+    """Places of the item's words beside a window that the document has at the same distance; slots are not judged there."""
+    same = lambda x: (x[item] == x[doc]) & ~_is_slot(x[item])
+    found = F.transform(F.arrays_zip(item, doc), lambda x, t: F.when(same(x), place(t)))
+    return F.filter(found, lambda p: p.isNotNull())
 
 
 def _value(word: Column) -> Column:
@@ -185,36 +211,46 @@ def contaminated(
     """One row per document and item found in it.
 
     Columns: the id, ``item_id``, ``n_windows`` of the item matched on
-    consistent diagonals, ``item_windows``, ``cover``, ``n_slots`` of distinct
-    values, ``kind`` (``verbatim`` or ``reparameterised``).
+    consistent diagonals, ``item_windows``, ``cover`` by words, ``n_slots`` of distinct
+    values, ``kind`` (``verbatim`` or ``reparameterised``). A run of
+    ``LONG_RUN`` equal words is reported whatever it covers.
     """
     found = matches(docs, items, id_col, text_col, item_col, item_text, window, map_bytes)
     ids = F.col(id_col)
     aligned = (
         found.withColumn("diagonal", F.col("pos") - F.col("ipos"))
-        .groupBy(ids.alias("_id"), "item_id", "plain", "diagonal")
-        .agg(F.collect_set("ipos").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"))
+        .groupBy(ids.alias("_id"), "item_id", "diagonal")
+        .agg(
+            F.collect_set("ipos").alias("places"), F.collect_set(F.when(~F.col("plain"), F.col("ipos"))).alias("told_places"),
+            F.collect_set(F.when(F.col("plain"), F.col("ipos"))).alias("plain_places"), F.max("wide").alias("wide"),
+            F.array_distinct(F.flatten(F.collect_set("covered"))).alias("covered"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"),
+        )
     )
     consistent = F.size("pairs") == F.size(
         F.array_distinct(F.transform("pairs", lambda x: F.struct(x["kind"], x["item"])))
     )
-    both = [template_windows(items, item_col, item_text, window, plain).select("item_id", "ipos") for plain in (False, True)]
+    more = F.lit(LONG_RUN) - F.col("wide")
+    # Where slots contradict one another, only a long run of equal words counts.
+    long = F.exists("plain_places", lambda p: F.size(F.filter("plain_places", lambda q: (q >= p) & (q <= p + more))) > more)
+    both = [template_windows(items, item_col, item_text, window, plain).select("item_id", "ipos", "wide") for plain in (False, True)]
     per_item = both[0].withColumn("told", F.lit(1)).unionByName(both[1].withColumn("told", F.lit(0))).groupBy("item_id").agg(
-        F.countDistinct(F.when(F.col("told") == 1, F.col("ipos"))).alias("told"), F.countDistinct("ipos").alias("item_windows")
+        F.countDistinct(F.when(F.col("told") == 1, F.col("ipos"))).alias("told"), F.countDistinct("ipos").alias("item_windows"),
+        F.max(F.col("ipos") + F.col("wide")).alias("item_words"),
     )
     whole = (
-        aligned.filter(consistent)
+        aligned.filter(consistent | long)
         .groupBy("_id", "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("n_windows"),
-            F.size(F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("plain"), F.col("places")))))).alias("n_told"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n_covered"), F.max(long).alias("long"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("told_places")))).alias("n_told"),
             F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
         )
         .join(per_item, "item_id")
-        .withColumn("cover", F.col("n_windows") / F.col("item_windows"))
+        .withColumn("cover", F.col("n_covered") / F.col("item_words"))
         .withColumn("by_told", F.coalesce(F.try_divide("n_told", "told"), F.lit(0.0)))
         .withColumn("cover", F.greatest("cover", "by_told"))
-        .filter(F.col("cover") >= min_cover)
+        .filter((F.col("cover") >= min_cover) | F.col("long"))
     )
     changed = F.exists("pairs", lambda x: F.lower(x["item"]) != F.lower(x["doc"]))
     return whole.select(

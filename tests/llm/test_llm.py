@@ -237,6 +237,17 @@ def test_items_of_numbers_are_found_as_copies_only(spark):
     assert [(x["doc_id"], x["kind"]) for x in decontaminate.contaminated(docs_of(spark, texts), items).collect()] == [(0, "verbatim")]
 
 
+def test_items_with_changed_words_and_long_runs_are_found(spark):
+    short, mid, big = words(15, 4), words(37, 5), words(90, 6)
+    change = lambda item, *at: [f"changed{k}" if k in at else w for k, w in enumerate(item)]
+    fill = words(40, 7)
+    texts = [change(short, 7), change(mid, 9, 18, 27), big[20:50], big[20:40]]
+    items = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate((short, mid, big))], "item_id long, text string")
+    docs = docs_of(spark, [" ".join(fill + t + fill) for t in texts])
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2)}
+
+
 def test_all_planted_items_are_found(spark):
     import re
 
