@@ -49,7 +49,10 @@ def domains_of(host: Column) -> Column:
 
 def validity(entries: DataFrame) -> DataFrame:
     """The dated decisions as intervals; ``valid_to`` is null for the last one of a key."""
-    told = entries.select("kind", F.lower("key").alias("key"), "action", F.col("listed_at").cast("timestamp").alias("valid_from"))
+    # A path keeps its case behind the host, as in path_head.
+    host, rest = (F.regexp_extract("key", r"(?s)^([^/]*)(.*)$", k) for k in (1, 2))
+    key = F.when(F.col("kind") == "path", F.concat(F.lower(host), rest)).otherwise(F.lower("key"))
+    told = entries.select("kind", key.alias("key"), "action", F.col("listed_at").cast("timestamp").alias("valid_from"))
     one = told.dropna().groupBy("kind", "key", "valid_from").agg(F.max("action").alias("action"))  # block > allow
     steps = one.groupBy("kind", "key").agg(F.sort_array(F.collect_list(F.struct("valid_from", "action"))).alias("s"))
     return steps.select(
