@@ -113,16 +113,23 @@ def template_windows(items: DataFrame, id_col: str, text_col: str, window: int,
 
 def _hits(words: Column, widths: list[int], heads: bytes, wholes: bytes) -> Column:
     """Place and width of the document's windows that the filters know: by their first two words, then whole."""
-    head = lambda c, i, wide: F.xxhash64(F.get(c, i), F.get(c, i + min(1, wide - 1)))
-    whole = lambda c, i, wide: let(F.xxhash64(F.slice(c, i + 1, wide)), lambda h: may_hold(wholes, h))
+    spot = lambda i, wide: F.struct(i.alias("pos"), F.lit(wide).alias("wide"))
     none = F.array().cast("array<struct<pos:int,wide:int>>")
 
-    def of(c, wide):
-        begun = F.filter(F.sequence(F.lit(0), F.size(c) - wide), lambda i: may_hold(heads, head(c, i, wide), 1))
-        known = F.filter(begun, lambda i: whole(c, i, wide))
-        return F.when(F.size(c) >= wide, F.transform(known, lambda i: F.struct(i.alias("pos"), F.lit(wide).alias("wide")))).otherwise(none)
+    def begun(c, step, some):
+        known = lambda i: may_hold(heads, F.xxhash64(F.get(c, i), F.get(c, i + step)), 1)
+        places = F.filter(F.sequence(F.lit(0), F.size(c) - 1 - step), known)
+        spots = F.flatten(F.transform(places, lambda i: F.array(*[spot(i, wide) for wide in some])))
+        return F.when(F.size(c) > step, spots).otherwise(none)
 
-    return let(words, lambda c: F.concat(*[of(c, wide) for wide in widths]))
+    def whole(c, x):
+        inside = x["pos"] + x["wide"] <= F.size(c)
+        return inside & let(F.xxhash64(F.slice(c, x["pos"] + 1, x["wide"])), lambda h: may_hold(wholes, h))
+
+    steps = [(step, [w for w in widths if (w > 1) == step]) for step in (0, 1)]
+    return let(
+        words, lambda c: F.filter(F.concat(*[begun(c, step, some) for step, some in steps if some]), lambda x: whole(c, x))
+    )
 
 
 def matches(
@@ -170,6 +177,7 @@ def matches(
         each = each.withColumn("salt", F.pmod(F.xxhash64("_id", "pos"), F.lit(SALTS)).cast("int"))
         salted = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = each.join(salted, ["h", "salt"]).filter(F.col("canon") == F.col("icanon")).withColumn("plain", F.lit(plain))
+        joined = written(joined, "windows")  # the driver then holds the filters of one kind of window in a plan at a time
         found = joined if found is None else found.unionByName(joined)
     if found is None:
         empty = "item_id {}, pos int, ipos int, wide int, plain boolean, covered array<int>, slots array<struct<kind:string,item:string,doc:string>>"

@@ -180,6 +180,14 @@ def test_entries_count_from_their_date_to_the_next(spark):
     assert urlfilter.filter_captures(captures.limit(0), entries).count() == 0
 
 
+def test_path_entries_keep_the_case_of_the_path(spark):
+    at = datetime.datetime(2024, 3, 1)
+    pages = spark.createDataFrame([(1, "https://A.example/Docs/x", at), (2, "https://a.example/docs/x", at)], "page_id long, url string, fetched_at timestamp")
+    entries = spark.createDataFrame([("path", "A.Example/Docs", "block", at)], "kind string, key string, action string, listed_at timestamp")
+    got = {x["page_id"]: (x["action"], x["matched_key"]) for x in urlfilter.filter_captures(pages, entries).collect()}
+    assert got == {1: ("block", "a.example/Docs"), 2: ("allow", None)}
+
+
 # WARC
 
 
