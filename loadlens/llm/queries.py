@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, extract, jaccard, langid, passages, pieces, quality, tokencount, urlfilter, warc
+from loadlens.llm import decontaminate, extract, jaccard, langid, passages, periodic, pieces, quality, tokencount, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -221,3 +221,9 @@ def op10(spark, folder):
     learned = langid.prototypes(docs.filter(~F.col("held_out")))
     told = langid.predict(docs, learned)
     return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_periodic_runs")
+def op11(spark, folder):
+    docs = periodic.with_planted_period(table(spark, folder, "documents"))
+    return periodic.digests(periodic.periodic_runs(docs))
