@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, extract, jaccard, langid, passages, periodic, pieces, quality, tokencount, urlfilter, warc
+from loadlens.llm import decontaminate, dialogue, extract, jaccard, langid, passages, periodic, pieces, quality, tokencount, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -227,3 +227,9 @@ def op10(spark, folder):
 def op11(spark, folder):
     docs = periodic.with_planted_period(table(spark, folder, "documents"))
     return periodic.digests(periodic.periodic_runs(docs))
+
+
+@query("op13_conversation_repair")
+def op13(spark, folder):
+    turns = table(spark, folder, "conversations")
+    return dialogue.with_every_id(dialogue.repair(dialogue.damaged(turns)), turns)
