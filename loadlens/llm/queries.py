@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, dialogue, extract, jaccard, langid, passages, periodic, pieces, quality, tokencount, urlfilter, warc
+from loadlens.llm import decontaminate, dialogue, extract, jaccard, langid, passages, periodic, pieces, quality, repeats, tokencount, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -229,6 +229,11 @@ def op11(spark, folder):
     return periodic.digests(periodic.periodic_runs(docs))
 
 
+@query("op12_repeated_strings")
+def op12(spark, folder):
+    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("op13_conversation_repair")
 def op13(spark, folder):
     turns = table(spark, folder, "conversations")
