@@ -33,19 +33,6 @@ def row_counts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("file").agg(F.count("*").alias("row_count"))
 
 
-def estimated_rows(lines: DataFrame, files: DataFrame, fraction: float = 0.01, seed: int = 7) -> DataFrame:
-    """Rows per file as bytes over mean sampled line length."""
-    mean = (
-        lines.sample(fraction=fraction, seed=seed)
-        .groupBy("file")
-        .agg(F.avg(F.octet_length("value") + 1).alias("line_bytes"))
-    )
-    return files.join(mean, files["path"] == mean["file"], "left").select(
-        F.col("path").alias("file"),
-        (F.col("length") / F.col("line_bytes")).cast("bigint").alias("estimated_rows"),
-    )
-
-
 def file_summary(lines: DataFrame, delimiter: str = "\t") -> DataFrame:
     """Bytes, rows, mean row bytes, widest row and null-byte lines per file."""
     return (

@@ -43,6 +43,7 @@ def load_all() -> None:
         delete_queries,
         duplicate_queries,
         file_queries,
+        head_queries,
         history_queries,
         line_queries,
         profile_queries,

@@ -190,14 +190,6 @@ def row_counts_by_month(spark, folder):
     )
 
 
-@query("row_estimate")
-def row_estimate(spark, folder):
-    """Estimated rows per file from a sample of line lengths."""
-    landing = month_landing(spark, folder)
-    files = inventory.file_inventory(spark, landing)
-    return structure.estimated_rows(lines.read_lines(spark, landing), files, fraction=0.2)
-
-
 @query(
     "csv_roundtrip",
     f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_DAY} AS o_orderdate, o_orderpriority FROM orders",
