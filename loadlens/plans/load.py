@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ class LoadResult:
 
 
 def read_contract(
-    spark: SparkSession, contract: Contract, paths, ragged: bool = False, source: bool = False
+    spark: SparkSession, contract: Contract, paths, ragged: bool = False, source: bool = False, flag_open: bool = False
 ) -> DataFrame:
     """A contract's files as text columns with null tokens applied."""
     return delimited.scan_delimited(
@@ -51,6 +54,7 @@ def read_contract(
         flag_ragged=ragged,
         with_source=source,
         multiline=contract.multiline,
+        flag_open=flag_open,
     )
 
 
@@ -216,6 +220,90 @@ def _record_cells(spark: SparkSession, contract: Contract, paths) -> DataFrame:
     )
 
 
+@dataclass
+class Verdict:
+    """What the gate found out about one of the given paths."""
+
+    passed: bool = True
+    rows: int = 0
+    refused: int = 0
+    open_quotes: int = 0
+    example: str | None = None
+    error: str | None = None
+
+
+def file_gate(
+    spark: SparkSession, contract: Contract, paths: list[str], quality: bool = True, reject_ragged: bool = False
+) -> dict[str, Verdict]:
+    """Quality and castability of any number of files or folders, in one query.
+
+    Rows are judged where they are read and counted per file before anything is
+    shuffled; what comes back has one row per given path. A file that cannot be
+    read fails the query, which is then asked again for either half of the
+    paths, so further queries are spent on such files only.
+    """
+    known = _existing(spark, paths)
+    verdicts = {p: Verdict(passed=False, error=f"path does not exist: {p}") for p in paths if p not in known}
+    verdicts |= _judged(spark, contract, [p for p in paths if p in known], known, quality, reject_ragged)
+    return verdicts
+
+
+def _existing(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The paths that exist, with their names as the readers give them."""
+    java, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsparkSession.sessionState().newHadoopConf()
+
+    def named(path: str) -> str | None:
+        at = java(path)
+        system = at.getFileSystem(conf)
+        if not system.exists(at):
+            return None
+        # Local files are named with three slashes and read with one.
+        return re.sub("^file:/+", "file:/", at.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri().toString())
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return {p: n for p, n in zip(paths, pool.map(named, paths), strict=True) if n is not None}
+
+
+def _judged(spark, contract: Contract, paths: list[str], names: dict[str, str], quality: bool, reject_ragged: bool) -> dict[str, Verdict]:
+    if not paths:
+        return {}
+    try:
+        return _verdicts(spark, contract, paths, names, quality, reject_ragged)
+    except (CapturedException, Py4JJavaError) as error:
+        if len(paths) == 1:
+            return {paths[0]: Verdict(passed=False, error=str(error).splitlines()[0])}
+        half = len(paths) // 2
+        ask = lambda some: _judged(spark, contract, some, names, quality, reject_ragged)
+        return {**ask(paths[:half]), **ask(paths[half:])}
+
+
+def _verdicts(spark, contract: Contract, paths: list[str], names: dict[str, str], quality: bool, reject_ragged: bool) -> dict[str, Verdict]:
+    rows = read_contract(spark, contract, paths, ragged=True, source=True, flag_open=True)
+    judged = judge_rows(rows, contract, reject_ragged).withColumn("_bad", F.size(REJECTED) > 0)
+    first_bad = F.min(F.when(F.col("_bad"), F.array_join(REJECTED, ", ")))
+    per_file = judged.groupBy(F.col(SOURCE).alias("file")).agg(
+        F.count("*").alias("n"), F.count_if("_bad").alias("n_bad"), F.count_if(delimited.OPEN_QUOTE).alias("n_open"), first_bad.alias("example")
+    )
+    if quality:
+        passed = file_quality(spark, contract, paths).select("file", "passed")
+        per_file = per_file.join(passed, "file", "full")
+    else:
+        per_file = per_file.withColumn("passed", F.lit(True))
+    # A file belongs to the path given for it or for one of its folders.
+    parts = F.split("file", "/")
+    above = F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/")))
+    given = spark.createDataFrame([(p, names[p]) for p in paths], "path string, name string")
+    found = per_file.withColumn("name", above).join(given, "name").groupBy("path").agg(
+        F.bool_and("passed").alias("passed"), F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"), F.sum("n_open").alias("n_open"),
+        F.min("example").alias("example"),
+    )
+    # A path without any line has not shown its width, so it fails the quality check only.
+    verdicts = {p: Verdict(passed=not quality) for p in paths}
+    for r in found.collect():
+        verdicts[r["path"]] = Verdict(bool(r["passed"]), r["n"] or 0, r["n_bad"] or 0, r["n_open"] or 0, r["example"])
+    return verdicts
+
+
 def load_files(
     spark: SparkSession,
     contract: Contract,
@@ -224,41 +312,55 @@ def load_files(
     skip_qc: bool = False,
     validate_only: bool = False,
     validate_after: bool = False,
-    workers: int = 4,
+    on_error: str = "abort",
+    reject_ragged: bool = False,
     **options,
 ) -> DataFrame:
-    """Check and load each file on its own; one result row per file.
+    """Check and load any number of files, each on its own merits; one result row per given path.
 
-    Checks only read, so a few run at once. Appends to one folder share its
-    commit area and run one after another; each is a Spark job over the whole
-    cluster. A file that fails does not stop the others. ``validate_after``
-    judges the loaded table instead of the files.
+    Two queries do the work however many files there are: ``file_gate`` judges
+    all of them, and one load takes those that passed. A file that fails stops
+    no other: under ``abort`` one bad value keeps the whole file out, under
+    ``quarantine`` its bad rows. ``validate_after`` judges the loaded table
+    instead of the files. The seconds of the load are dealt out by rows.
     """
     checks = not skip_qc and not validate_after
-
-    def passed(path: str) -> tuple[bool, str | None]:
-        try:
-            rows = file_quality(spark, contract, path).select("passed").collect()
-            return bool(rows) and all(r["passed"] for r in rows), None
-        except Exception as error:  # noqa: BLE001 - reported per file
-            return False, str(error).splitlines()[0]
-
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        verdicts = dict(zip(paths, pool.map(passed, paths))) if checks else {}
-        results = []
-        for path in paths:
-            good, error = verdicts.get(path, (True, None))
-            if not good:
-                results.append(LoadResult(contract.table_name, path, "failed" if error else "qc_failed", error=error))
-            elif validate_only:
-                results.append(LoadResult(contract.table_name, path, "qc_passed"))
-            else:
-                results.append(load_contract(spark, contract, path, target, **options))
+    ragged = reject_ragged and on_error == "quarantine"
+    verdicts = file_gate(spark, contract, paths, checks, ragged)
+    results, good = [], []
+    for path in paths:
+        v = verdicts[path]
+        result = LoadResult(contract.table_name, path, "failed", error=v.error)
+        if v.error is None and not v.passed:
+            result.status = "qc_failed"
+        elif v.error is None and validate_only:
+            result.status = "qc_passed"
+        elif v.open_quotes:
+            result.error = f"a quote is not closed on its line: {v.open_quotes} lines"
+        elif on_error == "abort" and v.refused:
+            result.error = f"{v.refused} rows do not fit their types: {v.example}"
+        elif v.error is None:
+            result.status = "success"
+            result.rows_rejected = v.refused if on_error == "quarantine" else 0
+            result.rows_loaded = v.rows - result.rows_rejected
+            good.append(result)
+        results.append(result)
+    if good:
+        whole = load_contract(
+            spark, contract, [r.source for r in good], target, on_error=on_error, reject_ragged=reject_ragged, **options
+        )
+        expected = sum(r.rows_loaded for r in good)
+        for r in good:
+            r.seconds = whole.seconds * (r.rows_loaded / expected if expected else 1 / len(good))
+            if whole.status != "success":
+                r.status, r.error, r.rows_loaded, r.rows_rejected = whole.status, whole.error, 0, 0
+        if whole.status == "success" and whole.rows_loaded != expected:
+            raise RuntimeError(f"{whole.rows_loaded} rows were loaded where {expected} had been judged: files changed meanwhile")
     loaded = [r for r in results if r.status == "success"]
     if validate_after and loaded:
-        whole = complete_periods(spark, contract, [r.source for r in loaded], target)
+        complete = complete_periods(spark, contract, [r.source for r in loaded], target)
         for result in loaded:
-            result.status = "success" if result.source in whole else "loaded_with_issues"
+            result.status = "success" if result.source in complete else "loaded_with_issues"
     return results_frame(spark, results)
 
 
@@ -268,7 +370,7 @@ def complete_periods(spark: SparkSession, contract: Contract, paths: list[str],
     One scan of the table's date column answers for all paths; what is joined
     has one row per path and day.
     """
-    named = literal_frame(spark, [(p,) for p in paths], "path string")
+    named = spark.createDataFrame([(p,) for p in paths], "path string")
     lo, hi = inventory.period_from_name(F.col("path"))
     wanted = named.select("path", lo.alias("lo"), hi.alias("hi")).filter("lo <= hi")
     wanted = wanted.select("path", F.explode(F.sequence("lo", "hi")).alias("d"))

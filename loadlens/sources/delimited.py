@@ -13,6 +13,7 @@ DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 RAGGED = "_ragged_line"
 SOURCE = "_source_file"
+OPEN_QUOTE = "_open_quote"
 
 # Types whose text must read as a number; Spark's own cast would also take a Java suffix such as 12d.
 _NUMERIC = ("tinyint", "smallint", "int", "integer", "bigint", "float", "real", "double", "decimal")
@@ -56,21 +57,24 @@ def without_cr(value: Column) -> Column:
     return F.when(value.endswith("\r"), F.left(value, F.char_length(value) - 1)).otherwise(value)
 
 
-def _split_scan(spark: SparkSession, paths, columns, delimiter: str, quote: str | None, ragged: bool) -> DataFrame:
+def _split_scan(
+    spark: SparkSession, paths, columns, delimiter: str, quote: str | None, ragged: bool, flag_open: bool
+) -> DataFrame:
     """Text columns cut out of raw lines, by the same rules as the file checks.
 
     Blank lines are rows, every byte is kept, and a line whose quotes do not
-    pair up fails the scan: its record goes on in the next line.
+    pair up fails the scan, or is flagged: its record goes on in the next line.
     """
     line = without_cr(F.col("value"))
-    if quote:
+    unpaired = occurrences(line, quote) % 2 != 0 if quote else F.lit(False)
+    if quote and not flag_open:
         open_quote = F.raise_error(F.concat(F.lit("a quote is not closed on its line: "), F.left(line, F.lit(200))))
-        line = F.when(occurrences(line, quote) % 2 != 0, open_quote.cast("string")).otherwise(line)
-    lines = read_lines(spark, paths).select("file", line.alias("value"))
-    cut = lines.select("file", "value", fields(F.col("value"), delimiter, quote).alias("_cells"))
+        line = F.when(unpaired, open_quote.cast("string")).otherwise(line)
+    lines = read_lines(spark, paths).select("file", line.alias("value"), unpaired.alias(OPEN_QUOTE))
+    cut = lines.select("file", "value", OPEN_QUOTE, fields(F.col("value"), delimiter, quote).alias("_cells"))
     cells = [F.try_element_at("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns, 1)]
     out = [F.when(F.size("_cells") != len(cells), F.col("value")).alias(RAGGED)] if ragged else []
-    return cut.select(*cells, *out, F.col("file").alias(SOURCE))
+    return cut.select(*cells, *out, F.col("file").alias(SOURCE), OPEN_QUOTE)
 
 
 def scan_delimited(
@@ -86,6 +90,7 @@ def scan_delimited(
     flag_ragged: bool = False,
     with_source: bool = False,
     multiline: bool = False,
+    flag_open: bool = False,
 ) -> DataFrame:
     """All columns as text, null tokens applied unless ``keep_raw``.
 
@@ -93,7 +98,8 @@ def scan_delimited(
     archive fails the job. ``multiline`` lets a quoted cell hold line feeds;
     a file is then one task. Files with a header line, with records over
     several lines or in another encoding go through the CSV reader, which
-    skips blank lines.
+    skips blank lines. ``flag_open`` tells lines with an open quote apart
+    instead of failing.
     """
     last = columns[-1]
     if header or encoding or multiline:
@@ -103,17 +109,19 @@ def scan_delimited(
             .options(**options)
             .option("recursiveFileLookup", "true")
             .csv(paths)
-            .withColumn(SOURCE, F.col("_metadata.file_path"))
+            .withColumns({SOURCE: F.col("_metadata.file_path"), OPEN_QUOTE: F.lit(False)})
         )
         cell = lambda c: without_cr(F.col(f"`{c}`")) if c == last and not multiline else F.col(f"`{c}`")
     else:
-        df = _split_scan(spark, paths, columns, delimiter, quote, flag_ragged)
+        df = _split_scan(spark, paths, columns, delimiter, quote, flag_ragged, flag_open)
         cell = lambda c: F.col(f"`{c}`")
     out = [(cell(c) if keep_raw else null_if(cell(c), null_tokens)).alias(c) for c in columns]
     if flag_ragged:
         out.append(F.col(RAGGED))
     if with_source:
         out.append(F.col(SOURCE))
+    if flag_open:
+        out.append(F.col(OPEN_QUOTE))
     return df.select(*out)
 
 
