@@ -39,6 +39,9 @@ class Target:
     key_columns: list[str] = field(default_factory=list)
     start: object = None
     end: object = None
+    #: What a stored summary holds, to be used in place of a scan: the daily series, and keys with ``n`` and ``has_null``.
+    series: DataFrame | None = None
+    sizes: DataFrame | None = None
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -87,6 +90,10 @@ def daily_series_of(
                 frames.append(row_total(t))
             continue
         bounds = (t.start, t.end) if push_range else (None, None)
+        if t.series is not None:
+            known = t.series if None in bounds else days(t.series, *bounds)
+            frames.append(known.select(F.lit(t.table_name).alias("table_name"), "d", "n", *(_range_columns(t) if with_range else ())))
+            continue
         frames.append(daily_series(t.df, t.date_column, t.table_name, *bounds, extra=_range_columns(t) if with_range else ()))
     return union_all(frames)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -222,7 +224,7 @@ def audit_tables(
 def validate_month(spark: SparkSession, targets: list[Target], month: str, **options) -> DataFrame:
     """Validation of every target for one month."""
     first, last = dates.month_range(month)
-    dated = [Target(t.table_name, t.df, t.date_column, t.key_columns, first, last) for t in targets]
+    dated = [replace(t, start=first, end=last) for t in targets]
     return validate_tables(spark, dated, **options)
 
 

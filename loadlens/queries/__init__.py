@@ -49,5 +49,6 @@ def load_all() -> None:
         profile_queries,
         scalar_queries,
         series_queries,
+        stored_queries,
         stream_queries,
     )
