@@ -125,15 +125,17 @@ def load_contract(
 
 
 def date_cells(spark: SparkSession, contract: Contract, paths) -> DataFrame:
-    """Lines of a contract's files with their date cell.
+    """Lines of a contract's files, or records if these may span lines, with their date cell.
 
     The cell is null where the row is too short to have one. Only the date
     cell of a line is kept.
     """
     index = contract.expected_columns.index(contract.date_column)
+    spanning = contract.multiline and contract.quote_char
+    lines = delimited.read_records(spark, paths, contract.quote_char) if spanning else read_lines(spark, paths)
     line = F.rtrim(F.col("value"), F.lit("\r"))
     cell = F.when(F.octet_length(line) > 0, strip(field_at(line, contract.separator, index, contract.quote_char)))
-    return read_lines(spark, paths).withColumn("cell", cell)
+    return lines.withColumn("cell", cell)
 
 
 def file_quality(
@@ -144,14 +146,10 @@ def file_quality(
     The expected days come from the arguments, else from the file's name. One
     scan reduces each file to rows per day; what follows has at most one row
     per file and day. The list of missing days is whole unless ``listed`` cuts
-    it, which ``truncated`` then tells. A header is the first line of a file,
-    whatever it says. Records over several lines are checked by the reader
-    that loads them, so their width is not known.
+    it, which ``truncated`` then tells. A header is the first line or record of
+    a file, whatever it says.
     """
-    if contract.multiline:
-        cells = _record_cells(spark, contract, paths)
-    else:
-        cells = date_cells(spark, contract, paths)
+    cells = date_cells(spark, contract, paths)
     columns = field_count(F.col("value"), contract.separator, contract.quote_char)
     at_start = F.when(F.col("block") == 0, F.col("seq"))
     day = dates.parse_file_date(F.col("cell"))
@@ -160,7 +158,7 @@ def file_quality(
         .groupBy("file", "d", (F.col("has_cell") & F.col("d").isNull()).alias("bad"))
         .agg(F.count("*").alias("n"), F.min_by("w", "s").alias("w"), F.min("s").alias("s"))
     )
-    if contract.header and not contract.multiline:
+    if contract.header:
         is_first = F.col("s") == F.min("s").over(Window.partitionBy("file"))
         per_day = per_day.withColumn("n", F.col("n") - F.coalesce(is_first.cast("int"), F.lit(0)))
     if start is not None and end is not None:
@@ -189,7 +187,7 @@ def file_quality(
         .withColumn("missing_date_list", F.array_sort(F.coalesce(missing, nothing)))
         .withColumn("truncated", F.lit(False) if listed is None else F.size("missing_date_list") > listed)
         .withColumn("missing_date_list", F.col("missing_date_list") if listed is None else F.slice("missing_date_list", 1, listed))
-        .withColumn("schema_match", F.lit(True) if contract.multiline else F.col("actual_columns") == len(contract.expected_columns))
+        .withColumn("schema_match", F.col("actual_columns") == len(contract.expected_columns))
         .withColumn("dates_passed", dated)
         .withColumn("passed", F.coalesce(F.col("schema_match") & F.col("dates_passed"), F.lit(False)))
         .drop("lo", "hi", "present")
@@ -210,16 +208,6 @@ def invalid_file_dates(spark: SparkSession, contract: Contract, paths, limit: in
     return numbered if limit is None else first_of_each(numbered, "file", ["line_no"], limit)
 
 
-def _record_cells(spark: SparkSession, contract: Contract, paths) -> DataFrame:
-    """The date cells of a contract whose records may span lines, shaped like ``date_cells``."""
-    rows = read_contract(spark, contract, paths, source=True)
-    nothing = F.lit(None).cast("bigint")
-    return rows.select(
-        F.col(SOURCE).alias("file"), nothing.alias("block"), nothing.alias("seq"), F.lit(None).cast("string").alias("value"),
-        strip(F.col(contract.date_column)).alias("cell"),
-    )
-
-
 @dataclass
 class Verdict:
     """What the gate found out about one of the given paths."""

@@ -434,3 +434,41 @@ def contract_proposals(spark, folder):
     table(spark, folder, "customer").write.option("header", "true").option("sep", ",").csv(target)
     out = profile.propose_contracts(lines.read_lines(spark, target), date_column="recordDate")
     return out.select("file_format", "delimiter", F.concat_ws(",", "expected_columns").alias("columns")).distinct()
+
+
+NOTES = Contract(
+    "notes.csv", "notes", ("c_custkey", "c_note", "c_acctbal"), None, ("c_custkey",), delimiter=",", quote_char='"',
+    types={"c_custkey": "bigint", "c_acctbal": "double"}, multiline=True,
+)
+
+
+def notes_landing(spark, folder) -> str:
+    """Customers with a quoted note of one to four lines that holds separators and quotes."""
+    target = scratch(spark, "customer-notes")
+    quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    note = F.concat(F.col("c_name"), F.repeat(F.lit('\n"so", '), F.pmod("c_custkey", F.lit(4)).cast("int")))
+    rows = table(spark, folder, "customer").select(F.concat_ws(",", F.col("c_custkey").cast("string"), quote(note), F.col("c_acctbal").cast("string")).alias("value"))
+    rows.write.text(target)
+    return target
+
+
+@query(
+    "quoted_records",
+    """SELECT c_custkey, c_name || repeat(chr(10) || '"so", ', CAST(c_custkey % 4 AS INT)) AS c_note, c_acctbal FROM customer""",
+)
+def quoted_records_query(spark, folder):
+    """Records over several lines, read back as typed rows."""
+    rows = op.read_contract(spark, NOTES, notes_landing(spark, folder))
+    return delimited.apply_types(rows, NOTES.types)
+
+
+@query(
+    "quoted_record_widths",
+    """SELECT CAST(c_custkey % 4 + 1 AS BIGINT) AS lines, 3 AS columns, count(*) AS records FROM customer GROUP BY ALL""",
+)
+def quoted_record_widths(spark, folder):
+    """Records by the lines they span and their width."""
+    records = delimited.read_records(spark, notes_landing(spark, folder), '"')
+    breaks = F.char_length("value") - F.char_length(F.replace("value", F.lit("\n"), F.lit("")))
+    told = records.select((breaks + 1).cast("bigint").alias("lines"), structure.width(",", '"').cast("int").alias("columns"))
+    return told.groupBy("lines", "columns").agg(F.count("*").alias("records"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.functions.text import LOAD_NULLS, fields, is_number, null_if, occurrences
 from loadlens.sources.lines import read_lines
+from loadlens.sources.records import quoted_records
 
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -58,7 +59,7 @@ def without_cr(value: Column) -> Column:
 
 
 def _split_scan(
-    spark: SparkSession, paths, columns, delimiter: str, quote: str | None, ragged: bool, flag_open: bool
+    lines: DataFrame, columns, delimiter: str, quote: str | None, ragged: bool, flag_open: bool
 ) -> DataFrame:
     """Text columns cut out of raw lines, by the same rules as the file checks.
 
@@ -70,13 +71,22 @@ def _split_scan(
     if quote and not flag_open:
         open_quote = F.raise_error(F.concat(F.lit("a quote is not closed on its line: "), F.left(line, F.lit(200))))
         line = F.when(unpaired, open_quote.cast("string")).otherwise(line)
-    lines = read_lines(spark, paths).select("file", line.alias("value"), unpaired.alias(OPEN_QUOTE))
+    lines = lines.select("file", line.alias("value"), unpaired.alias(OPEN_QUOTE))
     cut = lines.select("file", "value", OPEN_QUOTE, fields(F.col("value"), delimiter, quote).alias("_cells"))
     cells = [F.try_element_at("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns, 1)]
     out = [F.when(F.size("_cells") != len(cells), F.col("value")).alias(RAGGED)] if ragged else []
     return cut.select(*cells, *out, F.col("file").alias(SOURCE), OPEN_QUOTE)
 
 
+def read_records(spark: SparkSession, paths, quote: str, header: bool = False) -> DataFrame:
+    """Records that may span lines as a lines DataFrame, without blank ones and without a header."""
+    records = quoted_records(read_lines(spark, paths), quote).filter(without_cr(F.col("value")) != "")
+    if not header:
+        return records
+    first = Window.partitionBy("file", "block")
+    return records.withColumn("_first", F.min("seq").over(first)).filter("block > 0 OR seq > _first").drop("_first")
+
+
 def scan_delimited(
     spark: SparkSession,
     paths: str | list[str],
@@ -96,13 +106,15 @@ def scan_delimited(
 
     Compressed files are read through their extension's codec; a broken
     archive fails the job. ``multiline`` lets a quoted cell hold line feeds;
-    a file is then one task. Files with a header line, with records over
-    several lines or in another encoding go through the CSV reader, which
-    skips blank lines. ``flag_open`` tells lines with an open quote apart
+    records are then cut in parallel and blank ones skipped. Files of single
+    lines with a header, or in another encoding, go through the CSV reader,
+    which skips blank lines; in another encoding a file with records over
+    several lines is one task. ``flag_open`` tells lines with an open quote apart
     instead of failing.
     """
     last = columns[-1]
-    if header or encoding or multiline:
+    spanning = multiline and quote and not encoding
+    if (header and not spanning) or encoding:
         options = scan_options(delimiter, quote, header, encoding, flag_ragged, multiline)
         df = (
             spark.read.schema(string_schema(columns, flag_ragged))
@@ -113,7 +125,8 @@ def scan_delimited(
         )
         cell = lambda c: without_cr(F.col(f"`{c}`")) if c == last and not multiline else F.col(f"`{c}`")
     else:
-        df = _split_scan(spark, paths, columns, delimiter, quote, flag_ragged, flag_open)
+        lines = read_records(spark, paths, quote, header) if spanning else read_lines(spark, paths)
+        df = _split_scan(lines, columns, delimiter, quote, flag_ragged, flag_open)
         cell = lambda c: F.col(f"`{c}`")
     out = [(cell(c) if keep_raw else null_if(cell(c), null_tokens)).alias(c) for c in columns]
     if flag_ragged:
