@@ -45,6 +45,7 @@ def load_all() -> None:
         file_queries,
         head_queries,
         history_queries,
+        key_queries,
         line_queries,
         profile_queries,
         scalar_queries,
