@@ -458,15 +458,20 @@ def shared_passages(
     return found.withColumn("kind", F.lit("passage")).unionByName(copies.distinct())
 
 
-def without_repeats(docs: DataFrame, **options) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without the passages that a document of smaller id holds; those left without a word go.
 
     A cut takes a span's words and the white space after them. ``n_chars``
-    follows the text where it changed.
+    follows the text where it changed. Spans are told by id, so rows of an id
+    that stands with several different texts are left as they are. Other
+    columns come back unchanged, whatever their names.
     """
     import re
 
-    spans = shared_passages(docs, **options).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    spans = shared_passages(plain, **options).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
+    hashed = plain.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b"))
+    spans = spans.join(hashed.filter("a <> b").select("doc_id"), "doc_id", "left_anti")
     spans = written(spans.withColumnRenamed("doc_id", "_id"), "spans")
 
     @F.pandas_udf("string")
@@ -484,11 +489,12 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
             out.append(text[: starts[0]] + "".join(text[starts[i] : starts[i + 1]] for i in np.flatnonzero(~drop)))
         return pd.Series(out)
 
-    joined = docs.join(spans, docs["doc_id"] == spans["_id"], "left")
-    changed = joined.withColumn("_text", cut("text", "_spans"))
-    if "n_chars" in docs.columns:
-        shorter = F.col("_spans").isNotNull()
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(shorter, F.length("_text").cast(kind)).otherwise(F.col("n_chars")))
-    left = changed.filter(F.col("_spans").isNull() | (F.regexp_replace("_text", r"[\x20\x09-\x0D]+", "") != ""))
-    return left.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_body"), F.struct(*docs.columns).alias("_row"))
+    joined = rows.join(spans, rows["_key"] == spans["_id"], "left").withColumn("_cut", cut("_body", "_spans"))
+    left = joined.filter(F.col("_spans").isNull() | (F.regexp_replace("_cut", r"[\x20\x09-\x0D]+", "") != ""))
+    out = {c: F.col("_row")[c] for c in docs.columns}
+    out[text_col] = F.col("_cut")
+    if "n_chars" in out:
+        length = F.length("_cut").cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(F.col("_spans").isNotNull(), length).otherwise(out["n_chars"])
+    return left.select(*[value.alias(c) for c, value in out.items()])

@@ -501,3 +501,13 @@ def test_models_are_read_whole():
     assert len(common.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))) > 100_000
     with pytest.raises(ValueError):
         common.model_bytes(public_tokenizers.path("piece_bpe_32k.model"), 10)
+
+
+def test_cuts_leave_repeated_ids_and_clashing_columns_alone(spark):
+    shared, own = " ".join(words(90, 1)), " ".join(words(120, 2))
+    rows = [(1, shared), (2, shared + " and more words here"), (3, own), (4, shared + " at the end"), (4, own + " other")]
+    docs = spark.createDataFrame(rows, "key long, body string").withColumns({n: F.lit("kept") for n in ("_text", "_spans", "_key", "doc_id", "text")})
+    left = {(x["key"], x["body"], x["_text"], x["_spans"], x["_key"], x["doc_id"], x["text"]) for x in
+            passages.without_repeats(docs, id_col="key", text_col="body").collect()}
+    kept = ("kept",) * 5
+    assert left == {(1, shared, *kept), (2, "and more words here", *kept), (3, own, *kept), *[(k, t, *kept) for k, t in rows[3:]]}
