@@ -1,6 +1,7 @@
 """Stored summaries of a table, brought up to date from its changed files only.
 
-``StoredSeries`` keeps rows per file and day, ``StoredKeys`` rows per key. A
+``StoredSeries`` keeps rows per file and day, ``StoredSketches`` sketches of the
+columns per file and month, ``StoredKeys`` rows per key. A
 refresh compares the table's files with those the summary was made from: files
 that are new are read, files that are gone are taken out. Data files are told
 by their names, as writers never change a file in place.
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.functions import dates
+from loadlens.operators import sketches
 from loadlens.operators.duplicates import null_key
 
 _FILE = "_metadata.file_path"
@@ -78,19 +80,27 @@ def _rows_of(table: DataFrame, files: list[str], counted: Observation | None = N
     return rows.observe(counted, F.count(F.lit(1)).alias("n")) if counted is not None else rows
 
 
-class StoredSeries:
-    """Rows per file and day of one table."""
+class _PerFile:
+    """A summary with rows per data file; every file has one at least, so that it is known."""
 
-    SCHEMA = "file string, d date, n bigint"
+    PART, SCHEMA = "", ""
 
-    def __init__(self, spark: SparkSession, path: str, date_column: str, table_name: str = ""):
-        self.spark, self.date_column, self.table_name = spark, date_column, table_name
-        self.path = path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
         self._versions = _Versions(spark, path)
 
     def _stored(self) -> DataFrame | None:
-        known = self._versions.complete("series")
-        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/series/v{known[-1]}") if known else None
+        known = self._versions.complete(self.PART)
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{self.PART}/v{known[-1]}") if known else None
+
+    def _made(self) -> DataFrame:
+        stored = self._stored()
+        if stored is None:
+            raise ValueError(f"the {self.PART} has not been made yet")
+        return stored
+
+    def _summary(self, rows: DataFrame, table: DataFrame) -> DataFrame:
+        raise NotImplementedError
 
     def refresh(self, table: DataFrame) -> Refresh:
         """Bring the summary up to date with the table; only its new files are read."""
@@ -100,32 +110,63 @@ class StoredSeries:
         known = stored.select("file").distinct()
         added = [r["file"] for r in now.join(known, "file", "left_anti").collect()]
         removed = known.join(now, "file", "left_anti").count()
-        versions = self._versions.complete("series")
+        versions = self._versions.complete(self.PART)
         if not added and not removed and versions:
             return Refresh(versions[-1], 0, 0, 0)
-        read, version = Observation(), self._versions.used("series") + 1
-        kept = stored.join(now, "file", "left_semi")
+        read, version = Observation(), self._versions.used(self.PART) + 1
+        kept = stored.join(now, "file", "left_semi").select(*stored.columns)
         if added:
-            rows = _rows_of(table, added, read)
-            fresh = rows.groupBy(F.col("_file").alias("file"), dates.as_date(table, self.date_column).alias("d")).agg(F.count("*").alias("n"))
-            # Every file has a row, also one without rows of its own, so that it is known.
+            kept = kept.unionByName(self._summary(_rows_of(table, added, read), table))
             marks = self.spark.createDataFrame([(f,) for f in added], "file string")
-            kept = kept.unionByName(fresh).unionByName(marks.select("file", F.lit(None).cast("date").alias("d"), F.lit(0).cast("bigint").alias("n")))
-        kept.hint("rebalance").write.parquet(f"{self.path}/series/v{version}")
+            kept = kept.unionByName(marks, allowMissingColumns=True)
+        kept.hint("rebalance").write.parquet(f"{self.path}/{self.PART}/v{version}")
         return Refresh(version, len(added), removed, read.get["n"] if added else 0)
 
+    def drop_old(self) -> None:
+        """Remove all versions but the last."""
+        for version in self._versions.complete(self.PART)[:-1]:
+            self._versions.remove(self.PART, version)
+
+
+class StoredSeries(_PerFile):
+    """Rows per file and day of one table."""
+
+    PART, SCHEMA = "series", "file string, d date, n bigint"
+
+    def __init__(self, spark: SparkSession, path: str, date_column: str, table_name: str = ""):
+        super().__init__(spark, path)
+        self.date_column, self.table_name = date_column, table_name
+
+    def _summary(self, rows: DataFrame, table: DataFrame) -> DataFrame:
+        day = dates.as_date(table, self.date_column).alias("d")
+        return rows.groupBy(F.col("_file").alias("file"), day).agg(F.count("*").alias("n"))
+
     def series(self) -> DataFrame:
         """The daily series as ``series.daily_series`` gives it."""
-        stored = self._stored()
-        if stored is None:
-            raise ValueError("the series has not been made yet")
-        days = stored.groupBy("d").agg(F.sum("n").alias("n")).filter("n > 0")
+        days = self._made().groupBy("d").agg(F.sum("n").alias("n")).filter("n > 0")
         return days.select(F.lit(self.table_name).alias("table_name"), "d", "n")
 
-    def drop_old(self) -> None:
-        """Remove all versions but the last."""
-        for version in self._versions.complete("series")[:-1]:
-            self._versions.remove("series", version)
+
+class StoredSketches(_PerFile):
+    """Sketches of every column per file and month of one table; rows whose date does not parse have no month."""
+
+    PART, SCHEMA = "sketches", f"file string, month string, {sketches.SKETCH}"
+
+    def __init__(self, spark: SparkSession, path: str, date_column: str, columns: list[str] | None = None):
+        super().__init__(spark, path)
+        self.date_column, self.columns = date_column, columns
+
+    def _summary(self, rows: DataFrame, table: DataFrame) -> DataFrame:
+        month = F.date_format(dates.as_date(table, self.date_column), "yyyy-MM").alias("month")
+        names = self.columns or table.columns
+        return sketches.column_sketches(rows, F.col("_file").alias("file"), month, columns=names)
+
+    def profile(self, first: str | None = None, last: str | None = None, by_month: bool = False) -> DataFrame:
+        """Profile of the months from ``first`` to ``last`` (both ``YYYY-MM``), or of all rows."""
+        known = self._made().filter("column_name IS NOT NULL")
+        for month, test in ((first, ">="), (last, "<=")):
+            known = known if month is None else known.filter(F.expr(f"month {test} '{month}'"))
+        return sketches.profile_of(sketches.united(known, *(["month"] if by_month else [])))
 
 
 class StoredKeys:

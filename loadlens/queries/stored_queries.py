@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadlens.operators import duplicates
+from loadlens.operators import duplicates, sketches
 from loadlens.operators.series import Target
 from loadlens.plans import audit, stored
 from loadlens.queries import query, table
@@ -88,3 +88,39 @@ def validate_month_stored(spark, folder):
     return out.select(
         "table_name", "row_count", "total_rows", "unique_dates", F.col("missing_dates").cast("bigint").alias("missing_dates"), "duplicate_keys"
     )
+
+
+_PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+@query(
+    "stored_profile",
+    "WITH t AS (SELECT * FROM orders WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1995-01' AND '1996-12' AND "
+    + _LEFT
+    + ") "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"{'min(' + c + ')' if c not in ('o_orderstatus', 'o_orderpriority') else 'NULL'}::DOUBLE AS low_number, "
+        f"true AS distinct_near, {'true' if c not in ('o_orderstatus', 'o_orderpriority') else 'NULL'} AS median_near FROM t"
+        for c in _PROFILED
+    ),
+)
+def stored_profile(spark, folder):
+    """Two years' profile united from sketches per file and month, held against the exact counts of the rows."""
+    kept = stored.StoredSketches(spark, scratch(spark, "orders-sketches"), "o_orderdate", _PROFILED)
+    left, _, _ = _changed_table(spark, folder, [kept])
+    told = kept.profile("1995-01", "1996-12")
+    rows = left.filter(F.date_format("o_orderdate", "yyyy-MM").between("1995-01", "1996-12"))
+    exact = rows.agg(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in _PROFILED
+    ]).alias("x")).select(F.inline("x"))
+    medians = told.filter("quantile_estimates IS NOT NULL").select("column_name", F.col("quantile_estimates")[1].alias("median"))
+    values = rows.select(*[F.col(c).cast("double").alias(c) for c in _PROFILED if c not in ("o_orderstatus", "o_orderpriority")])
+    ranked = values.unpivot([], values.columns, "column_name", "value").join(medians, "column_name").groupBy("column_name").agg(
+        F.avg((F.col("value") < F.col("median")).cast("double")).alias("under"), F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto")
+    )
+    near = (F.col("under") <= 0.5 + sketches.RANK_BOUND) & (F.col("upto") >= 0.5 - sketches.RANK_BOUND)
+    off = F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.col("exact") * sketches.DISTINCT_BOUND
+    return told.join(exact, "column_name").join(ranked, "column_name", "left").select(
+        "column_name", "row_count", "null_count", "low_number", off.alias("distinct_near"), near.alias("median_near")
+    )
