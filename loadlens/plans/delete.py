@@ -180,11 +180,11 @@ def _delete_from_months(spark: SparkSession, df: DataFrame, target: Deletion, co
     spark.catalog.refreshTable(table)
 
 
-def _rewrite(spark: SparkSession, df: DataFrame, target: Deletion, partitions: list[str]) -> tuple[str, int]:
+def _rewrite(spark: SparkSession, df: DataFrame, targets: list[Deletion], partitions: list[str]) -> tuple[str, int]:
     """Write the rows that stay to a new folder; return it with their number."""
-    folder = scratch(spark, target.table_name.replace(".", "_"))
+    folder = scratch(spark, targets[0].table_name.replace(".", "_"))
     seen = Observation()
-    kept = keep_rows(df, [target]).observe(seen, F.count(F.lit(1)).alias("kept"))
+    kept = keep_rows(df, targets).observe(seen, F.count(F.lit(1)).alias("kept"))
     writer = kept.write
     if partitions:
         writer = writer.partitionBy(*partitions)
@@ -233,7 +233,7 @@ def delete_period(
             return _undone(spark, target, total, recovery, error)
         return _record(target, "success", total, hits, recovery)
     before = _location(spark, target.table_name)
-    folder, kept = _rewrite(spark, df, target, _partition_columns(spark, target.table_name))
+    folder, kept = _rewrite(spark, df, [target], _partition_columns(spark, target.table_name))
     if total - kept != hits:
         return _record(target, "failed", total, 0, before, "table changed during the delete")
     try:
@@ -269,14 +269,71 @@ def restore(spark: SparkSession, table: str, recovery: str) -> None:
 def delete_periods(
     spark: SparkSession, targets: list[Deletion], dry_run: bool = True, month_partition: str | None = None
 ) -> DataFrame:
-    """Delete several periods, one after another; a failure does not stop the rest."""
-    rows = []
-    for target in targets:
-        try:
-            rows.append(delete_period(spark, target, dry_run, month_partition))
-        except Exception as error:  # noqa: BLE001 - recorded per target
-            rows.append(_record(target, "failed", 0, 0, error=str(error).splitlines()[0]))
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    """Delete several periods; a table that fails does not stop the others.
+
+    All periods of a table are counted in one scan and go in one rewrite. A row
+    of several periods counts for the first of them, as if they went one after
+    another; a dry run counts each on its own. In a table partitioned by month
+    nothing is rewritten for whole months, so its periods go one by one.
+    """
+    rows: dict[int, tuple] = {}
+    tables: dict[str, list[int]] = {}
+    for k, target in enumerate(targets):
+        tables.setdefault(target.table_name, []).append(k)
+    for places in tables.values():
+        some = [targets[k] for k in places]
+        together = len(some) > 1 and not month_partition
+        for group in [places] if together else [[k] for k in places]:
+            own = [targets[k] for k in group]
+            try:
+                done = _delete_together(spark, own, dry_run) if together else [delete_period(spark, own[0], dry_run, month_partition)]
+            except Exception as error:  # noqa: BLE001 - recorded per target
+                done = [_record(t, "failed", 0, 0, error=str(error).splitlines()[0]) for t in own]
+            rows.update(zip(group, done, strict=True))
+    return spark.createDataFrame([rows[k] for k in range(len(targets))], RESULT_SCHEMA)
+
+
+def _delete_together(spark: SparkSession, targets: list[Deletion], dry_run: bool) -> list[tuple]:
+    """Delete several periods of one table with one scan and one rewrite; each record recovers the table as it was before all."""
+    table = targets[0].table_name
+    if not spark.catalog.tableExists(table):
+        return [_record(t, "failed", 0, 0, error=f"table {table} not found") for t in targets]
+    df = spark.table(table)
+    known = [c.lower() for c in df.columns]
+    good = [t for t in targets if t.date_column.lower() in known]
+    counts, earlier = [], F.lit(False)
+    for k, t in enumerate(good):
+        inside = in_period(df, t)
+        counts.append(F.count_if(inside if dry_run else inside & ~earlier).alias(f"n{k}"))
+        earlier = earlier | inside
+    found = df.agg(F.count(F.lit(1)).alias("total"), *counts).first()
+    hits = {id(t): found[f"n{k}"] for k, t in enumerate(good)}
+    doomed = [t for t in good if hits[id(t)]]
+    before, error = None, None
+    if doomed and not dry_run:
+        before = _location(spark, table)
+        folder, kept = _rewrite(spark, df, doomed, _partition_columns(spark, table))
+        if found["total"] - kept != sum(hits.values()):
+            error = "table changed during the delete"
+        else:
+            try:
+                point_table_at(spark, table, folder)
+            except Exception as failure:  # noqa: BLE001 - undone and recorded
+                return [_undone(spark, t, found["total"], before, failure) for t in targets]
+    records, total = [], found["total"]
+    for t in targets:
+        if id(t) not in hits:
+            records.append(_record(t, "failed", 0, 0, error=f"column {t.date_column} not found"))
+        elif not hits[id(t)]:
+            records.append(_record(t, "skipped", total, 0, error="no matching rows"))
+        elif dry_run:
+            records.append(_record(t, "dry_run", total, hits[id(t)]))
+        elif error:
+            records.append(_record(t, "failed", total, 0, before, error))
+        else:
+            records.append(_record(t, "success", total, hits[id(t)], before))
+            total -= hits[id(t)]
+    return records
 
 
 def external_table(spark: SparkSession, df: DataFrame, name: str, partition_by: str | None = None) -> str:

@@ -126,3 +126,21 @@ def test_everything_with_a_date_can_go(spark, made, partitioned):
     assert spark.table(name).count() == 2
     op.restore(spark, name, done[7])
     assert spark.table(name).count() == 92
+
+
+def test_many_periods_go_in_one_rewrite(spark, made, monkeypatch):
+    import datetime as dt
+
+    name, written = made(), []
+    plain = op._rewrite
+    monkeypatch.setattr(op, "_rewrite", lambda *a: written.append(a[2]) or plain(*a))
+    # The second period overlaps the first, whose rows it no longer finds.
+    targets = [op.Deletion.of_month(name, "d", "2024-01"), op.Deletion(name, "d", dt.date(2024, 1, 20), dt.date(2024, 2, 10)),
+               op.Deletion.of_month(name, "d", "1999-01"), op.Deletion.of_month("gone", "d", "2024-01"), op.Deletion.of_month(name, "nope", "2024-01")]
+    got = op.delete_periods(spark, targets, dry_run=False).collect()
+    assert [(r["status"], r["total_rows_before"], r["rows_affected"]) for r in got] == [
+        ("success", 92, 31), ("success", 61, 10), ("skipped", 51, 0), ("failed", 0, 0), ("failed", 0, 0)
+    ]
+    assert len(written) == 1 and spark.table(name).count() == 51
+    op.restore(spark, name, got[1]["recovery"])
+    assert spark.table(name).count() == 92
