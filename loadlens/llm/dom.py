@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 # Element names by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -29,6 +30,8 @@ ENDED_BY = {
     "th": {"td", "th", "tr", "tbody", "thead", "tfoot"},
     "head": {"body"},
 }
+# The other way round: for a start tag, the open elements it ends.
+ENDS = {name: [k for k, enders in ENDED_BY.items() if name in enders] for name in set().union(*ENDED_BY.values())}
 # Words of class, id and role attributes that speak against or for main text.
 AGAINST = set(
     "nav navbar navigation menu header masthead banner footer foot sidebar side aside widget ad ads advert advertisement "
@@ -93,6 +96,8 @@ def parse(page: str) -> list[Node]:
     """
     root = Node("#root", None)
     order, stack = [root], [(root, "#root")]
+    # How many elements of each name are open, so that an end tag without its element costs nothing.
+    held: Counter[str] = Counter()
     words: list[str] = []
     link_chars, in_link, at, owner = 0, 0, 0, root
 
@@ -125,11 +130,12 @@ def parse(page: str) -> list[Node]:
         if closing:
             if name == "a":
                 in_link = 0
-            if any(n == name for _, n in stack[1:]):
+            if held[name]:
                 if name in BLOCKS:
                     flush()
                 while True:
                     _, popped = stack.pop()
+                    held[popped] -= 1
                     if popped == "a":
                         in_link = 0
                     if popped == name:
@@ -152,14 +158,18 @@ def parse(page: str) -> list[Node]:
         if name == "a":
             in_link = 1
             stack.append((owner, "a"))
+            held["a"] += 1
             continue
         if name not in BLOCKS:
             if not attributes.endswith("/"):
                 stack.append((owner, name))
+                held[name] += 1
             continue
         flush()
-        for k in range(len(stack) - 1, 0, -1):
+        ends = any(held[n] for n in ENDS.get(name, ()))
+        for k in range(len(stack) - 1, 0, -1) if ends else ():
             if name in ENDED_BY.get(stack[k][1], ()):
+                held.subtract(n for _, n in stack[k:])
                 del stack[k:]
                 in_link = 0
                 break
@@ -172,6 +182,7 @@ def parse(page: str) -> list[Node]:
         owner.children.append(node)
         order.append(node)
         stack.append((node, name))
+        held[name] += 1
         owner = node
     flush()
     return order

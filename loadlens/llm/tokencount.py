@@ -241,7 +241,9 @@ class PrefixCounter:
                 run = at, used
             if lead:
                 start, before = run
-                out += [before + self.total(text[start : at + k]) for k in range(1, lead + 1)]
+                # One table of the run has the count at each of its prefixes.
+                counts = self.prefixes(text[start : at + lead])
+                out += [before + n for n in counts[at - start + 1 :]]
             inner = self.prefixes(piece) if lead < len(piece) else ()
             out += [used + n for n in inner[lead + 1 :]]
             used += self.total(piece)

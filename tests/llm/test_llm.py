@@ -511,3 +511,16 @@ def test_cuts_leave_repeated_ids_and_clashing_columns_alone(spark):
             passages.without_repeats(docs, id_col="key", text_col="body").collect()}
     kept = ("kept",) * 5
     assert left == {(1, shared, *kept), (2, "and more words here", *kept), (3, own, *kept), *[(k, t, *kept) for k, t in rows[3:]]}
+
+
+def test_white_space_and_stray_tags_take_time_in_proportion():
+    import time
+
+    with open(queries.BYTE_MODEL, "rb") as f:
+        counter = tokencount._counter(f.read(), 4_000_000)
+    began = time.monotonic()
+    for run in (" " * 300_000, "\n" * 300_000, "a" + " \n" * 100_000 + "b"):
+        assert counter.all_prefixes(run)[-1] == counter.count(run)
+    page = "<p>" + "<i>" * 60_000 + "word " + "</b>" * 60_000 + "</p>" + "</td>" * 60_000 + "<p>end</p>"
+    assert [n.text for n in dom.parse(page) if n.text] == ["word", "end"]
+    assert time.monotonic() - began < 30
