@@ -62,25 +62,6 @@ def let_through(docs: DataFrame, id_col: str, text_col: str, flags: np.ndarray)
     return kept.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
 
 
-# A byte map in an expression is kept small: Spark writes literals out wherever it shows a plan.
-PROBES = 3
-
-
-def small_filter(hashes: DataFrame, size: int, probes: int = PROBES) -> bytes:
-    """A Bloom filter of the values of ``h``, a byte for each place."""
-    h = F.explode(F.array(*[F.xxhash64("h", F.lit(k)) for k in range(probes)]))
-    return place_map(hashes.select(h.alias("h")), size).tobytes()
-
-
-def may_hold(flags: bytes, h: Column, probes: int = PROBES) -> Column:
-    """Whether the filter knows the hash; never false for a hash that it was made of."""
-    at = lambda k: F.pmod(F.xxhash64(h, F.lit(k)), F.lit(len(flags))).cast("int") + 1
-    known = F.substring(F.lit(flags), at(0), 1) == F.lit(b"\x01")
-    for k in range(1, probes):
-        known = known & (F.substring(F.lit(flags), at(k), 1) == F.lit(b"\x01"))
-    return known
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows written as Parquet into the shared folder and read again: a cut in the lineage that outlives executors."""
     spark = df.sparkSession

@@ -12,11 +12,14 @@ Windows of plain folded words, without placeholders, are looked up as well and
 taken together with them: they find exact copies whose names are written in
 another case or after other white space, and those of items made of slots.
 
-All of it is built from SQL functions. The document side keeps only windows
-that a Bloom filter of fixed size, made from the benchmark's windows, knows
-before anything is exploded or shuffled, so the shuffle follows the matches.
-
-Null and blank texts match nothing. An item of fewer words than its window is
+All of it is built from SQL functions. Both kinds of words are made in one pass
+over a text, and the hashes of its windows meet those of the benchmark in a
+broadcast join inside the task that reads the text, so only matches are ever
+shuffled. The broadcast side holds at most ``BLOCK`` hashes; a larger benchmark
+takes one pass over the documents for each block of its windows.
+
+Null and blank texts match nothing. A text of any length is cut in one row of
+one task, in time in proportion to its length. Extra columns are ignored, whatever their names. An item of fewer words than its window is
 one window of its own length; an item without words cannot be found. Repeated
 documents give repeated evidence under their id and one row; items with null
 ids are left out, as a row could not name them. Names are words
@@ -29,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import let, may_hold, small_filter, words_of, written
+from loadlens.llm.common import words_of, written
 
 WINDOW = 8
 MIN_COVER = 0.5
@@ -37,8 +40,8 @@ MIN_COVER = 0.5
 NARROW = 4
 LONG_RUN = 25
 SALTS = 16
-# Bytes of the filters of window heads and of windows. Fuller ones let more through to the join; no window is lost.
-HEAD_BYTES, MAP_BYTES = 1 << 16, 1 << 17
+# Distinct hashes of windows broadcast at once, eight bytes each and about 32 in the hash table made of them.
+BLOCK = 1 << 20
 
 # Unit words that may follow a number.
 UNITS = (
@@ -47,7 +50,8 @@ UNITS = (
     "gram grams kilogram kilograms liter liters litre litres mile miles foot feet inch inches pound pounds dollar "
     "dollars euro euros cent cents percent degree degrees"
 ).split()
-NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
+# In ASCII, so that texts in ASCII stay so and are folded fast; a word of a text that has one of them counts as a slot.
+NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 
 
 def _canonical_text(text: Column) -> Column:
@@ -67,20 +71,16 @@ def canonical_words(text: Column) -> Column:
     return words_of(_canonical_text(text))
 
 
-def raw_words(text: Column) -> Column:
-    """The raw words behind ``canonical_words``, place by place."""
-    return F.filter(words_of(text), lambda w: w.rlike(rf"[\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}]"))
-
-
 def _is_slot(word: Column) -> Column:
     return word.rlike(f"[{NAME}{NUMBER}{UNIT}]")
 
 
 def plain_words(text: Column) -> Column:
-    """The raw words in lower case without the punctuation around them, place by place with ``canonical_words``."""
+    """The words in lower case without the punctuation around them, place by place with ``canonical_words``."""
     kept = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}"
     odd = rf"[^{kept}\x20\x09-\x0D]"
-    return words_of(F.lower(F.regexp_replace(text, rf"(?<![{kept}]){odd}++|{odd}++(?![{kept}])", "")))
+    # Begins with the odd character, so that other places cost one comparison: odd runs at a word's start, then at its end.
+    return words_of(F.lower(F.regexp_replace(text, rf"{odd}(?:(?<![{kept}]{odd}){odd}*+|{odd}*+(?![{kept}]))", "")))
 
 
 def _around(words: Column, at: Column, wide: Column, reach: int, before: str, after: str) -> tuple[Column, Column]:
@@ -90,14 +90,14 @@ def _around(words: Column, at: Column, wide: Column, reach: int, before: str, af
 
 
 def template_windows(items: DataFrame, id_col: str, text_col: str, window: int, plain: bool = False) -> DataFrame:
-    """Every window of every item: hash, place, words compared and raw words, and all compared words of the item.
+    """Every window of every item: hash, place, words compared, the same places' plain words, and the words around.
 
     Template windows of which over half the words are slots say nothing and are
     left out; plain windows are all kept.
     """
     words = plain_words if plain else canonical_words
     both = items.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("c"), raw_words(F.col(text_col)).alias("r")
+        F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("c"), plain_words(F.col(text_col)).alias("r")
     )
     n = F.size("c")
     wide = F.least(n, F.when(n < 3 * window, F.lit(min(NARROW, window))).otherwise(F.lit(window)))
@@ -108,83 +108,63 @@ def template_windows(items: DataFrame, id_col: str, text_col: str, window: int,
         *_around(F.col("c"), F.col("ipos"), F.col("wide"), window, "ibefore", "iafter"),
     )
     told = F.lit(plain) | (F.size(F.filter("icanon", lambda w: ~_is_slot(w))) * 2 >= F.col("wide"))
-    return cut.filter(told).withColumn("h", F.xxhash64("icanon"))
-
-
-def _hits(words: Column, widths: list[int], heads: bytes, wholes: bytes) -> Column:
-    """Place and width of the document's windows that the filters know: by their first two words, then whole."""
-    spot = lambda i, wide: F.struct(i.alias("pos"), F.lit(wide).alias("wide"))
-    none = F.array().cast("array<struct<pos:int,wide:int>>")
+    return cut.filter(told).select("*", F.lit(plain).alias("plain"), F.xxhash64("icanon").alias("h"))
 
-    def begun(c, step, some):
-        known = lambda i: may_hold(heads, F.xxhash64(F.get(c, i), F.get(c, i + step)), 1)
-        places = F.filter(F.sequence(F.lit(0), F.size(c) - 1 - step), known)
-        spots = F.flatten(F.transform(places, lambda i: F.array(*[spot(i, wide) for wide in some])))
-        return F.when(F.size(c) > step, spots).otherwise(none)
 
-    def whole(c, x):
-        inside = x["pos"] + x["wide"] <= F.size(c)
-        return inside & let(F.xxhash64(F.slice(c, x["pos"] + 1, x["wide"])), lambda h: may_hold(wholes, h))
+def _met(docs: DataFrame, id_col: str, text_col: str, hashes: DataFrame, kinds: list[tuple[bool, int]], window: int) -> DataFrame:
+    """The documents' windows, of the kinds (plain, width) given, whose hash is among the few ``hashes``.
 
-    steps = [(step, [w for w in widths if (w > 1) == step]) for step in (0, 1)]
-    return let(
-        words, lambda c: F.filter(F.concat(*[begun(c, step, some) for step, some in steps if some]), lambda x: whole(c, x))
-    )
+    The generators are outer ones: for others Spark adds filters on the size of
+    the array, which would make the words a second time.
+    """
+    text = F.col(text_col)
+    made = docs.select(F.col(id_col).alias("_id"), canonical_words(text).alias("c"), plain_words(text).alias("r"))
+    spots = made.select("_id", "c", "r", F.posexplode_outer("r").alias("pos", "_word"))
+
+    def keyed(plain: bool, wide: int) -> Column:
+        words = F.col("r" if plain else "c")
+        return F.when(F.col("pos") + wide <= F.size("r"), F.xxhash64(F.slice(words, F.col("pos") + 1, wide)))
+
+    keys = F.array(*[keyed(plain, wide) for plain, wide in kinds])
+    each = spots.select("_id", "c", "r", "pos", F.posexplode_outer(keys).alias("kind", "h"))
+    known = each.join(F.broadcast(hashes), "h")
+    wide = F.array(*[F.lit(w) for _, w in kinds])[F.col("kind")]
+    plain = F.array(*[F.lit(p) for p, _ in kinds])[F.col("kind")]
+    known = known.withColumn("wide", wide).withColumn("plain", plain).withColumn("w", F.when(F.col("plain"), F.col("r")).otherwise(F.col("c")))
+    return known.select(
+        "_id", "h", "pos", "wide", "plain",
+        F.slice("w", F.col("pos") + 1, F.col("wide")).alias("canon"), F.slice("r", F.col("pos") + 1, F.col("wide")).alias("raw"),
+        *_around(F.col("w"), F.col("pos"), F.col("wide"), window, "before", "after"),
+    )
 
 
 def matches(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, map_bytes: int = MAP_BYTES,
+    item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, block: int = BLOCK,
 ) -> DataFrame:
     """Equal windows, of template words with the values of their slots and of plain words.
 
     Columns: the id, ``item_id``, ``pos``, ``ipos``, ``wide`` and ``slots``, an array of (kind, item value, document value);
     ``covered``, the item's places in the window and equal ones beside it.
     """
+    both = [template_windows(items, item_col, item_text, window, plain) for plain in (False, True)]
+    own = written(both[0].unionByName(both[1]), "items")
+    kinds = sorted((r["plain"], r["wide"]) for r in own.select("plain", "wide").distinct().collect())
+    if not kinds:
+        types = [("item_id", dict(items.dtypes)[item_col]), ("pos", "int"), ("ipos", "int"), ("wide", "int"), ("plain", "boolean")]
+        types += [("covered", "array<int>"), ("slots", "array<struct<kind:string,item:string,doc:string>>")]
+        return docs.limit(0).select(F.col(id_col), *[F.lit(None).cast(t).alias(n) for n, t in types])
+    hashes = own.select("h").distinct()
+    blocks = -(-hashes.count() // block)
+    salted = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = None
-    for plain in (False, True):
-        own = template_windows(items, item_col, item_text, window, plain)
-        widths = sorted(r[0] for r in own.select("wide").distinct().collect())
-        if not widths:
-            continue
-        words = plain_words if plain else canonical_words
-        second = F.get("icanon", F.least(F.lit(1), F.col("wide") - 1))
-        heads = small_filter(own.select(F.xxhash64(F.get("icanon", F.lit(0)), second).alias("h")), HEAD_BYTES, 1)
-        wholes = small_filter(own, map_bytes)
-        known = (
-            docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-            .withColumn("_c", words(F.col("_t")))
-            .withColumn("_hits", _hits(F.col("_c"), widths, heads, wholes))
-            .filter(F.size("_hits") > 0)
-            .withColumn("_r", raw_words(F.col("_t")))
-        )
-        each = known.select(
-            "_id",
-            F.explode(
-                let(
-                    F.struct(F.col("_c").alias("c"), F.col("_r").alias("r")),
-                    lambda x: F.transform(
-                        F.col("_hits"),
-                        lambda i: F.struct(
-                            i["pos"].alias("pos"), F.slice(x["c"], i["pos"] + 1, i["wide"]).alias("canon"),
-                            F.slice(x["r"], i["pos"] + 1, i["wide"]).alias("raw"),
-                            *_around(x["c"], i["pos"], i["wide"], window, "before", "after"),
-                        ),
-                    ),
-                )
-            ).alias("w"),
-        ).select("_id", "w.pos", "w.canon", "w.raw", "w.before", "w.after", F.xxhash64("w.canon").alias("h"))
+    for number in range(blocks):
+        some = hashes.filter(F.pmod(F.xxhash64("h"), F.lit(blocks)) == number)
+        each = _met(docs, id_col, text_col, some, kinds, window)
         each = each.withColumn("salt", F.pmod(F.xxhash64("_id", "pos"), F.lit(SALTS)).cast("int"))
-        salted = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = each.join(salted, ["h", "salt"]).filter(F.col("canon") == F.col("icanon")).withColumn("plain", F.lit(plain))
-        joined = written(joined, "windows")  # the driver then holds the filters of one kind of window in a plan at a time
+        joined = each.join(salted, ["h", "plain", "wide", "salt"]).filter(F.col("canon") == F.col("icanon"))
+        joined = written(joined, "windows")
         found = joined if found is None else found.unionByName(joined)
-    if found is None:
-        empty = "item_id {}, pos int, ipos int, wide int, plain boolean, covered array<int>, slots array<struct<kind:string,item:string,doc:string>>"
-        kinds = dict(items.dtypes)
-        return docs.limit(0).select(F.col(id_col)).join(
-            docs.sparkSession.createDataFrame([], empty.format(kinds[item_col])), F.lit(True)
-        )
     zipped = F.transform(
         F.filter(F.arrays_zip("canon", "iraw", "raw"), lambda x: _is_slot(x["canon"])),
         lambda x: F.struct(x["canon"].alias("kind"), _value(x["iraw"]).alias("item"), _value(x["raw"]).alias("doc")),
@@ -207,14 +187,14 @@ def _alike(item: str, doc: str, place) -> Column:
 
 
 def _value(word: Column) -> Column:
-    """A slot's value: the word without the punctuation around it."""
+    """A slot's value: the lower-case word without what else stands around it."""
     return F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, min_cover: float = MIN_COVER,
-    map_bytes: int = MAP_BYTES,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document and item found in it.
 
@@ -223,7 +203,7 @@ def contaminated(
     values, ``kind`` (``verbatim`` or ``reparameterised``). A run of
     ``LONG_RUN`` equal words is reported whatever it covers.
     """
-    found = matches(docs, items, id_col, text_col, item_col, item_text, window, map_bytes)
+    found = matches(docs, items, id_col, text_col, item_col, item_text, window, block)
     ids = F.col(id_col)
     aligned = (
         found.withColumn("diagonal", F.col("pos") - F.col("ipos"))

@@ -268,6 +268,29 @@ def test_all_planted_items_are_found(spark):
     assert want and got == want
 
 
+def test_a_benchmark_of_many_blocks_gives_the_same_rows(spark):
+    docs = clashing(spark.read.parquet(f"{FOLDER}/documents.parquet"), "h", "pos", "c", "r")
+    items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    whole, parts = decontaminate.contaminated(docs, items), decontaminate.contaminated(docs, items, block=700)
+    assert sorted(whole.collect()) == sorted(parts.collect()) != []
+
+
+def test_the_plan_of_the_lookup_stays_small_and_makes_the_words_once(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    hashes = spark.range(5000).select(F.xxhash64("id").alias("h"))
+    plan = decontaminate._met(docs, "doc_id", "text", hashes, [(False, 8), (True, 8)], 8)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000 and plan.count("split(") == 2
+
+
+def test_a_very_long_text_is_searched_whole(spark):
+    item = " ".join(words(30, 8))
+    text = " ".join(words(300_000, 9)) + " " + item
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = docs_of(spark, [text, text, "--- " * 100_000])
+    got = {(x["doc_id"], x["item_id"], x["cover"]) for x in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(0, 1, 1.0), (1, 1, 1.0)}
+
+
 # Quality
 
 
