@@ -54,6 +54,14 @@ class Contract:
         tail = re.escape(rest)
         return f"^{out}{tail}$" if rest.endswith(".gz") else f"^{out}{tail}(?:\\.gz)?$"
 
+    @property
+    def literal_ends(self) -> tuple[str, str]:
+        """What names begin and end with for sure: the text before the first placeholder and after the last, without ``.gz``."""
+        marks = list(re.finditer("|".join(re.escape(p) for p in PLACEHOLDERS), self.file_pattern))
+        if not marks:
+            return self.file_pattern.removesuffix(".gz"), ""
+        return self.file_pattern[: marks[0].start()], self.file_pattern[marks[-1].end() :].removesuffix(".gz")
+
     @property
     def period_kind(self) -> str | None:
         if "{date_range}" in self.file_pattern:

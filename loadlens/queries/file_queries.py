@@ -120,6 +120,25 @@ def contract_match(spark, folder):
     )
 
 
+@query(
+    "contract_match_many",
+    """SELECT 'landing/' || lower(replace(p_brand, '#', '')) || '_' || strftime(l_shipdate, '%Y-%m') || '.tsv.gz' AS path, count(*) AS length,
+      CASE WHEN n <= 20 THEN 'brand' || n || '_{month}.tsv' END AS file_pattern, CASE WHEN n <= 20 THEN 'brand_' || n END AS table_name,
+      CASE WHEN n <= 20 THEN strftime(l_shipdate, '%Y-%m') END AS period, n <= 20 AS matched
+    FROM (SELECT p_brand, l_shipdate, CAST(replace(p_brand, 'Brand#', '') AS INTEGER) AS n FROM lineitem JOIN part ON l_partkey = p_partkey)
+    GROUP BY p_brand, strftime(l_shipdate, '%Y-%m'), n""",
+)
+def contract_match_many(spark, folder):
+    """Files of brands and months against two thousand contracts, most of which no file fits."""
+    contracts = [Contract(f"brand{n}_{{month}}.tsv", f"brand_{n}") for n in range(1, 21)]
+    contracts += [Contract(f"region{n}_{{date_range}}.csv", f"region_{n}") for n in range(1980)]
+    lines = table(spark, folder, "lineitem").join(table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
+    brand, month = F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))), F.date_format("l_shipdate", "yyyy-MM")
+    path = F.concat(F.lit("landing/"), brand, F.lit("_"), month, F.lit(".tsv.gz"))
+    files = lines.groupBy(path.alias("path")).agg(F.count("*").alias("length"))
+    return inventory.match_many_contracts(files, contracts, keep_unmatched=True).drop("period_kind")
+
+
 @query(
     "contract_unmatched",
     f"WITH {LISTING_SQL} SELECT path, length FROM listing WHERE path LIKE '%.dat'",

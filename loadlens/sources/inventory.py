@@ -147,6 +147,53 @@ def match_contracts(files: DataFrame, contracts: list[Contract], keep_unmatched:
     )
 
 
+def contract_candidates(files: DataFrame, contracts: list[Contract]) -> DataFrame:
+    """The (file, contract) pairs of which the name begins and ends as the pattern does.
+
+    Patterns are indexed by their literal ends. A name is looked up once for
+    each pair of lengths that the ends have, by a hash join, so the pairs made
+    follow the matches and not files times contracts. Contracts are rows, which
+    Spark broadcasts if they prove small.
+    """
+    rows = [(*c.literal_ends, c.regex, c.file_pattern, c.table_name, c.period_kind) for c in contracts]
+    index = files.sparkSession.createDataFrame(
+        rows, "head string, tail string, _regex string, file_pattern string, table_name string, period_kind string"
+    )
+    shapes = sorted({(len(head), len(tail)) for head, tail, *_ in rows})
+    stem = F.regexp_replace("_name", r"\.gz$", "")
+    ends = [
+        F.struct(F.substring(stem, 1, head).alias("head"), (F.substring(stem, -tail, tail) if tail else F.lit("")).alias("tail"))
+        for head, tail in shapes
+    ]
+    named = files.select("path", "length", base_name(F.col("path")).alias("_name"))
+    none = F.array().cast("array<struct<head:string,tail:string>>")
+    keys = named.withColumn("_end", F.explode(F.array_distinct(F.array(*ends)) if ends else none))
+    return keys.select("path", "length", "_name", "_end.head", "_end.tail").join(index, ["head", "tail"]).drop("head", "tail")
+
+
+def match_many_contracts(files: DataFrame, contracts: list[Contract], keep_unmatched: bool = False) -> DataFrame:
+    """The rows of ``match_contracts`` for thousands of contracts: expressions are tried on candidates only.
+
+    With ``keep_unmatched`` the listing is read twice, and rows are told apart by their path.
+    """
+    hits = (
+        contract_candidates(files, contracts)
+        .filter(F.expr("_name RLIKE _regex"))
+        .select(
+            "path", "length", "file_pattern", "table_name", "period_kind",
+            F.when(F.col("period_kind").isNotNull(), F.expr("regexp_extract(_name, _regex, 1)")).alias("period"),
+            F.lit(True).alias("matched"),
+        )
+    )
+    if not keep_unmatched:
+        return hits
+    rest = files.join(hits.select("path").distinct(), "path", "left_anti").select(
+        "path", "length", *[F.lit(None).cast("string").alias(c) for c in ("file_pattern", "table_name", "period_kind", "period")],
+        F.lit(False).alias("matched"),
+    )
+    return hits.unionByName(rest)
+
+
 def period_from_name(path: Column) -> tuple[Column, Column]:
     """First and last day from ``YYYYMMDD-YYYYMMDD``, else from ``YYYY-MM``, else null."""
     name = base_name(path)
