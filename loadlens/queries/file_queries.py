@@ -257,6 +257,22 @@ def split_files(spark, folder):
     )
 
 
+@query(
+    "split_files_bytes",
+    f"""SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS row_count, CAST(sum({_LINE_BYTES}) AS BIGINT) AS bytes, true AS fitting
+    FROM orders GROUP BY 1""",
+)
+def split_files_bytes(spark, folder):
+    """Chunks of 20 000 bytes: all lines and bytes are there, and no chunk is larger than that before its last line."""
+    target = scratch(spark, "orders-byte-chunks")
+    sinks.split_files_by_bytes(spark, month_landing(spark, folder), target, 20_000)
+    size = F.octet_length("value") + 1
+    rows = spark.read.option("lineSep", "\n").text(target).withColumn("month", F.regexp_extract("source", r"(\d{4}-\d{2})", 1))
+    chunks = rows.groupBy("month", "source", "chunk").agg(F.count("*").alias("n"), F.sum(size).alias("b"), F.max(size).alias("longest"))
+    fitting = F.bool_and(F.col("b") - F.col("longest") < 20_000)
+    return chunks.groupBy("month").agg(F.sum("n").alias("row_count"), F.sum("b").alias("bytes"), fitting.alias("fitting"))
+
+
 @query(
     "compression_ratio",
     f"SELECT CAST(sum({_LINE_BYTES}) AS BIGINT) AS source_bytes, true AS smaller FROM orders",

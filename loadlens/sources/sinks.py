@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadlens.sources import inventory, lines as raw
@@ -95,6 +95,27 @@ def split_files(spark: SparkSession, source: str, target: str, lines_per_file: i
     ).partitionBy("source").text(target)
 
 
+def split_files_by_bytes(spark: SparkSession, source: str, target: str, bytes_per_file: int) -> None:
+    """Copy into chunks by size: a line goes to the chunk that its first byte falls in, and is never cut.
+
+    A chunk has under ``bytes_per_file`` bytes before its last line. The folders are ``source=.../chunk=...`` with one
+    file each. Where a line begins is told by the sizes of its split's lines and of the splits before, so no more
+    than a split or a chunk is in one task.
+    """
+    lines = raw.read_lines(spark, source).withColumn("size", F.octet_length("value").cast("bigint") + 1)
+    before = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    inside = lines.withColumn("inside", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.sum("size").alias("split_size"))
+    splits = splits.select("file", "block", F.coalesce(F.sum("split_size").over(earlier), F.lit(0)).alias("ahead"))
+    placed = inside.join(splits, ["file", "block"]).select(
+        raw.source_name(F.col("file")).alias("source"), (F.col("ahead") + F.col("inside")).alias("at"), "value"
+    )
+    chunks = placed.withColumn("chunk", F.expr(f"`at` DIV {int(bytes_per_file)}")).repartition("source", "chunk")
+    ordered = chunks.sortWithinPartitions("source", "chunk", "at").select("source", "chunk", "value")
+    ordered.write.option("lineSep", "\n").partitionBy("source", "chunk").text(target)
+
+
 def write_json_report(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
