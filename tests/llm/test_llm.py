@@ -394,6 +394,45 @@ def test_passages_with_a_word_changed_in_every_few(spark):
     assert {cases[i] for i in range(len(cases)) if (2 * i + 1, 2 * i) not in got} == set()
 
 
+def test_stretches_that_could_hold_a_passage_by_brute_force():
+    import numpy as np
+
+    r = random.Random(9)
+    for _ in range(150):
+        m = r.randint(1, 8)
+        begin = np.array([r.randint(0, 80) for _ in range(m)])
+        end = begin + np.array([r.randint(1, 15) for _ in range(m)])
+        union = {x for a, b in zip(begin, end, strict=True) for x in range(a, b)}
+        spans = [
+            (x, y) for x in union for y in range(x + 20, 100)
+            if y - 1 in union and sum(z in union for z in range(x, y)) >= 0.8 * (y - x) - 1e-9
+        ]
+        want = [any(x <= a and b <= y for x, y in spans) for a, b in zip(begin, end, strict=True)]
+        assert passages.could_hold(begin, end, 20, 0.8).tolist() == want
+
+
+def test_occurrences_that_go_on_alike_have_a_side_key_in_common():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    a = r.integers(1, 4, (20_000, 24)).astype(np.uint8)
+    b = np.where(r.random(a.shape) < 0.25, r.integers(0, 4, a.shape), a).astype(np.uint8)
+    h = np.full(len(a), 5, np.uint64)
+    (x, there), (y, _) = passages.side_keys(h, a), passages.side_keys(h, b)
+    alike = (x == y) & there
+    left, right = passages._reaches(a, b)
+    assert (alike[:, :6].any(axis=1) | (left < 5)).all() and (alike[:, 6:].any(axis=1) | (right < 5)).all()
+
+
+def test_short_common_lines_make_no_pairs_of_all_texts(spark, monkeypatch):
+    line, aligned = words(14, 900), []
+    texts = [" ".join(words(40, 910 + k) + line + words(30, 1910 + k) + line[:8] + words(20, 2910 + k)) for k in range(60)]
+    kept = passages.written
+    monkeypatch.setattr(passages, "written", lambda df, label: aligned.append((label, kept(df, label))) or aligned[-1][1])
+    assert passages.shared_passages(docs_of(spark, texts)).count() == 0
+    assert {label: df.count() for label, df in aligned}["wanted"] < len(texts)
+
+
 def test_chains_are_the_best_by_brute_force():
     import numpy as np
 
