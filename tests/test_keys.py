@@ -6,6 +6,7 @@ from itertools import combinations
 import pytest
 from conftest import rows
 
+from loadlens.operators import keys
 from loadlens.operators.keys import key_lattice, minimal_keys
 
 
@@ -42,3 +43,26 @@ def test_no_rows_and_one_row(spark):
     assert rows(minimal_keys(spark.createDataFrame([], "a long, b long"))) == [("a", 1), ("b", 1)]
     assert rows(minimal_keys(spark.createDataFrame([(None, 1)], "a long, b long"))) == [("a", 1), ("b", 1)]
     assert minimal_keys(spark.createDataFrame([(1, 2), (1, 2)], "a long, b long")).count() == 0
+
+
+def test_near_keys_are_told_from_a_part_of_the_rows(spark):
+    r = random.Random(5)
+    columns = ["a", "b", "c", "d", "e", "f"]
+    spread = [6_000, 5_000, 4_000, 300, 50, 7]
+    data = [tuple(None if r.random() < 0.01 else r.randrange(s) for s in spread) for _ in range(12_000)]
+    df = spark.createDataFrame(data, ", ".join(f"{c} long" for c in columns)).coalesce(2)
+    found = key_lattice(df)
+    assert sorted(",".join(k) for k in found.keys) == keys_by_force(data, columns, 3)
+    # Most sets have nearly as many values as there are rows, so no sketch rules them out; few of them are counted over all rows.
+    assert found.sketched == len(columns) and found.tried >= 15 and found.counted <= 20 < len(list(combinations(columns, 3))) + 15
+
+
+def test_hashes_that_meet_are_settled_by_values(spark, monkeypatch):
+    data = [(k, k % 50, k // 50, 0.0 if k else -0.0, None if k % 2 else 1.5) for k in range(1_000)]
+    df = spark.createDataFrame(data, "k long, a long, b long, z double, n double").coalesce(2)
+    sets = [("k",), ("a", "b"), ("z",), ("a", "n"), ("k", "n")]
+    assert keys._all_unique(df, sets) == [True, True, False, False, True]
+    assert not any(keys._all_unique(df.filter("k < 2"), [("z",)]))
+    real = keys._hashed
+    monkeypatch.setattr(keys, "_hashed", lambda df, s: real(df, s) % 8)
+    assert keys._all_unique(df, sets) == [True, True, False, False, True]
