@@ -433,6 +433,84 @@ def test_short_common_lines_make_no_pairs_of_all_texts(spark, monkeypatch):
     assert {label: df.count() for label, df in aligned}["wanted"] < len(texts)
 
 
+def entries_of(text):
+    """The occurrences of each seed of a text, as they are listed for a pair."""
+    import numpy as np
+
+    _, place, h, around, _ = passages.laid_out([text], passages.K, passages.SPAN)
+    marks = np.ascontiguousarray(around).view(np.int64).reshape(len(h), 3)
+    out = {}
+    for seed, at, m in zip(h.tolist(), place.tolist(), marks.tolist(), strict=True):
+        out.setdefault(seed, []).append((at, passages.REACH, passages.REACH, *m))
+    return out
+
+
+def as_columns(rows):
+    import numpy as np
+
+    made = zip(*passages.in_steps(rows), strict=True)
+    return dict(zip(passages.ENTRIES, (np.array(c, np.int64) for c in made), strict=True))
+
+
+def test_passages_of_repeated_words_by_all_pairs_of_places():
+    import numpy as np
+    import pandas as pd
+
+    r, found = random.Random(12), 0
+    for case in range(40):
+        bricks = [[w] * r.choice([2, 30, 55, 70]) for w in "xyz"] + [["p", "q"] * 30, ["k", "l", "m"] * 25, words(20, 1), words(60, 2), words(9, 3)]
+        texts = [" ".join(w for _ in range(r.randint(1, 5)) for w in r.choice(bricks)) for _ in "ab"]
+        mine, theirs = (entries_of(t) for t in texts)
+        common = sorted(mine.keys() & theirs.keys())
+        if not common:
+            continue
+        each = [(x, y) for h in common for x in mine[h] for y in theirs[h]]
+        a, b = (np.array([e[side][3:] for e in each], np.int64).view(np.uint8).reshape(len(each), -1) for side in (0, 1))
+        left, right = passages._reaches(a, b)
+        at, bt = (np.array([e[side][0] for e in each]) for side in (0, 1))
+        want = passages.judged(pd.DataFrame({"a": 2, "b": 1, "at": at - left, "bt": bt - left, "n": left + passages.K + right}), 50, 0.8)
+        some = passages.pair_matches([as_columns(mine[h]) for h in common], [as_columns(theirs[h]) for h in common], passages.K, 50, 0.8)
+        got = [] if some is None else passages.judged(pd.DataFrame({"a": 2, "b": 1, **dict(zip(("at", "bt", "n"), some, strict=True))}), 50, 0.8).values.tolist()
+        assert sorted(got) == sorted(want.values.tolist()), case
+        found += len(got)
+    assert found > 20
+
+
+def test_long_runs_of_a_word_are_not_paired_place_by_place():
+    runs = {n: entries_of(" ".join(["word"] * n)) for n in (4000, 30)}
+    (seed,) = runs[4000]
+    assert len(passages.in_steps(runs[4000][seed])) <= 2 * passages.REACH + 1
+    at, _, n = passages.pair_matches([as_columns(runs[4000][seed])], [as_columns(runs[4000][seed])], passages.K, 50, 0.8)
+    assert len(at) < 8000 and n.max() == 4000
+    assert passages.pair_matches([as_columns(runs[4000][seed])], [as_columns(runs[30][seed])], passages.K, 50, 0.8) is None
+
+
+def test_a_run_of_a_word_meets_no_text_with_too_little_of_it(spark, monkeypatch):
+    aligned = []
+    texts = [" ".join(words(60, 910 + k) + ["word"] * 9 + words(60, 1910 + k)) for k in range(40)]
+    texts += [" ".join(["word"] * n) for n in (200, 300)]
+    kept = passages.written
+    monkeypatch.setattr(passages, "written", lambda df, label: aligned.append((label, kept(df, label))) or aligned[-1][1])
+    found = passages.shared_passages(docs_of(spark, texts)).collect()
+    assert {(x["doc_id"], x["other_id"]) for x in found} == {(41, 40)}
+    assert {(x["a"], x["b"]) for label, df in aligned if label == "wanted" for x in df.collect()} <= {(41, 40)}
+
+
+def test_maps_of_shared_hashes_hold_all_of_them(spark):
+    import numpy as np
+
+    h, ids = np.random.default_rng(4).integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2), np.arange(3000) % 7
+    both = np.concatenate((h[:1000], h[:500])), np.concatenate((ids[:1000], ids[:500] + 1))
+    for log in (passages.LEAST_MAP_LOG, passages.map_log(1 << 24)):
+        blocks = [passages._blocks(*x, log) for x in (both, (h[900:], ids[900:]))]
+        rows = spark.createDataFrame([tuple(map(lambda v: v if isinstance(v, bytes) else int(v), r)) for x in blocks for r in x.values.tolist()], "bucket long, once binary, more binary")
+        flags = passages._shared_map(rows.repartition(3), log)
+        shared = np.concatenate((np.arange(500), np.arange(900, 1000)))
+        assert len(flags) == 1 << log >> 3 and passages._marked(flags, h[shared], log).all()
+        assert not passages._marked(flags, np.delete(h, shared), log).any()
+    assert passages.map_log(0) == passages.LEAST_MAP_LOG and passages.map_log(1 << 40) == passages.MOST_MAP_LOG
+
+
 def test_chains_are_the_best_by_brute_force():
     import numpy as np
 
